@@ -2,5 +2,22 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import functions as F
+
+from loomgraph.llm import leakage
+from loomgraph.sources.tables import table
+
+
+def p7_found(spark, sf):
+    return leakage.find_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+def p7_items(spark, sf):
+    """Per item that leaked: its suite and the number of documents."""
+    items = table(spark, sf, "eval_items").select("item_id", "suite").distinct()
+    counts = p7_found(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"))
+    return counts.join(items, "item_id")
+
+
+QUERIES = {f.__name__: f for f in (p7_found, p7_items)}
 SQL: dict = {}

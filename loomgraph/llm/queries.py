@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomgraph.llm import leakage
+from loomgraph.llm import leakage, split
 from loomgraph.sources.tables import table
 
 
+def _oversized(spark, sf):
+    return split.oversized(spark, *(table(spark, sf, t) for t in ("chunks", "source_files", "chunk_budgets")))
+
+
+def p6_found(spark, sf):
+    plan = split.plan(split.ranges_of_rows(_oversized(spark, sf)))
+    return plan.filter("piece_no = 1").select("item_kind", "row_id").distinct()
+
+
+def p6_pieces(spark, sf):
+    return split.split_items(_oversized(spark, sf))
+
+
 def p7_found(spark, sf):
     return leakage.find_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
@@ -19,5 +32,10 @@ def p7_items(spark, sf):
     return counts.join(items, "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_items)}
-SQL: dict = {}
+QUERIES = {f.__name__: f for f in (p6_found, p6_pieces, p7_found, p7_items)}
+SQL: dict = {
+    "p6_found": """SELECT DISTINCT 'chunk' AS item_kind, chunk_id AS row_id FROM chunks c JOIN chunk_budgets b
+      ON b.item_kind = 'chunk' AND b.lang = coalesce(c.lang, '*') AND strlen(c.body) > b.max_bytes
+      UNION SELECT DISTINCT 'file', file_id FROM source_files f JOIN chunk_budgets b
+      ON b.item_kind = 'file' AND b.lang = coalesce(f.lang, '*') AND strlen(f.content) > b.max_bytes""",
+}

@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomgraph.llm import leakage, split
+from loomgraph.llm import leakage, secrets, split
 from loomgraph.sources.tables import table
 
 
+def _texts(spark, sf):
+    return secrets.texts_of(table(spark, sf, "chunks"), table(spark, sf, "ingest_items"))
+
+
+def p2_found(spark, sf):
+    return secrets.find_credentials(_texts(spark, sf))
+
+
+def p2_redacted(spark, sf):
+    return secrets.redact_credentials(_texts(spark, sf))
+
+
 def _oversized(spark, sf):
     return split.oversized(spark, *(table(spark, sf, t) for t in ("chunks", "source_files", "chunk_budgets")))
 
@@ -32,7 +44,7 @@ def p7_items(spark, sf):
     return counts.join(items, "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_pieces, p7_found, p7_items)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p6_found, p6_pieces, p7_found, p7_items)}
 SQL: dict = {
     "p6_found": """SELECT DISTINCT 'chunk' AS item_kind, chunk_id AS row_id FROM chunks c JOIN chunk_budgets b
       ON b.item_kind = 'chunk' AND b.lang = coalesce(c.lang, '*') AND strlen(c.body) > b.max_bytes

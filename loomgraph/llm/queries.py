@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomgraph.llm import leakage, secrets, split
+from loomgraph.llm import leakage, origin, secrets, split
 from loomgraph.sources.tables import table
 
 
@@ -20,6 +20,14 @@ def p2_redacted(spark, sf):
     return secrets.redact_credentials(_texts(spark, sf))
 
 
+def p4_found(spark, sf):
+    return origin.find_not_handwritten(table(spark, sf, "chunks"))
+
+
+def p4_validation(spark, sf):
+    return origin.validate(table(spark, sf, "chunks"))
+
+
 def _oversized(spark, sf):
     return split.oversized(spark, *(table(spark, sf, t) for t in ("chunks", "source_files", "chunk_budgets")))
 
@@ -44,7 +52,7 @@ def p7_items(spark, sf):
     return counts.join(items, "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p6_found, p6_pieces, p7_found, p7_items)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_validation, p6_found, p6_pieces, p7_found, p7_items)}
 SQL: dict = {
     "p6_found": """SELECT DISTINCT 'chunk' AS item_kind, chunk_id AS row_id FROM chunks c JOIN chunk_budgets b
       ON b.item_kind = 'chunk' AND b.lang = coalesce(c.lang, '*') AND strlen(c.body) > b.max_bytes

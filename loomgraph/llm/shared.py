@@ -1,0 +1,28 @@
+"""Written tables in the folder shared by all executors, to cut lineage."""
+
+from __future__ import annotations
+
+import atexit
+import uuid
+
+from pyspark.sql import DataFrame
+
+from loomgraph.session import ensure_checkpoint_dir
+
+
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read again; removed when the session's process ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+
+    def remove() -> None:
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the session may have ended already
+            pass
+
+    atexit.register(remove)
+    return spark.read.schema(df.schema).parquet(path)

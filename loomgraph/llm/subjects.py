@@ -9,8 +9,10 @@ for no subject and pass nothing.
 
 Each round learns the terms' subjects from the labelled documents, then the documents' subjects from
 the terms. Seeds are trusted, and clamped in every round, where the graph without their own label
-supports them; a label no neighbour supports is taken for an annotator's mistake. A document keeps
-every subject that ``LEAST_SENTENCES`` of its sentences are about; one sentence is a passing mention.
+supports them or says nothing about the document; a label against which it speaks is taken for an
+annotator's mistake. A document keeps every subject that ``LEAST_SENTENCES`` of its sentences are
+about in at least ``LEAST_TERMS`` different terms; one sentence is a passing mention, and one term
+alone counts only in more sentences and where many documents have shown its subject.
 
 Null and empty texts, and texts without verified terms, have no subject. Repeated rows of one doc_id
 count once. Labels without a document, with null fields or with a subject outside the list are not
@@ -19,16 +21,21 @@ used. Without labels the result is empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.functions.sizing import broadcast_if_small
+from loomgraph.functions.sizing import broadcast_if_small, collect_bounded
 from loomgraph.llm.shared import write_shared
 
 ROUNDS = 3
-#: Labelled documents a term must occur in, its share in one subject, and how often that share exceeds the subject's own.
-LEAST_DOCS, LEAST_PURITY, LEAST_LIFT = 3, 0.6, 2.0
-LEAST_SENTENCES = 2
+#: A term's share in its main subject, in any subject it keeps, and in
+#: those together; how often a share must exceed the subject's own.
+LEAST_PURITY, LEAST_SHARE, LEAST_SUM, LEAST_LIFT = 0.4, 0.2, 0.7, 2.0
+#: Labelled documents a term must occur in, among the seeds and in later rounds.
+SEED_DOCS, LEAST_DOCS = 2, 4
+#: Bound of the closed list of subjects.
+MOST_SUBJECTS = 10_000
+LEAST_SENTENCES, LEAST_TERMS, SURE = 2, 2, 0.8
 
 _WRAP = r"(?<![.!?:;{}\n])\r?\n[ \t]*(?:#|//|>|\*)?[ \t]*(?=\p{Ll})(?!(?:def|func|const|return|class|import|for|if|type|var|let|package|select|from)\b)"
 _END = r"(?<=[.!?;{}])\s+|[\r\n]+"
@@ -47,23 +54,39 @@ def sentences(documents: DataFrame) -> DataFrame:
     return parts.select("doc_id", "sent_no", F.explode(terms(F.col("sentence"))).alias("term"))
 
 
-def learn_terms(doc_terms: DataFrame, labels: DataFrame) -> DataFrame:
-    """Verified terms (term, subject, weight) from labelled documents (doc_id, subject, n_subjects)."""
+def learn_terms(doc_terms: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """Verified terms (term, subject, weight) from labelled documents (doc_id, subject, n_subjects).
+
+    A term of several subjects, such as one that sport and music share, keeps each of them that it
+    exceeds by the same lift, if together they are pure enough.
+    """
     seen = doc_terms.join(broadcast_if_small(labels), "doc_id")
     by_subject = seen.groupBy("term", "subject").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(1.0) / F.col("n_subjects")).alias("share"))
-    best = by_subject.groupBy("term").agg(F.max(F.struct("n", "share", "subject")).alias("b"), F.sum("share").alias("docs"))
-    prior = labels.groupBy("subject").agg(F.count(F.lit(1)).alias("k"))
-    every = labels.agg(F.countDistinct("doc_id").alias("every"))
-    purity = F.col("b.n") / F.greatest(F.col("docs"), F.col("b.n"))
-    rows = best.join(F.broadcast(prior.join(F.broadcast(every))), F.col("b.subject") == F.col("subject"))
-    return rows.filter((F.col("docs") >= LEAST_DOCS) & (purity >= LEAST_PURITY) & (purity >= LEAST_LIFT * F.col("k") / F.col("every"))).select("term", "subject", purity.alias("weight"))
+    docs = by_subject.groupBy("term").agg(F.sum("share").alias("docs")).filter(F.col("docs") >= least_docs)
+    # One row a subject of the closed list: a bounded table.
+    prior = collect_bounded(labels.groupBy("subject").agg(F.count(F.lit(1)).alias("k")), MOST_SUBJECTS)
+    every = max(1, labels.select("doc_id").distinct().count())
+    own = F.coalesce(F.create_map(*[F.lit(x) for r in prior for x in (r.subject, r.k / every)])[F.col("subject")], F.lit(1.0)) if prior else F.lit(1.0)
+    rows = by_subject.join(docs, "term")
+    purity = F.least((F.col("n") + 0.5 * own) / (F.col("docs") + 0.5), F.lit(1.0))
+    lifted = rows.withColumn("weight", purity).withColumn("sure", F.col("n") / (F.col("docs") + 2)).filter((purity >= LEAST_SHARE) & (purity >= LEAST_LIFT * own))
+    pure = lifted.groupBy("term").agg(F.sum("weight").alias("sum"), F.max("weight").alias("top"))
+    sure = pure.filter((F.col("sum") >= LEAST_SUM) & (F.col("top") >= LEAST_PURITY)).select("term")
+    return lifted.join(sure, "term", "left_semi").select("term", "subject", "weight", "sure")
 
 
 def sentence_subjects(sents: DataFrame, known: DataFrame) -> DataFrame:
-    """(doc_id, subject, n_sentences): sentences by the subject their verified terms speak for."""
-    votes = sents.join(broadcast_if_small(known), "term").groupBy("doc_id", "sent_no", "subject").agg(F.sum("weight").alias("w"))
-    top = votes.groupBy("doc_id", "sent_no").agg(F.max(F.struct("w", "subject")).alias("t"))
-    return top.groupBy("doc_id", F.col("t.subject").alias("subject")).agg(F.count(F.lit(1)).alias("n_sentences"))
+    """(doc_id, subject, n_sentences): sentences by the subject their verified terms speak for.
+
+    Where terms of a sentence belong to several subjects, what the whole document speaks for decides.
+    """
+    spoken = sents.join(broadcast_if_small(known), "term")
+    votes = spoken.groupBy("doc_id", "sent_no", "subject").agg(F.sum("weight").alias("w"), F.max("sure").alias("sure"), F.collect_set("term").alias("terms"))
+    whole = votes.withColumn("all", F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id", "subject")))
+    top = whole.groupBy("doc_id", "sent_no").agg(F.max(F.struct((F.col("w") * F.col("all")).alias("v"), "subject", "terms", "sure")).alias("t"))
+    by = top.groupBy("doc_id", F.col("t.subject").alias("subject"))
+    n_terms = F.size(F.array_distinct(F.flatten(F.collect_list("t.terms"))))
+    return by.agg(F.count(F.lit(1)).alias("n_sentences"), n_terms.alias("n_terms"), F.max("t.sure").alias("sure"))
 
 
 def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -75,14 +98,18 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, r
     given = given.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
     current = _counted(given)
     for k in range(rounds):
-        known = write_shared(learn_terms(doc_terms, current), "terms")
+        known = write_shared(learn_terms(doc_terms, current, SEED_DOCS if k == 0 else LEAST_DOCS), "terms")
         found = write_shared(sentence_subjects(sents, known), "subjects")
-        # Seeds: a given label stays when sentences of the document speak for it, and is dropped otherwise.
+        # Seeds: a given label stays where a sentence of the document speaks for it.
         supported = found.join(broadcast_if_small(given.withColumn("seed", F.lit(True))), ["doc_id", "subject"], "left")
-        kept = supported.filter((F.col("n_sentences") >= LEAST_SENTENCES) | F.col("seed")).select("doc_id", "subject", "n_sentences")
+        several = (F.col("n_sentences") >= LEAST_SENTENCES) & (F.col("n_terms") >= LEAST_TERMS)
+        sure = several | ((F.col("n_sentences") > LEAST_SENTENCES) & (F.col("sure") >= SURE))
+        kept = supported.filter(sure | F.col("seed")).select("doc_id", "subject", "n_sentences")
         if k == rounds - 1:
             return kept
-        current = write_shared(_counted(kept.select("doc_id", "subject")), "labels")
+        pairs = kept.select("doc_id", "subject")
+        silent = given.select("doc_id", "subject").join(pairs.select("doc_id").distinct(), "doc_id", "left_anti")
+        current = write_shared(_counted(pairs.unionByName(silent)), "labels")
     return given.select("doc_id", "subject", F.lit(0).cast("bigint").alias("n_sentences"))
 
 
@@ -94,7 +121,7 @@ def _counted(pairs: DataFrame) -> DataFrame:
 def composition(documents: DataFrame, assigned: DataFrame) -> DataFrame:
     """Per subject: documents, characters, and their share of all documents and characters."""
     docs = documents.select("doc_id", F.length("text").alias("chars")).groupBy("doc_id").agg(F.max("chars").alias("chars"))
-    total = docs.agg(F.count(F.lit(1)).alias("all_docs"), F.sum("chars").alias("all_chars"))
+    total = docs.agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars")).first()
     per = assigned.select("doc_id", "subject").distinct().join(docs, "doc_id").groupBy("subject").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("chars").alias("n_chars"))
-    share = lambda a, b: F.round(F.col(a) / F.col(b), 6)
-    return per.join(F.broadcast(total)).select("subject", "n_docs", "n_chars", share("n_docs", "all_docs").alias("doc_share"), share("n_chars", "all_chars").alias("char_share"))
+    share = lambda a, b: F.round(F.col(a) / F.lit(max(1, b or 0)), 6)
+    return per.select("subject", "n_docs", "n_chars", share("n_docs", total.n).alias("doc_share"), share("n_chars", total.chars).alias("char_share"))

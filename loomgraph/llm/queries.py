@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomgraph.llm import leakage, origin, secrets, split, subjects
+from loomgraph.llm import leakage, mixing, origin, secrets, split, subjects
 from loomgraph.sources.tables import table
 
 
@@ -52,6 +52,14 @@ def p7_items(spark, sf):
     return counts.join(items, "item_id")
 
 
+def p8_mixture(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+
+
+def p8_shares(spark, sf):
+    return mixing.shares(p8_mixture(spark, sf), table(spark, sf, "mix_targets"))
+
+
 def _subjects(spark, sf):
     return subjects.assign_subjects(*(table(spark, sf, t) for t in ("documents", "subject_labels", "subject_areas")))
 
@@ -64,7 +72,7 @@ def p9_composition(spark, sf):
     return subjects.composition(table(spark, sf, "documents"), _subjects(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_validation, p6_found, p6_pieces, p7_found, p7_items, p9_found, p9_composition)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_validation, p6_found, p6_pieces, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_composition)}
 SQL: dict = {
     "p6_found": """SELECT DISTINCT 'chunk' AS item_kind, chunk_id AS row_id FROM chunks c JOIN chunk_budgets b
       ON b.item_kind = 'chunk' AND b.lang = coalesce(c.lang, '*') AND strlen(c.body) > b.max_bytes

@@ -35,7 +35,7 @@ BLOCK = 20_000
 DRIFT = 6
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>\n]{0,200}>")
-_ESCAPE = re.compile(r"\\[nrt]|\\u[0-9a-fA-F]{4}|[‒-―​­﻿]|--+")
+_ESCAPE = re.compile(r"\\[nrt]|\\u[0-9a-fA-F]{4}|[‒-―​\xad﻿]|--+")
 _NOT_WORD = re.compile(r"[\W_]+")
 
 

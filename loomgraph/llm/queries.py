@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomgraph.llm import leakage, mixing, origin, secrets, split, subjects
+from loomgraph.llm import leakage, mixing, origin, secrets, split, subjects, syntax
 from loomgraph.sources.tables import table
 
 
+def p1_found(spark, sf):
+    return syntax.find_unparsable(table(spark, sf, "source_files"))
+
+
+def p1_rates(spark, sf):
+    return syntax.failure_rates(table(spark, sf, "source_files"), table(spark, sf, "analyzer_results"))
+
+
 def _texts(spark, sf):
     return secrets.texts_of(table(spark, sf, "chunks"), table(spark, sf, "ingest_items"))
 
@@ -72,7 +80,7 @@ def p9_composition(spark, sf):
     return subjects.composition(table(spark, sf, "documents"), _subjects(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_validation, p6_found, p6_pieces, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_rates, p2_found, p2_redacted, p4_found, p4_validation, p6_found, p6_pieces, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_composition)}
 SQL: dict = {
     "p6_found": """SELECT DISTINCT 'chunk' AS item_kind, chunk_id AS row_id FROM chunks c JOIN chunk_budgets b
       ON b.item_kind = 'chunk' AND b.lang = coalesce(c.lang, '*') AND strlen(c.body) > b.max_bytes

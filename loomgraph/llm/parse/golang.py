@@ -37,7 +37,7 @@ interface : "interface" "{" ( element ";" )* element? "}" ;
 element : NAME signature | constraint ;
 block : "{" stmts? "}" ;
 stmts : stmt | stmt? ( ";" stmt? )+ ;
-stmt : decl | simple | block | NAME ":" stmt? | "go" expr | "defer" expr | "return" exprs? | "break" NAME? | "continue" NAME? | "goto" NAME | "fallthrough" | if | for | switch | select ;
+stmt : decl | simple | block | LABEL ":" stmt? | "go" expr | "defer" expr | "return" exprs? | "break" NAME? | "continue" NAME? | "goto" NAME | "fallthrough" | if | for | switch | select ;
 simple : exprs ( ( %assign | ":=" ) exprs | "++" | "--" | "<-" expr )? ;
 hsimple : hexprs ( ( %assign | ":=" ) hexprs | "++" | "--" | "<-" hexpr )? ;
 if : "if" ( hsimple? ";" )? hexpr block ( "else" ( if | block ) )? ;
@@ -63,7 +63,7 @@ _EXPR = r"""
 {e} : {e}_unary ( %binary {e}_unary )* ;
 {e}_unary : ( "+" | "-" | "!" | "^" | "*" | "&" | "<-" )* {e}_primary ;
 {e}_primary : {e}_operand {suffix} ;
-{e}_operand : NAME | NUM | STR | CHAR | "(" expr_or_type ")" | func_lit | array_type literal? | map_type literal? | struct literal? | interface | "chan" "<-"? type ;
+{e}_operand : NAME | LABEL | NUM | STR | CHAR | "(" expr_or_type ")" | func_lit | array_type literal? | map_type literal? | struct literal? | interface | "chan" "<-"? type ;
 """
 
 def _grammar() -> str:
@@ -81,14 +81,18 @@ _K = G.kind
 _FIXED = {x: _K(x) for x in (*_PUNCT, *KEYWORDS)}
 _NAME, _NUM, _STR, _CHAR, _EOF = map(_K, ("NAME", "NUM", "STR", "CHAR", "EOF"))
 _SEMI = _FIXED[";"]
+#: A name before ``:`` where a statement or an element may begin.
+_LABEL = _K("LABEL")
+_BEFORE_COLON = re.compile(r"[ \t]*:(?!=)")
+_MAY_BEGIN = frozenset(_FIXED[x] for x in (";", "{", "}", ":"))
 _ENDS = frozenset([_NAME, _NUM, _STR, _CHAR, *(_FIXED[x] for x in ("break", "continue", "fallthrough", "return", "++", "--", ")", "]", "}"))])
 
 _ESC = r"\\(?:[abfnrtv\\'\"]|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{3})"
 _TOKEN = re.compile(
-    r"(?P<ws>[ \t\r]+|//[^\n]*)|(?P<nl>\n)|(?P<com>/\*[\s\S]*?\*/)|(?P<name>[^\W\d]\w*)"
-    r"|(?P<num>(?:0[xX](?:_?[0-9a-fA-F])*(?:\.(?:[0-9a-fA-F](?:_?[0-9a-fA-F])*)?)?(?:[pP][+-]?\d+)?|0[bB](?:_?[01])+|0[oO](?:_?[0-7])+|(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)(?:[eE][+-]?\d(?:_?\d)*)?)i?)"
-    r"|(?P<str>`[^`]*`|\"(?:[^\\\"\n]|" + _ESC + r")*\")|(?P<char>'(?:[^\\'\n]|" + _ESC + r")')"
-    r"|(?P<op><<=|>>=|&\^=|\.\.\.|&&|\|\||<-|\+\+|--|==|!=|<=|>=|:=|\+=|-=|\*=|/=|%=|&=|\|=|\^=|<<|>>|&\^|[+\-*/%&|^<>=!()\[\]{},;.:~])"
+    r"[ \t\r]*(?:(?P<name>[^\W\d]\w*)|(?P<op>[()\[\]{},;~]|:=?|\.(?:\.\.)?(?!\d)|<<=?|>>=?|&\^=?|&&|\|\||<-|\+\+|--|[=!<>+*%&|^]=?|-=?|/(?![/*])=?)|(?P<nl>\n\s*)"
+    r"|(?P<str>`[^`]*`|\"(?:[^\\\"\n]|" + _ESC + r")*\")"
+    r"|(?P<num>(?:0[xX](?:_?[0-9a-fA-F])*(?:\.(?:[0-9a-fA-F](?:_?[0-9a-fA-F])*)?)?(?:[pP][+-]?\d+)?|0[bB](?:_?[01])+|0[oO](?:_?[0-7])+|(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)(?:[eE][+-]?\d(?:_?\d)*)?)i?)(?!\w)"
+    r"|(?P<ws>//[^\n]*|[ \t\r]+(?![\s\S]))|(?P<com>/\*[\s\S]*?\*/)|(?P<char>'(?:[^\\'\n]|" + _ESC + r")'))"
 )
 
 
@@ -101,35 +105,34 @@ def lex(text: str) -> list[int] | None:
     out: list[int] = []
     last = -1
     at, n = 0, len(text)
-    match = _TOKEN.match
-    while at < n:
-        m = match(text, at)
-        if m is None:
+    for m in _TOKEN.finditer(text):
+        if m.start() != at:
             return None
         what, at = m.lastgroup, m.end()
-        if what == "ws":
-            continue
-        if what == "nl":
-            if last in _ENDS:
-                out.append(_SEMI)
-                last = _SEMI
-            continue
-        if what == "com":
-            if "\n" in m[0] and last in _ENDS:
-                out.append(_SEMI)
-                last = _SEMI
-            continue
         if what == "name":
-            last = _FIXED.get(m[0], _NAME)
+            kind = _FIXED.get(m["name"], _NAME)
+            last = _LABEL if kind == _NAME and last in _MAY_BEGIN and _BEFORE_COLON.match(text, at) else kind
         elif what == "op":
-            last = _FIXED[m[0]]
+            last = _FIXED[m["op"]]
+        elif what == "nl":
+            if last not in _ENDS:
+                continue
+            last = _SEMI
+        elif what == "str":
+            last = _STR
         elif what == "num":
-            if at < n and (text[at].isalnum() or text[at] == "_"):
-                return None
             last = _NUM
+        elif what == "ws":
+            continue
+        elif what == "com":
+            if "\n" not in m["com"] or last not in _ENDS:
+                continue
+            last = _SEMI
         else:
-            last = _STR if what == "str" else _CHAR
+            last = _CHAR
         out.append(last)
+    if at < n:
+        return None
     if last in _ENDS:
         out.append(_SEMI)
     out.append(_EOF)

@@ -37,13 +37,13 @@ pattern : %name | array | object ;
 block : "{" stmt* "}" ;
 stmt : block | declaration | ";" | "if" "(" expr ")" stmt ( "else" stmt )? | "for" for_rest | "while" "(" expr ")" stmt | "do" stmt "while" "(" expr ")" ";"?
   | "continue" %name? semi | "break" %name? semi | "return" expr? semi | "throw" expr semi | "with" "(" expr ")" stmt | "switch" "(" expr ")" "{" ( ( "case" expr | "default" ) ":" stmt* )* "}"
-  | "try" block ( "catch" ( "(" pattern ")" )? block ( "finally" block )? | "finally" block ) | "debugger" semi | %name ":" stmt | !not_expr expr semi ;
+  | "try" block ( "catch" ( "(" pattern ")" )? block ( "finally" block )? | "finally" block ) | "debugger" semi | LABEL ":" stmt | %soft ":" stmt | !not_expr expr semi ;
 for_rest : "await"? "(" for_head ")" stmt ;
 for_head : ( "var" | "const" | "let" ) ( bindings ";" expr? ";" expr? | pattern ( "of" assign | "in" expr ) ) | !not_let expr ";" expr? ";" expr? | ";" expr? ";" expr? | !not_let left ( "of" assign | "in" expr ) ;
 expr : assign ( "," assign )* ;
 cover : cover_item ( "," cover_item )* ","? ;
 cover_item : "..."? assign ;
-assign : %name "=>" arrow_body | "(" cover? ")" "=>" arrow_body | "async" %name "=>" arrow_body | "async" "(" cover? ")" "=>" arrow_body | "yield" ( "*"? assign )? | left ( %assign assign | "++" tail? | "--" tail? | tail )? | PRIVATE "in" unary tail? | prefixed tail? ;
+assign : ARROW "=>" arrow_body | %soft "=>" arrow_body | "(" cover? ")" "=>" arrow_body | "async" ( ARROW | %soft ) "=>" arrow_body | "async" "(" cover? ")" "=>" arrow_body | "yield" ( "*"? assign )? | left ( %assign assign | "++" tail? | "--" tail? | tail )? | PRIVATE "in" unary tail? | prefixed tail? ;
 tail : ( %binary unary )+ ( "?" assign ":" assign )? | "?" assign ":" assign ;
 arrow_body : func_body | !brace assign ;
 unary : left ( "++" | "--" )? | prefixed ;
@@ -59,8 +59,8 @@ primary : %name | NUM | STR | REGEX | template | "this" | "null" | "true" | "fal
 template : TPL | TPLHEAD expr ( TPLMID expr )* TPLTAIL ;
 array : "[" ( "," | "..."? assign "," )* ( "..."? assign )? "]" ;
 object : "{" ( property ( "," property )* ","? )? "}" ;
-property : "..." assign | %name ( "=" assign )? | prop_name ":" assign | "async"? "*"? prop_name method | ( "get" | "set" ) prop_name method ;
-prop_name : %word | STR | NUM | "[" assign "]" | PRIVATE ;
+property : "..." assign | LABEL ":" assign | %name ( "=" assign )? | prop_name ":" assign | "async"? "*"? prop_name method | ( "get" | "set" ) prop_name method ;
+prop_name : %plain_word | STR | NUM | "[" assign "]" | PRIVATE ;
 method : params func_body ;
 params : "(" ( param ( "," param )* ","? )? ")" ;
 param : "..."? pattern ( "=" assign )? ;
@@ -72,7 +72,9 @@ member : "static"? ( "async"? "*"? prop_name method | ( "get" | "set" ) prop_nam
 
 _SETS = {
     "name": {"NAME", *SOFT},
-    "word": {"NAME", *SOFT, *RESERVED},
+    "soft": set(SOFT),
+    "word": {"NAME", "LABEL", *SOFT, *RESERVED},
+    "plain_word": {"NAME", *SOFT, *RESERVED},
     "assign": set(_ASSIGN),
     "binary": set(_BINARY),
     "prefix": {"+", "-", "!", "~", "typeof", "void", "delete", "++", "--"},
@@ -87,22 +89,27 @@ DIALECTS = ("module", "script")
 _K = G.kind
 _FIXED = {x: _K(x) for x in (*_PUNCT, *RESERVED, *SOFT)}
 _NAME, _NUM, _STR, _REGEX, _PRIVATE, _ASI, _EOF = map(_K, ("NAME", "NUM", "STR", "REGEX", "PRIVATE", "ASI", "EOF"))
+#: A name before ``=>``, and one before ``:`` where a statement or a property may begin.
+_ARROW, _LABEL = map(_K, ("ARROW", "LABEL"))
+_BEFORE_ARROW, _BEFORE_COLON = re.compile(r"[ \t]*=>"), re.compile(r"[ \t]*:")
+_MAY_BEGIN = frozenset([-1, *(_FIXED[x] for x in (";", "{", "}", ")", ":", "else", "do"))])
 _TPL, _HEAD, _MID, _TAIL = map(_K, ("TPL", "TPLHEAD", "TPLMID", "TPLTAIL"))
 
 _TOKEN = re.compile(
-    r"(?P<ws>[ \t\v\f\xa0﻿]+|//[^\n\r  ]*)|(?P<nl>[\n\r  ]+)|(?P<com>/\*[\s\S]*?\*/)"
-    r"|(?P<name>(?:[A-Za-z_$\u0080-\U0010ffff]|\\u[0-9a-fA-F]{4}|\\u\{[0-9a-fA-F]+\})(?:[\w$‌‍\u0080-\U0010ffff]|\\u[0-9a-fA-F]{4}|\\u\{[0-9a-fA-F]+\})*)"
-    r"|(?P<priv>#[A-Za-z_$\u0080-\U0010ffff][\w$\u0080-\U0010ffff]*)"
-    r"|(?P<num>(?:0[xX](?:_?[0-9a-fA-F])+n?|0[oO](?:_?[0-7])+n?|0[bB](?:_?[01])+n?|(?:\d(?:_?\d)*)n|(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)(?:[eE][+-]?\d(?:_?\d)*)?))"
+    r"[ \t\v\f\xa0﻿]*(?:(?P<name>(?:[A-Za-z_$\u0080-\U0010ffff]|\\u[0-9a-fA-F]{4}|\\u\{[0-9a-fA-F]+\})(?:[\w$‌‍\u0080-\U0010ffff]|\\u[0-9a-fA-F]{4}|\\u\{[0-9a-fA-F]+\})*)"
+    r"|(?P<op>[()\[\]{},;~:]|\.(?:\.\.)?(?!\d)|===?|=>?|!==?|!|\?\?=?|\?\.(?!\d)|\?|\*\*?=?|<<?=?|>{1,3}=?|&&?=?|\|\|?=?|\+\+|--|[+\-%^]=?|/(?![/*])=?)"
+    r"|(?P<nl>[\n\r  ]+)"
     r"|(?P<str>\"(?:[^\\\"\n\r]|\\(?:\r\n|[^xu]|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|u\{[0-9a-fA-F]+\}))*\"|'(?:[^\\'\n\r]|\\(?:\r\n|[^xu]|x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|u\{[0-9a-fA-F]+\}))*')"
+    r"|(?P<num>(?:0[xX](?:_?[0-9a-fA-F])+n?|0[oO](?:_?[0-7])+n?|0[bB](?:_?[01])+n?|(?:\d(?:_?\d)*)n|(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)(?:[eE][+-]?\d(?:_?\d)*)?))"
     r"|(?P<tpl>`)"
-    r"|(?P<op>>>>=|\.\.\.|===|!==|\*\*=|<<=|>>=|>>>|&&=|\|\|=|\?\?=|=>|==|!=|<=|>=|&&|\|\||\?\?|\?\.(?!\d)|\+\+|--|\+=|-=|\*=|/=|%=|&=|\|=|\^=|<<|>>|\*\*|[{}()\[\];,<>+\-*/%&|^!~?:=.])"
+    r"|(?P<priv>#[A-Za-z_$\u0080-\U0010ffff][\w$\u0080-\U0010ffff]*)"
+    r"|(?P<com>/\*[\s\S]*?\*/)|(?P<ws>[ \t\v\f\xa0﻿]+(?![\s\S])|//[^\n\r  ]*))"
 )
 _REGEX_BODY = re.compile(r"/(?![*/])(?:[^\\/\[\n\r  ]|\\[^\n\r]|\[(?:[^\]\\\n\r]|\\[^\n\r])*\])+/[A-Za-z]*")
 _TPL_TEXT = re.compile(r"(?:[^\\`$]|\\[\s\S]|\$(?!\{))*")
 _ID_NEXT = re.compile(r"[A-Za-z0-9_$\\]")
 #: After these a slash divides; after anything else it begins a regular expression.
-_VALUE_END = frozenset([_NAME, _NUM, _STR, _REGEX, _PRIVATE, _TPL, _TAIL, _FIXED[")"], _FIXED["]"], _FIXED["}"], _FIXED["this"], _FIXED["super"], _FIXED["null"], _FIXED["true"], _FIXED["false"], _FIXED["++"], _FIXED["--"], *(_FIXED[x] for x in SOFT)])
+_VALUE_END = frozenset([_NAME, _ARROW, _LABEL, _NUM, _STR, _REGEX, _PRIVATE, _TPL, _TAIL, _FIXED[")"], _FIXED["]"], _FIXED["}"], _FIXED["this"], _FIXED["super"], _FIXED["null"], _FIXED["true"], _FIXED["false"], _FIXED["++"], _FIXED["--"], *(_FIXED[x] for x in SOFT)])
 _RESTRICTED = frozenset(_FIXED[x] for x in ("return", "break", "continue"))
 _HEADS = frozenset(_FIXED[x] for x in ("if", "while", "for", "with"))
 
@@ -130,18 +137,23 @@ def lex(text: str) -> tuple[list[int], bytearray] | None:
             newline, at = True, end
             continue
         if what == "com":
-            newline, at = newline or "\n" in m[0] or "\r" in m[0], end
+            newline, at = newline or "\n" in m["com"] or "\r" in m["com"], end
             continue
         kind = -1
         if what == "name":
-            word = m[0]
+            word = m["name"]
             kind = _FIXED.get(word, _NAME)
+            if kind == _NAME:
+                if text.startswith((" =>", "=>"), end) and _BEFORE_ARROW.match(text, end):
+                    kind = _ARROW
+                elif last in _MAY_BEGIN and _BEFORE_COLON.match(text, end):
+                    kind = _LABEL
             if not word.isascii() and not word.replace("$", "_").replace("‌", "").replace("‍", "").isidentifier():
                 return None
         elif what == "op":
-            op = m[0]
+            op = m["op"]
             if op[0] == "/" and (last not in _VALUE_END or last == _FIXED[")"] and closed_head or last == _FIXED["}"] and block_end):
-                r = _REGEX_BODY.match(text, at)
+                r = _REGEX_BODY.match(text, m.start("op"))
                 if not r:
                     return None
                 kind, end = _REGEX, r.end()

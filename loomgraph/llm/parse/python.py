@@ -17,7 +17,7 @@ _BIN = ("+", "-", "*", "/", "//", "%", "@", "&", "|", "^", ">>", "<<", "**", "<"
 GRAMMAR = r"""
 file : ( NEWLINE | stmt )* "EOF" ;
 stmt : simple_line | compound ;
-simple_line : simple ( ";" simple )* ";"? NEWLINE ;
+simple_line : LINE | simple ( ";" simple )* ";"? NEWLINE ;
 simple : "pass" | "break" | "continue" | "del" targets | "return" star_list? | "raise" ( expr ( "from" expr )? )? | ( "global" | "nonlocal" ) %name ( "," %name )*
   | "import" dotted ( "as" %name )? ( "," dotted ( "as" %name )? )* | "from" ( ( "." | "..." )* dotted | ( "." | "..." )+ ) "import" ( "*" | "(" from_names ","? ")" | from_names )
   | "assert" expr ( "," expr )? | TYPE %name type_params? "=" expr | expr_stmt ;
@@ -80,7 +80,7 @@ pat_arg : KWNAME "=" pattern | pattern ;
 pat_item : "**" %name | ( "-"? NUM | ( STR | fstring )+ | BSTR+ | dotted | "None" | "True" | "False" ) ":" pattern ;
 """
 
-G = Grammar(GRAMMAR, {"python3": "file"}, {"name": {"NAME", "MATCH", "CASE", "TYPE"}, "attr": {"NAME", "MATCH", "CASE", "TYPE", "KWNAME", "WNAME"}, "aug": set(_AUG), "bin": set(_BIN)})
+G = Grammar(GRAMMAR + 'one_line : simple_line "EOF" ;', {"python3": "file", "line": "one_line"}, {"name": {"NAME", "MATCH", "CASE", "TYPE"}, "attr": {"NAME", "MATCH", "CASE", "TYPE", "KWNAME", "WNAME"}, "aug": set(_AUG), "bin": set(_BIN)})
 DIALECTS = ("python3",)
 
 _K = G.kind
@@ -90,67 +90,67 @@ _NEWLINE, _INDENT, _DEDENT, _EOF = map(_K, ("NEWLINE", "INDENT", "DEDENT", "EOF"
 _FSTART, _FTEXT, _FEND = map(_K, ("FSTART", "FTEXT", "FEND"))
 _SOFT = {"match": _K("MATCH"), "case": _K("CASE"), "type": _K("TYPE")}
 
+# A line end takes blank lines, comment lines and the next line's indentation with it.
 _TOKEN = re.compile(
-    r"(?P<ws>[ \t\f]+|\\\r?\n|#[^\r\n]*)|(?P<nl>\r?\n|\r)"
+    r"[ \t\f]*(?:(?P<name>(?![rRbBuUfFtT]{1,2}[\"'])[^\W\d]\w*)(?P<eq>(?=\s*=(?!=)))?"
+    r"|(?P<op>:=|[(),:\[\]{};~]|\.(?:\.\.)?(?!\d)|==?|\*\*?=?|//?=?|>>=|<<=|!=|%=?|&=?|\+=?|->|-=?|:=|<<|<=|>=|>>|@=?|\^=?|\|=?|[<>!])"
+    r"|(?P<nl>(?:\r?\n|\r)(?:[ \t\f]*(?:#[^\r\n]*)?(?:\r?\n|\r))*(?P<in>[ \t\f]*)(?:#[^\r\n]*(?![\s\S]))?)"
     r"|(?P<f>[fF][rR]?|[rR][fF]|[tT][rR]?|[rR][tT])(?P<fq>\"\"\"|'''|\"|')"
     r"|(?P<b>[bB][rR]?|[rR][bB])?(?P<p>[rRuU])?(?P<s>\"\"\"(?:[^\\\"]|\\[\s\S]|\"(?!\"\"))*\"\"\"|'''(?:[^\\']|\\[\s\S]|'(?!''))*'''|\"(?:[^\\\"\r\n]|\\\r\n|\\[\s\S])*\"|'(?:[^\\'\r\n]|\\\r\n|\\[\s\S])*')"
     r"|(?P<num>(?:0[xX](?:_?[0-9a-fA-F])+|0[oO](?:_?[0-7])+|0[bB](?:_?[01])+|(?:(?:[1-9](?:_?\d)*|0(?:_?0)*)(?![\d.eEjJ_])|(?:\d(?:_?\d)*)?\.\d(?:_?\d)*(?:[eE][+-]?\d(?:_?\d)*)?[jJ]?|\d(?:_?\d)*\.?(?:[eE][+-]?\d(?:_?\d)*)[jJ]?|\d(?:_?\d)*\.[jJ]?|\d(?:_?\d)*[jJ])))"
-    r"|(?P<name>[^\W\d]\w*)"
-    r"|(?P<op>\*\*=|//=|>>=|<<=|\.\.\.|!=|%=|&=|\*\*|\*=|\+=|-=|->|//|/=|:=|<<|<=|==|>=|>>|@=|\^=|\|=|[%&()*+,\-./:;<=>@\[\]^{|}~!])"
+    r"|(?P<ws>\\\r?\n|#[^\r\n]*|[ \t\f]+(?![\s\S])))"
 )
-_BLANKS = re.compile(r"[ \t\f]*")
-_EQ, _WALRUS = re.compile(r"\s*=(?!=)"), re.compile(r"\s*:=")
+_WALRUS = re.compile(r"\s*:=")
+_FIRST = re.compile(r"(?:[ \t\f]*(?:#[^\r\n]*)?(?:\r?\n|\r))*([ \t\f]*)(?:#[^\r\n]*(?![\s\S]))?")
 _AFTER_NUM = re.compile(r"[^\W\d]\w*")
 _OPEN, _CLOSE = {"(": ")", "[": "]", "{": "}"}, {")": "(", "]": "[", "}": "{"}
 _FSTOP = {q: re.compile(r"(?:[^{}\\" + q[0] + ("" if len(q) == 3 else r"\r\n") + r"]|\\(?!N\{)(?:\r\n|[^{}]|(?=[{}]))|\\N\{[^{}\r\n]*\}|\{\{|\}\}" + (rf"|{q[0]}(?!{q[0] * 2})" if len(q) == 3 else "") + ")+") for q in ('"', "'", '"""', "'''")}
 _SPEC = {q: re.compile(r"(?:[^{}\\" + q[0] + ("" if len(q) == 3 else r"\r\n") + r"]|\\[^{}]" + (rf"|{q[0]}(?!{q[0] * 2})" if len(q) == 3 else "") + ")+") for q in ('"', "'", '"""', "'''")}
 
 
+def _indent(blanks: str, indents: list[int], alt: list[int], out: list[int]) -> bool:
+    """Indents and dedents of a line; False where tabs and blanks do not agree."""
+    if "\t" in blanks or "\f" in blanks:
+        col = other = 0
+        for c in blanks:
+            if c == "\t":
+                col, other = (col // 8 + 1) * 8, other + 1
+            elif c == "\f":
+                col = other = 0
+            else:
+                col, other = col + 1, other + 1
+    else:
+        col = other = len(blanks)
+    if col > indents[-1]:
+        if other <= alt[-1]:
+            return False
+        indents.append(col)
+        alt.append(other)
+        out.append(_INDENT)
+        return True
+    while col < indents[-1]:
+        indents.pop()
+        alt.pop()
+        out.append(_DEDENT)
+    return col == indents[-1] and other == alt[-1]
+
+
 def lex(text: str) -> list[int] | None:
     """Token kinds, or None where the characters form no tokens."""
-    if text.startswith("\ufeff"):
+    if text[:1] == chr(0xFEFF):
         text = text[1:]
     if "\0" in text:
         return None
     out: list[int] = []
     indents, alt = [0], [0]
-    stack: list = []  # open brackets, and f-strings as (quote, raw)
-    at, n = 0, len(text)
-    start_of_line = True
-    match = _TOKEN.match
-    while True:
-        if start_of_line and not stack:
-            # indentation; blank and comment lines count for nothing
-            m = _BLANKS.match(text, at)
-            col = alt_col = 0
-            for c in m[0]:
-                if c == "\t":
-                    col, alt_col = (col // 8 + 1) * 8, alt_col + 1
-                elif c == "\f":
-                    col = alt_col = 0
-                else:
-                    col, alt_col = col + 1, alt_col + 1
-            at = m.end()
-            if at < n and text[at] not in "\r\n#" and not (text[at] == "\\" and text[at + 1 : at + 2] in ("\r", "\n")):
-                if col == indents[-1]:
-                    if alt_col != alt[-1]:
-                        return None
-                elif col > indents[-1]:
-                    if alt_col <= alt[-1]:
-                        return None
-                    indents.append(col)
-                    alt.append(alt_col)
-                    out.append(_INDENT)
-                else:
-                    while col < indents[-1]:
-                        indents.pop()
-                        alt.pop()
-                        out.append(_DEDENT)
-                    if col != indents[-1] or alt_col != alt[-1]:
-                        return None
-                start_of_line = False
-        if at >= n:
-            break
+    stack: list = []  # open brackets, and f-strings as (quote, in a format)
+    n = len(text)
+    m = _FIRST.match(text)
+    at = m.end()
+    if at < n and not text.startswith(("\\\n", "\\\r"), at) and not _indent(m[1], indents, alt, out):
+        return None
+    fresh = True  # nothing on this line yet
+    while at < n:
         if stack and isinstance(stack[-1], tuple):  # inside the text of an f-string
             quote, spec = stack[-1]
             m = (_SPEC if spec else _FSTOP)[quote].match(text, at)
@@ -173,79 +173,117 @@ def lex(text: str) -> list[int] | None:
             else:
                 return None
             continue
-        m = match(text, at)
-        if not m:
-            return None
-        what, end = m.lastgroup, m.end()
-        if what == "ws":
-            at = end
-            if m[0][0] == "\\" and at >= n:
+        for m in _TOKEN.finditer(text, at):
+            if m.start() != at:
                 return None
-            continue
-        if what == "nl":
-            at = end
-            if not stack and not start_of_line:
-                out.append(_NEWLINE)
-                start_of_line = True
-            continue
-        start_of_line = False
-        if what == "name":
-            word = m[0]
-            k = _FIXED.get(word)
-            if k is None:
-                if not word.isascii() and not word.isidentifier():
+            what, at = m.lastgroup, m.end()
+            if what == "name" or what == "eq":
+                word = m["name"]
+                k = _FIXED.get(word)
+                if k is None:
+                    if not word.isascii() and not word.isidentifier():
+                        return None
+                    k = _NAME
+                    if what == "eq":
+                        if stack and stack[-1] == "(":
+                            k = _KW
+                    elif text.startswith((":", " :"), at) and _WALRUS.match(text, at) and not (stack and stack[-1] == "{f"):
+                        k = _W
+                    if word in _SOFT and k == _NAME and not stack and (fresh or out[-1] == _FIXED[";"]):
+                        k = _SOFT[word]
+                out.append(k)
+                fresh = False
+            elif what == "op":
+                op = m["op"]
+                fresh = False
+                if op in _OPEN:
+                    stack.append(op)
+                elif op in _CLOSE:
+                    if not stack or stack.pop()[0] != _CLOSE[op]:
+                        return None
+                    out.append(_FIXED[op])
+                    if stack and isinstance(stack[-1], tuple):
+                        break
+                    continue
+                elif stack and stack[-1] == "{f":
+                    if op[0] == ":":
+                        stack.append((next(x[0] for x in reversed(stack) if isinstance(x, tuple)), True))
+                        at = m.start("op") + 1
+                        out.append(_FIXED[":"])
+                        break
+                elif op == "!":
                     return None
-                k = _NAME
-                if stack and stack[-1] == "(" and _EQ.match(text, end):
-                    k = _KW
-                elif stack and _WALRUS.match(text, end) and not str(stack[-1]).endswith("f"):
-                    k = _W
-                elif not stack and word in _SOFT and (not out or out[-1] in (_NEWLINE, _INDENT, _DEDENT, _FIXED[";"])):
-                    k = _SOFT[word]
-                elif not stack and _WALRUS.match(text, end):
-                    k = _W
-            out.append(k)
-        elif what == "op":
-            op = m[0]
-            if op in _OPEN:
-                stack.append(op)
-            elif op in _CLOSE:
+                out.append(_FIXED[op])
+            elif what == "in" or what == "nl":
                 if not stack:
+                    if not fresh:
+                        out.append(_NEWLINE)
+                        fresh = True
+                    if at < n and not text.startswith(("\\\n", "\\\r"), at) and not _indent(m["in"], indents, alt, out):
+                        return None
+            elif what == "s":
+                if m["b"] and not m["s"].isascii():
                     return None
-                top = stack.pop()
-                if top[0] != _CLOSE[op]:
+                out.append(_BSTR if m["b"] else _STR)
+                fresh = False
+            elif what == "num":
+                follow = _AFTER_NUM.match(text, at)
+                if follow and follow[0] not in KEYWORDS:
                     return None
-            elif stack and stack[-1] == "{f":
-                if op[0] == ":":
-                    quote = next(x[0] for x in reversed(stack) if isinstance(x, tuple))
-                    stack.append((quote, True))
-                    end = at + 1
-                    op = ":"
-            elif op == "!":
-                return None
-            out.append(_FIXED[op])
-        elif what == "num":
-            follow = _AFTER_NUM.match(text, end)
-            if follow and follow[0] not in KEYWORDS:
+                out.append(_NUM)
+                fresh = False
+            elif what == "fq":
+                out.append(_FSTART)
+                stack.append((m["fq"], False))
+                fresh = False
+                break
+            elif m["ws"][0] == "\\" and at >= n:
                 return None
-            out.append(_NUM)
-        elif what == "s":
-            if m["b"] and not m[0].isascii():
+        else:
+            if at < n:
                 return None
-            out.append(_BSTR if m["b"] else _STR)
-        elif what == "fq":
-            out.append(_FSTART)
-            stack.append((m["fq"], False))
-        at = end
     if stack:
         return None
-    if not start_of_line:
+    if not fresh:
         out.append(_NEWLINE)
     out += [_DEDENT] * (len(indents) - 1)
     out.append(_EOF)
     return out
 
 
+_LINE = _K("LINE")
+_KNOWN: dict[tuple, bool] = {}
+
+
+def fold(tokens: list[int]) -> list[int]:
+    """Each line that is a simple statement by itself as one token.
+
+    A line's kinds recur from line to line and from file to file, so what they derive is remembered;
+    only headers of compound statements are recognised anew in every file.
+    """
+    out: list[int] = []
+    start = 0
+    try:
+        while True:
+            end = tokens.index(_NEWLINE, start) + 1
+            while tokens[start] == _INDENT or tokens[start] == _DEDENT:
+                out.append(tokens[start])
+                start += 1
+            line = tuple(tokens[start:end])
+            simple = _KNOWN.get(line)
+            if simple is None:
+                if len(_KNOWN) > 200_000:
+                    _KNOWN.clear()
+                simple = _KNOWN[line] = len(line) < 400 and bool(G.recognise([*line, _EOF], ("line",)))
+            if simple:
+                out.append(_LINE)
+            else:
+                out += line
+            start = end
+    except ValueError:
+        return out + tokens[start:]
+
+
 def accepts(text: str) -> set[str]:
     tokens = lex(text)
-    return set() if tokens is None else G.recognise(tokens, DIALECTS)
+    return set() if tokens is None else G.recognise(fold(tokens), DIALECTS)

@@ -26,16 +26,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.functions.sizing import collect_bounded
+
 MASKS = ("11111", "1101011", "111000011")
 MIN_SHARE = 1 / 3
 ONE_IN = 8
-#: Evaluation items sent to the tasks at once.
-BLOCK = 20_000
+#: Evaluation items sent to the tasks at once, and the bound of the whole query set.
+BLOCK, MOST_ITEMS = 20_000, 2_000_000
 #: Words an alignment may drift from a diagonal.
 DRIFT = 6
 
 _TAG = re.compile(r"</?[a-zA-Z][^<>\n]{0,200}>")
-_ESCAPE = re.compile(r"\\[nrt]|\\u[0-9a-fA-F]{4}|[‒-―​\xad﻿]|--+")
+_ESCAPE = re.compile(r"\\[nrt]|\\u[0-9a-fA-F]{4}|[‒-―]|--+")
 _NOT_WORD = re.compile(r"[\W_]+")
 
 
@@ -189,7 +191,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, block: int = BLOCK) -> Da
     """Distinct (doc_id, item_id) of documents that reproduce enough of an item's passage."""
     spark = documents.sparkSession
     rows = items.select("item_id", "passage").distinct()
-    wanted = [tuple(r) for r in rows.toLocalIterator()]
+    wanted = [tuple(r) for r in collect_bounded(rows, MOST_ITEMS)]
     if not wanted:
         wanted = [(0, None)]
     docs = documents.select("doc_id", "text").filter(F.col("text").isNotNull())

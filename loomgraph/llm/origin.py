@@ -32,8 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bound of the training sample, in chunks.
-TRAIN_CHUNKS = 8000
+#: Bounds of the training sample: chunks in all, and bytes of one; larger chunks are judged but not learned from.
+TRAIN_CHUNKS, TRAIN_BYTES = 8000, 1 << 16
 #: Size of the hashed feature space.
 DIM = 1 << 17
 SCALE = 200.0
@@ -218,7 +218,8 @@ def training_files(chunks: DataFrame, bound: int = TRAIN_CHUNKS) -> dict[tuple,
     total = rows.select(F.count(F.lit(1))).first()[0]
     share = min(1.0, bound / max(1, total))
     place = F.pmod(F.xxhash64("repo", "file_path"), F.lit(1 << 20))
-    picked = rows.filter(place < int(share * (1 << 20)) + 1).select("repo", "file_path", "chunk_id", F.coalesce("body", F.lit("")).alias("body")).limit(2 * bound)
+    small = F.coalesce(F.octet_length("body"), F.lit(0)) <= TRAIN_BYTES
+    picked = rows.filter((place < int(share * (1 << 20)) + 1) & small).select("repo", "file_path", "chunk_id", F.coalesce("body", F.lit("")).alias("body")).limit(2 * bound)
     pdf = picked.toPandas().drop_duplicates().sort_values(["repo", "file_path", "chunk_id"], na_position="first")
     return {k: g["body"].tolist() for k, g in pdf.groupby(["repo", "file_path"], sort=True, dropna=False)}
 

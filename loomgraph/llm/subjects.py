@@ -100,11 +100,11 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, r
     for k in range(rounds):
         known = write_shared(learn_terms(doc_terms, current, SEED_DOCS if k == 0 else LEAST_DOCS), "terms")
         found = write_shared(sentence_subjects(sents, known), "subjects")
-        # Seeds: a given label stays where a sentence of the document speaks for it.
+        # Seeds: a given label needs as many sentences as any other, but they may share one term.
         supported = found.join(broadcast_if_small(given.withColumn("seed", F.lit(True))), ["doc_id", "subject"], "left")
         several = (F.col("n_sentences") >= LEAST_SENTENCES) & (F.col("n_terms") >= LEAST_TERMS)
         sure = several | ((F.col("n_sentences") > LEAST_SENTENCES) & (F.col("sure") >= SURE))
-        kept = supported.filter(sure | F.col("seed")).select("doc_id", "subject", "n_sentences")
+        kept = supported.filter(sure | (F.col("seed") & (F.col("n_sentences") >= LEAST_SENTENCES))).select("doc_id", "subject", "n_sentences")
         if k == rounds - 1:
             return kept
         pairs = kept.select("doc_id", "subject")

@@ -124,3 +124,8 @@ def scip_lines(span: Column) -> Column:
     end = F.when(F.size(span) == 3, F.try_element_at(span, F.lit(1))).otherwise(F.try_element_at(span, F.lit(3)))
     good = F.size(span).isin(3, 4)
     return F.struct(F.when(good, start).otherwise(0).alias("line_start"), F.when(good, F.greatest(start, end)).otherwise(0).alias("line_end"))
+
+
+def byte_slice(text: Column, start: Column, end: Column) -> Column:
+    """Text between two byte offsets of its UTF-8 form."""
+    return F.try_validate_utf8(F.substring(F.encode(text, "UTF-8"), start + 1, end - start).cast("string"))

@@ -19,3 +19,21 @@ def histogram(rows: DataFrame, labels: list[str], value: str, buckets: Sequence[
     sums = rows.groupBy(*labels).agg(*[F.sum((v <= b).cast("bigint")).alias(f"b{i}") for i, b in enumerate(buckets)], F.count(v).alias("b_inf"))
     cells = F.array(*[F.struct(F.lit(str(b)).alias("le"), F.col(f"b{i}").alias("n")) for i, b in enumerate(buckets)], F.struct(F.lit("+Inf").alias("le"), F.col("b_inf").alias("n")))
     return sums.select(*labels, F.explode(cells).alias("c")).select(*labels, "c.le", "c.n")
+
+
+def exposition(name: str, rows: list, labels: list[str], value: str = "n") -> str:
+    """Text exposition of a counter: one line a label set, labels escaped."""
+    text = lambda v: str(v).replace("\\", "\\\\").replace('"', '\\"').replace("\n", "\\n")
+    lines = [f"# TYPE {name} counter"]
+    for r in rows:
+        shown = ",".join(f'{c}="{text(r[c])}"' for c in labels)
+        lines.append(f"{name}{{{shown}}} {r[value]}")
+    return "\n".join(lines) + "\n"
+
+
+def push(send, text: str) -> bool:
+    """Best effort: a store of metrics that fails does not fail the run."""
+    try:
+        return send("POST", "/metrics", text.encode()).status < 400
+    except OSError:
+        return False

@@ -87,8 +87,12 @@ def _no_score() -> Column:
     return F.lit(None).cast("double")
 
 
-def assemble(files: DataFrame, facts: DataFrame) -> Graph:
-    """Graph tables of routed files (repo, path, analyzer, content) and their facts."""
+def assemble(files: DataFrame, facts: DataFrame, cross_repo_prefix: str = "") -> Graph:
+    """Graph tables of routed files (repo, path, analyzer, content) and their facts.
+
+    With a prefix, Go functions also require the exported names of packages below it that are not of
+    their own module.
+    """
     code = facts.filter(F.col("analyzer").isin("python", "javascript"))
     defs = _kind(code, "def").select("repo", "path", "name", "entity_id", "ord")
     table = R.name_table(defs)
@@ -158,6 +162,10 @@ def assemble(files: DataFrame, facts: DataFrame) -> Graph:
     provides = _kind(facts, "symbol").select("repo", F.col("name").alias("symbol"), F.col("analyzer").alias("lang"), F.col("form").alias("kind"), F.lit("provides").alias("role"), "entity_id", F.col("path").alias("src_file"))
     requires = external_requires(code, table).select("repo", "symbol", "lang", F.lit("module").alias("kind"), F.lit("requires").alias("role"), "entity_id", F.col("path").alias("src_file"))
     symbols = provides.unionByName(requires)
+    if cross_repo_prefix:
+        r = _kind(facts, "reference").join(modules, "repo", "left").filter(S.emits_reference(F.col("target"), F.coalesce(F.nullif("module", F.lit("")), F.lit("\x00")), F.lit(cross_repo_prefix)))
+        wanted = r.select("repo", F.col("name").alias("symbol"), F.lit("go").alias("lang"), F.col("form").alias("kind"), F.lit("requires").alias("role"), "entity_id", F.col("path").alias("src_file"))
+        symbols = symbols.unionByName(wanted.dropDuplicates(["repo", "symbol", "entity_id"]))
 
     def named(df: DataFrame, *columns: str) -> DataFrame:
         """The Go module's path in place of its mark."""
@@ -182,7 +190,7 @@ def in_scope(graph: Graph, scope: DataFrame) -> Graph:
     return Graph(keep(graph.entities, "file_path"), keep(graph.edges, "src_file"), keep(graph.symbols, "src_file"), keep(graph.chunks, "file_path"), keep(graph.failed, "path"), extra=graph.extra)
 
 
-def ingest(files: DataFrame, changes: DataFrame | None = None, full_set: bool = False, failing: list[str] | None = None) -> Graph:
+def ingest(files: DataFrame, changes: DataFrame | None = None, full_set: bool = False, failing: list[str] | None = None, cross_repo_prefix: str = "") -> Graph:
     """One ingest run over files (repo, path, content) of whole repositories.
 
     ``changes`` (repo, path, old_path, status, content_sha) limits what is emitted and what a store
@@ -196,7 +204,7 @@ def ingest(files: DataFrame, changes: DataFrame | None = None, full_set: bool =
     healthy = routed.join(held, ["repo", "path"], "left_anti") if failing else routed
     modules = files.filter(F.col("path") == "go.mod").withColumn("analyzer", F.lit("gomod"))
     facts = cut_lineage(extract_facts(healthy))
-    graph = assemble(healthy.unionByName(modules.select(*healthy.columns)), facts)
+    graph = assemble(healthy.unionByName(modules.select(*healthy.columns)), facts, cross_repo_prefix)
     if changes is None:
         graph.graph_files = files.select("repo", "path").distinct()
         graph.reconcile = graph.graph_files.limit(0)

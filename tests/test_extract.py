@@ -92,6 +92,13 @@ def test_go(spark):
     assert not [x for x in e if x[1].endswith(".H")]
 
 
+def test_go_requires(spark):
+    tree = {"go.mod": "module example.org/m\n", "a.go": 'package m\n\nimport (\n\t"fmt"\n\tk "example.org/kit/v2"\n\t"example.org/m/own"\n)\n\nvar x = k.New()\n\nfunc F() { k.Do(); k.Do(); own.Y(); fmt.Println(); s.k.No() }\n'}
+    g = run(spark, tree, cross_repo_prefix="example.org/")
+    got = {(s.symbol, s.entity_id) for s in g.symbols.collect() if s.role == "requires"}
+    assert got == {("example.org/kit/v2.New", "go:package:example.org/m"), ("example.org/kit/v2.Do", "go:func:example.org/m.F")}
+
+
 def test_terraform(spark):
     tree = {
         "net/main.tf": 'variable "v" {}\nresource "aws_vpc" "a" {\n  name = "${var.v}-x"\n  tags = { n = var.v, l = local.z, c = count.index }\n  nested {\n    id = aws_subnet.b[0].id\n  }\n  depends_on = [module.m, var.v]\n}\ndata "aws_ami" "i" {\n  x = data.aws_ami.other.id\n}\nmodule "m" {\n  source = "./sub"\n  in = module.k.out\n}\noutput "o" {\n  value = aws_vpc.a.id # aws_no.no.id\n}\nlocals {\n  q = var.q\n}\n',

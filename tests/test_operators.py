@@ -318,3 +318,28 @@ def test_histogram(spark):
     df = spark.createDataFrame([("a", 1), ("a", 10), ("a", 11), ("a", None)], "k string, v int")
     got = {r.le: r.n for r in metrics.histogram(df, ["k"], "v", (10, 50)).collect()}
     assert got == {"10": 2, "50": 3, "+Inf": 3}
+
+
+def test_payloads(spark):
+    from loomgraph.operators import wire
+    from loomgraph.schema import EDGE, ENTITY, SYMBOL
+    from pyspark.sql import types as T
+
+    with_repo = lambda s: T.StructType([T.StructField("repo", T.StringType()), *s.fields])
+    ent = spark.createDataFrame([("r\"1", "e1", "n", "t", None, "a \"q\".py", 3, 0, None, "", None, {}), ("r\"1", "pkg", "p", "t", None, None, None, None, None, None, None, {"k": "v"})], with_repo(ENTITY))
+    edg = spark.createDataFrame([("r\"1", "e1", "e2", "calls", "b.py", 0.85, "INFERRED", {"resolution": "x"})], with_repo(EDGE))
+    sym = spark.createDataFrame([], with_repo(SYMBOL))
+    packed = spark.createDataFrame([("r\"1", "a \"q\".py", 0), ("r\"1", "b.py", 1)], "repo string, path string, batch_no int")
+    got = list(wire.in_order(wire.payloads(packed, ent, edg, sym, "c1", "ast")))
+    assert [p["files"] for p in got] == [['a "q".py'], ["b.py"]] and got[0]["repo"] == 'r"1' and got[0]["commit"] == "c1"
+    by_id = {e["id"]: e for e in got[0]["entities"]}
+    assert by_id["e1"] == {"id": "e1", "name": "n", "type": "t", "file_path": 'a "q".py', "line_start": 3}
+    assert by_id["pkg"]["properties"] == {"k": "v"} and by_id["pkg"]["file_path"] == ""
+    assert got[1]["edges"][0]["from"] == "e1" and got[1]["entities"] == [] and "symbols" not in got[1]
+
+
+def test_exposition_and_slices(spark):
+    rows = [{"a": 'x"y\n', "n": 2}]
+    assert metrics.exposition("m_total", rows, ["a"]) == '# TYPE m_total counter\nm_total{a="x\\"y\\n"} 2\n'
+    assert metrics.push(lambda *a: (_ for _ in ()).throw(OSError()), "x") is False
+    assert one(spark, S.byte_slice(F.lit("aüb"), F.lit(1), F.lit(3))) == "ü"

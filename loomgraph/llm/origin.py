@@ -25,7 +25,7 @@ and do not change a decision's sign. With fewer than two classes in the sample a
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -49,6 +49,7 @@ _SPOKEN = re.compile(r"never the other way|hand-?written", re.I)
 _VENDOR = re.compile(r"(?:^|/)(?:vendor|_vendor|node_modules|site-packages|godeps|third[_-]?party|external|bower_components|jspm_packages|pods|carthage)/", re.I)
 _SUFFIX = re.compile(r"(?:[.-](?:min|bundle|gen|generated|pb)|_pb2?|_pb2_grpc)\.\w+$|(?:^|/)zz_generated[^/]*$", re.I)
 _STRING = re.compile(r"\"[^\"]*\"|'[^']*'|`[^`]*`")
+_NUMBERS = re.compile(r"\d+")
 _WORD = re.compile(r"\w*\d\w*|[^\W\d]\w*")
 _BLOB = re.compile(r"[\s\"']*[A-Za-z0-9+/=]{48,}[\s\"',;+\\]*")
 
@@ -104,18 +105,29 @@ def _hash(word: str) -> int:
 
 
 def shape_label(text: str) -> bool:
-    """Whether a file's shape is a machine's: digits, blobs, lines without blanks, or few line skeletons."""
+    """Whether a file's shape is a machine's: digits, blobs, lines without blanks, few line skeletons, or lines that count up."""
     n = max(1, len(text))
     lines = [x.strip() for x in text.split("\n") if x.strip()]
     code = [x for x in lines if not _COMMENT.match(x)]
     digits, blanks = sum(map(text.count, "0123456789")) / n, sum(map(text.count, " \t\n")) / n
-    if len(text) > 200 and digits > 0.3 or max(map(len, lines), default=0) > 400 and blanks < 0.08:
+    long = sum(len(x) for x in code if len(x) > 300)
+    if len(text) > 200 and digits > 0.3 or blanks < 0.08 and long > 0.85 * sum(map(len, code)) > 0:
         return True
     if lines and len(text) > 200 and sum(bool(_BLOB.fullmatch(x)) for x in lines) / len(lines) > 0.5:
         return True
-    if len(code) < 12:
+    if len(code) < 8:
         return False
-    return len(Counter(_WORD.sub("w", _STRING.sub("S", x)) for x in code)) <= 4
+    alike: dict[str, list[int]] = defaultdict(list)
+    for x in code:
+        n = _NUMBERS.findall(x)
+        alike[_WORD.sub("w", _STRING.sub("S", x))].append(int(n[-1][:9]) if n else -1)
+    if len(code) >= 12 and len(alike) <= 4:
+        return True
+    # lines alike but for a number that counts up
+    for n in alike.values():
+        if len(n) >= 6 and len(n) >= 0.12 * len(code) and sum(b == a + 1 for a, b in zip(n, n[1:])) >= 0.7 * (len(n) - 1):
+            return True
+    return False
 
 
 def fit_svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, positive: float, negative: float, rounds: int = 8, seed: int = 0) -> tuple[np.ndarray, float]:

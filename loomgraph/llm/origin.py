@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the training sample: chunks in all, and bytes of one; larger chunks are judged but not learned from.
-TRAIN_CHUNKS, TRAIN_BYTES = 8000, 1 << 16
+TRAIN_CHUNKS, TRAIN_BYTES = 16_000, 1 << 16
 #: Size of the hashed feature space.
 DIM = 1 << 17
 SCALE = 200.0
@@ -47,7 +47,7 @@ _HEADER = re.compile(
 )
 _SPOKEN = re.compile(r"never the other way|hand-?written", re.I)
 _VENDOR = re.compile(r"(?:^|/)(?:vendor|_vendor|node_modules|site-packages|godeps|third[_-]?party|external|bower_components|jspm_packages|pods|carthage)/", re.I)
-_SUFFIX = re.compile(r"(?:[.-](?:min|bundle|gen|generated|pb)|_pb2?|_pb2_grpc)\.\w+$|(?:^|/)zz_generated[^/]*$", re.I)
+_SUFFIX = re.compile(r"[.-](?:min|bundle|gen|generated|pb)\.\w+$|_pb2(?:_grpc)?\.pyi?$|_pb\.(?:js|ts|rb|php)$|(?:^|/)zz_generated[^/]*$", re.I)
 _STRING = re.compile(r"\"[^\"]*\"|'[^']*'|`[^`]*`")
 _NUMBERS = re.compile(r"\d+")
 _WORD = re.compile(r"\w*\d\w*|[^\W\d]\w*")
@@ -91,13 +91,12 @@ def _line_grams(line: str) -> np.ndarray:
     return np.concatenate([grams(data, 5, 3), grams(data, 8, 4)])
 
 
-def path_features(path: str) -> list[int]:
-    """Hashes of the directory names without short random endings, and of the ends of the file name."""
+def path_features(path: str) -> list[str]:
+    """Directory names without short random endings, and the end of the file name."""
     *dirs, name = path.lower().split("/")
     parts = [re.sub(r"[-_][0-9a-z]{1,4}$|\d+", "", d) or d for d in dirs]
     tails = re.split(r"(?=[._-])", name)
-    words = [f"d:{p}" for p in parts] + ["t:" + re.sub(r"\d", "0", "".join(tails[-k:])) for k in (2, 3) if len(tails) > k] + [f"h:{name[:12]}"] * name.startswith("zz")
-    return [_hash(w) for w in words]
+    return sorted({f"d:{p}" for p in parts} | {"t:" + "".join(tails[-2:])} | ({f"h:{name[:12]}"} if name.startswith("zz") else set()))
 
 
 def _hash(word: str) -> int:
@@ -171,7 +170,8 @@ class Model:
     """The three classifiers, small enough to travel with the tasks."""
 
     def __init__(self, files: dict[tuple, list[str]]):
-        bodies, body_y, lines, line_y, paths, path_y = [], [], {}, [], [], []
+        bodies, body_y, lines, paths, path_y = [], [], {}, [], []
+        known: dict[str, int] = {}  # path features of the sample; others mean nothing
         for (_, path), chunks in files.items():
             text = "\n".join(chunks)
             code, comments = split_lines(text)
@@ -185,17 +185,18 @@ class Model:
             if code.strip() and (suffixed or shaped or not (header or vendored)):
                 bodies.append(counted(_code_grams(code)))
                 body_y.append(1 if suffixed or shaped else -1)
-            f = np.array(sorted(set(path_features(path))), np.int64)
+            f = np.array([known.setdefault(w, len(known) % DIM) for w in path_features(path)], np.int64)
             paths.append((f, np.full(len(f), 0.02)))
             path_y.append(1 if vendored or suffixed else -1)
         self.body, self.body_bias = fit_noisy(bodies, np.array(body_y))
         texts = sorted(lines)
         self.line, self.line_bias = fit_noisy([counted(_line_grams(t)) for t in texts], np.array([1 if lines[t] else -1 for t in texts]))
-        self.path, self.path_bias = fit_noisy(paths, np.array(path_y), drop=-0.9)
+        w, self.path_bias = fit_noisy(paths, np.array(path_y), positive=64.0, drop=-0.9)
+        self.path = {f: float(w[i]) for f, i in known.items() if w[i]}
         self.body, self.line = self.body.astype(np.float32), self.line.astype(np.float32)
 
     def path_score(self, path: str) -> float:
-        return 0.02 * float(sum(self.path[i] for i in set(path_features(path)))) + self.path_bias
+        return 0.02 * sum(self.path.get(f, 0.0) for f in path_features(path)) + self.path_bias
 
     def score(self, bodies: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per body: sum of its n-grams' weights, their number, and its highest comment line."""

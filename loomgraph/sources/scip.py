@@ -161,7 +161,6 @@ def last_name(symbol: str) -> str:
     return symbol
 
 
-@F.pandas_udf("string")
 def _short_names(symbols: pd.Series) -> pd.Series:
     """A small grammar, run over distinct symbols only."""
     return symbols.map(last_name)
@@ -207,7 +206,7 @@ def graph(occurrences: DataFrame, symbols: DataFrame) -> dict[str, DataFrame]:
     local = symbols.filter(F.col("doc").isNotNull()).groupBy("repo", "doc", "symbol").agg(F.max(F.struct("kind", "display_name")).alias("l"))
     outer = symbols.filter(F.col("doc").isNull()).groupBy("repo", "symbol").agg(F.max(F.struct("kind", "display_name")).alias("x"))
     o = occ.join(local, ["repo", "doc", "symbol"], "left").join(outer, ["repo", "symbol"], "left").withColumn("info", F.coalesce("l", "x"))
-    names = o.select("symbol").distinct().withColumn("short", _short_names("symbol"))
+    names = o.select("symbol").distinct().withColumn("short", F.pandas_udf(_short_names, "string")("symbol"))
     o = o.join(names, "symbol").withColumn("eid", F.concat(F.lit("scip:"), "lang", F.lit(":"), "symbol")).withColumn("kind", F.when(F.col("info").isNotNull(), kind_name(F.col("info.kind"))))
     body = F.when(F.size("enclosing") >= 3, F.col("enclosing")).otherwise(F.col("span"))
     o = o.withColumn("body", body)

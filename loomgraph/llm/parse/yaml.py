@@ -71,6 +71,7 @@ def lex(text: str) -> list[int] | None:
                 line, at = line + 1, b.end()
                 start = at
                 adjacent = False
+                keys.clear()  # a key stands on one line
                 if not flow:
                     allowed = True
                 continue
@@ -82,8 +83,6 @@ def lex(text: str) -> list[int] | None:
         column = at - start
         if at >= n:
             break
-        for depth in [d for d, k in keys.items() if k[1] != line and not (d and False)]:
-            del keys[depth]
         if column == 0 and (m := _DOC.match(text, at)):
             if flow:
                 return None
@@ -106,7 +105,7 @@ def lex(text: str) -> list[int] | None:
             out.append(_DIRECTIVE)
             continue
         if c in "[{":
-            keys[len(flow)] = (len(out), line, column) if flow or allowed or True else keys.get(len(flow))
+            keys[len(flow)] = (len(out), line, column)
             out.append(_OPEN[c])
             flow.append(c)
             at += 1
@@ -119,8 +118,6 @@ def lex(text: str) -> list[int] | None:
             out.append(_SHUT[c])
             at += 1
             allowed, adjacent = False, True
-            if len(flow) in keys and keys[len(flow)][1] != line:
-                del keys[len(flow)]
             continue
         if c == "," and flow:
             keys.pop(len(flow), None)
@@ -156,9 +153,6 @@ def lex(text: str) -> list[int] | None:
                 if not flow and key[2] > indents[-1]:
                     indents.append(key[2])
                     out.insert(key[0], _BMAP)
-                for d, (p, a, b2) in list(keys.items()):
-                    if p > key[0]:
-                        del keys[d]
                 allowed = False
             else:
                 if not flow:
@@ -237,7 +231,7 @@ def lex(text: str) -> list[int] | None:
             if breaks:
                 line += len(breaks)
                 start = at + breaks[-1].end()
-                keys.pop(len(flow), None)
+                keys.clear()
             out.append(_SCALAR)
             at = m.end()
             allowed, adjacent = False, True
@@ -274,7 +268,7 @@ def lex(text: str) -> list[int] | None:
             if not nxt or text[p] in ":" and (p + 1 >= n or text[p + 1] in " \t\r\n") or flow and text[p] in ",[]{}":
                 break
             line, start, at = line + lines, q, p
-            keys.pop(len(flow), None)
+            keys.clear()
         if first:
             return None
         out.append(_SCALAR)

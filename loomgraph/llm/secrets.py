@@ -63,26 +63,26 @@ _ISSUED = re.compile(
 _ISSUED_START = re.compile(r"^(?:AKIA|ASIA|gh[pousr]_|xox[abprs]-|[sr]k_live_|eyJ[\w-]{4}|[a-z]{2,5}_(?:pat|tok|key|live)_)")
 
 _TRIGGER = re.compile(
-    r"pass|pwd|\bpw|_pw|pw\d|-p |secret|token|key|bearer|auth|cred|psk|clave|kennwort|contrase|login|log in|connect|dial|private key|eyj|://[^/\s]*@|:[^\s@/]+@|akia|asia|[sr]k_|gh[pousr]_|glpat|xox[abprs]-|_(?:pat|tok|live|sec)_|try |use |worked with|[?&](?:code|sig|sign)|\bpin\b|jwt"
+    r"pass|pwd|\bpw|_pw|pw\d|-p |secret|token|key|bearer|auth|cred|psk|clave|kennwort|contrase|login|log in|connect|dial|private key|eyj|://[^/\s]{0,200}@|:[^\s@/]{1,200}@|akia|asia|[sr]k_|gh[pousr]_|glpat|xox[abprs]-|_(?:pat|tok|live|sec)_|try |use |worked with|[?&](?:code|sig|sign)|\bpin\b|jwt"
 )
 _Q = r"""(?P<q>["'`])(?P<v>(?:(?!(?P=q))[^\\\r]|\\.)+)"""
-_ASSIGN = re.compile(r"""(?P<n>[A-Za-z_][\w.\-]*)["'`]?\]?(?:\s*:\s*[A-Za-z_]\w*)?\s*(?::=|=>|->|[:=|])\s*\(?\s*(?:[rbuf]{1,2}(?=["']))?""" + _Q)
-_DEFAULT = re.compile(r"""(?:getenv|envOr|env_or|environ\.get|getOrDefault|lookup|get|env|fetch)\w*\(\s*["'](?P<n>\w+)["']\s*,\s*""" + _Q + r"(?P=q)")
-_OR = re.compile(r"""(?P<n>[A-Za-z_][\w.]*)(?:["']\])?\s*(?:\|\||\?\?|\bor\b)\s*""" + _Q + r"(?P=q)")
+_ASSIGN = re.compile(r"""(?<![\w.\-])(?P<n>[A-Za-z_][\w.\-]{0,100})["'`]?\]?(?:\s*:\s*[A-Za-z_]\w*)?\s*(?::=|=>|->|[:=|])\s*\(?\s*(?:[rbuf]{1,2}(?=["']))?""" + _Q)
+_DEFAULT = re.compile(r"""(?:getenv|envOr|env_or|environ\.get|getOrDefault|lookup|get|env|fetch)\w{0,30}\(\s*["'](?P<n>\w{1,100})["']\s*,\s*""" + _Q + r"(?P=q)")
+_OR = re.compile(r"""(?<![\w.])(?P<n>[A-Za-z_][\w.]{0,100})(?:["']\])?\s*(?:\|\||\?\?|\bor\b)\s*""" + _Q + r"(?P=q)")
 _BARE = re.compile(r"""^[\s#/*>+!-]*(?:export\s+|set\s+|setx\s+|ENV\s+|ARG\s+)?(?P<n>[A-Za-z_][\w.\-]*)\s*(?:=|:|->)\s*(?P<v>[^\s"'`,;(){}\[\]]+)[,;]?\s*$""")
-_TABLE = re.compile(r"\|\s*`?(?P<n>[A-Za-z_][\w.\- ]*)`?\s*\|\s*`?(?P<v>[^\s|`]+)`?\s*(?=\|)")
-_CALL = re.compile(r"""\b(?:connect|login|log_in|signin|sign_in|dial|open|authenticate|auth|Client|session)\w*\(\s*["'`][^"'`]*["'`]\s*,\s*["'`][\w.@-]+["'`]\s*,\s*""" + _Q + r"(?P=q)", re.I)
-_HEADER = re.compile(r"""["'](?P<n>(?:X-)?[\w-]*(?:auth|key|token|secret)[\w-]*)["']\s*[,:]\s*""" + _Q + r"(?P=q)", re.I)
+_TABLE = re.compile(r"\|\s*`?(?P<n>[A-Za-z_][\w.\- ]{0,100})`?\s*\|\s*`?(?P<v>[^\s|`]+)`?\s*(?=\|)")
+_CALL = re.compile(r"""\b(?:connect|login|log_in|signin|sign_in|dial|open|authenticate|auth|Client|session)\w{0,30}\(\s*["'`][^"'`]{0,300}["'`]\s*,\s*["'`][\w.@-]{1,200}["'`]\s*,\s*""" + _Q + r"(?P=q)", re.I)
+_HEADER = re.compile(r"""["'](?P<n>(?:X-)?[\w-]{0,40}(?:auth|key|token|secret)[\w-]{0,40})["']\s*[,:]\s*""" + _Q + r"(?P=q)", re.I)
 _SCHEME = re.compile(r"(?:Authorization\W{1,6}|[\"'\s])(?P<s>Basic|Bearer|Token)\s+(?P<v>[A-Za-z0-9+/=_.~\-]{6,})", re.I)
-_USERINFO = re.compile(r"(?:(?<=://)|(?<![\w/:.@-]))(?P<u>[\w.+-]*):(?P<v>[^\s:@/\"'`]+(?:/[^\s:@/\"'`]+)*)@(?=[\w-]+(?:\.[\w-]+)+|localhost)")
-_PARAM = re.compile(r"[?&](?P<n>[\w-]*(?:key|code|sig|signature|token|secret|auth|password|pwd))=(?P<v>[^&\s\"'`<>#)]+)", re.I)
-_FLAG = re.compile(r"(?<![\w-])(?:--(?P<n>[\w-]*(?:password|passwd|passphrase|pw|pass|pwd|secret|token|key|auth|psk|cred|bearer|clave|kennwort))(?:=|\s+)|-(?P<p>p)\s+|-(?P<up>u)\s+[\w.-]+:)(?P<v>[^\s\"'`]+)")
-_SAYS = re.compile(r"(?P<n>[A-Za-z][\w-]*)`?\s*(?:(?:is|was|ist|es)(?:\s+(?:still|now|currently))?\s*:?|=|:|->)\s+[`\"']?(?P<v>[^\s`\"']+)", re.I)
+_USERINFO = re.compile(r"(?:(?<=://)|(?<![\w/:.@-]))(?P<u>[\w.+-]{0,200}):(?P<v>[^\s:@/\"'`]{1,2000}(?:/[^\s:@/\"'`]{1,2000}){0,20})@(?=[\w-]+(?:\.[\w-]+)+|localhost)")
+_PARAM = re.compile(r"[?&](?P<n>[\w-]{0,60}(?:key|code|sig|signature|token|secret|auth|password|pwd))=(?P<v>[^&\s\"'`<>#)]+)", re.I)
+_FLAG = re.compile(r"(?<![\w-])(?:--(?P<n>[\w-]{0,60}(?:password|passwd|passphrase|pw|pass|pwd|secret|token|key|auth|psk|cred|bearer|clave|kennwort))(?:=|\s+)|-(?P<p>p)\s+|-(?P<up>u)\s+[\w.-]+:)(?P<v>[^\s\"'`]+)")
+_SAYS = re.compile(r"(?<![\w-])(?P<n>[A-Za-z][\w-]{0,100})`?\s*(?:(?:is|was|ist|es)(?:\s+(?:still|now|currently))?\s*:?|=|:|->)\s+[`\"']?(?P<v>[^\s`\"']+)", re.I)
 _AS = re.compile(r"\bwith\s+[`\"']?(?P<v>[^\s`\"']+)[`\"']?\s+as\s+(?:the\s+)?(?P<n>[A-Za-z_][\w-]*)", re.I)
 _LOGIN = (
     re.compile(r"\blog(?:ged)?[ -]?in(?:to)?\s+(?:as|with)\s+[`\"']?[\w.@-]+[`\"']?\s*(?:with|and|/|using)\s*[`\"']?(?P<v>[^\s`\"']+)", re.I),
     re.compile(r"\b(?:use|try)\s+[`\"']?[\w.@-]+[`\"']?\s*/\s*[`\"']?(?P<v>[^\s`\"']+)", re.I),
-    re.compile(r"\blogin\b.*?,?\s*then\s+(?:type|enter|use)\s+[`\"']?(?P<v>[^\s`\"']+)", re.I),
+    re.compile(r"\blogin\b[^\n]{0,200}?,?\s*then\s+(?:type|enter|use)\s+[`\"']?(?P<v>[^\s`\"']+)", re.I),
 )
 _NEXT_LITERAL = re.compile(r"""^\s*[+.&]?\s*(?P<q>["'`])(?P<v>(?:(?!(?P=q))[^\\\r]|\\.)*)(?P=q)""")
 _JOINED = re.compile(r"""^["'`]\s*(?:\+|\.|&|\\)?\s*\\?\r?$""")

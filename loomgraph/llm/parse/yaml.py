@@ -105,7 +105,8 @@ def lex(text: str) -> list[int] | None:
             out.append(_DIRECTIVE)
             continue
         if c in "[{":
-            keys[len(flow)] = (len(out), line, column)
+            if (flow or allowed) and len(flow) not in keys:
+                keys[len(flow)] = (len(out), line, column)
             out.append(_OPEN[c])
             flow.append(c)
             at += 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomgraph.functions import paths as P
 from loomgraph.functions import scalars as S
 from loomgraph.operators import fragments, metrics, packing
-from loomgraph.operators.prompt import render_prompts
+from loomgraph.operators.prompt import TEMPLATE, render_prompts
 from loomgraph.schema import HISTOGRAM_ROWS, HYPEREDGE_CAP, HYPEREDGE_MIN
 from loomgraph.sources.tables import table
 
@@ -192,19 +192,43 @@ j AS (SELECT repo, path, spec, CASE WHEN NOT starts_with(spec, '.') THEN spec WH
   WHEN starts_with(spec, '../') AND length(dir) - length(replace(dir, '/', '')) >= 1 THEN regexp_replace(dir, '[^/]*/$', '') || substr(spec, 4) ELSE spec END AS t FROM d),
 r AS (SELECT repo, path, spec, CASE WHEN NOT starts_with(spec, '.') THEN t WHEN instr(regexp_extract(t, '([^/]*)$', 1), '.') = 0 THEN t || '.js' ELSE t END AS target FROM j)
 """
+_FILES_PACKED = """WITH RECURSIVE s AS (SELECT DISTINCT file_id, repo, path, content, strlen(content) AS n_bytes FROM source_files WHERE content IS NOT NULL),
+      f AS (SELECT repo, path, n_bytes, row_number() OVER (PARTITION BY repo ORDER BY path) AS i FROM s),
+      p AS (SELECT repo, path, n_bytes, i, 0 AS chunk_no, n_bytes AS load, 1 AS files FROM f WHERE i = 1 UNION ALL
+        SELECT f.repo, f.path, f.n_bytes, f.i, CASE WHEN p.load + f.n_bytes > 49152 OR p.files >= 8 THEN p.chunk_no + 1 ELSE p.chunk_no END,
+        CASE WHEN p.load + f.n_bytes > 49152 OR p.files >= 8 THEN f.n_bytes ELSE p.load + f.n_bytes END, CASE WHEN p.load + f.n_bytes > 49152 OR p.files >= 8 THEN 1 ELSE p.files + 1 END
+        FROM p JOIN f ON f.repo = p.repo AND f.i = p.i + 1)
+"""
+
+
+def _prompt_sql() -> str:
+    """The prompt's template as a concatenation."""
+    import re
+
+    columns = {"number": "CAST(chunk_no + 1 AS VARCHAR)", "total": "CAST(n_chunks AS VARCHAR)", "repo": "repo", "files": "names", "contents": "bodies"}
+    parts = re.split(r"\{(\w+)\}", TEMPLATE)
+    text = lambda x: "'" + x.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+    return " || ".join(columns[x] if i % 2 else text(x) for i, x in enumerate(parts))
+
+
+_PROMPTS = (
+    _FILES_PACKED
+    + """, g AS (SELECT p.repo, p.chunk_no, count(*) AS n_files, string_agg('- ' || p.path, chr(10) ORDER BY p.path) AS names,
+        string_agg('### ' || p.path || chr(10) || '```' || chr(10) || s.content || chr(10) || '```', chr(10) || chr(10) ORDER BY p.path) AS bodies
+        FROM p JOIN s ON s.repo = p.repo AND s.path = p.path GROUP BY p.repo, p.chunk_no),
+      n AS (SELECT *, max(chunk_no) OVER (PARTITION BY repo) + 1 AS n_chunks FROM g)
+      SELECT repo, CAST(chunk_no AS INTEGER) AS chunk_no, CAST(n_chunks AS INTEGER) AS n_chunks, CAST(n_files AS INTEGER) AS n_files, sha256("""
+    + _prompt_sql()
+    + ") AS prompt_sha FROM n"
+)
 SQL = {
     "chunk_items": _ITEMS + """SELECT idempotency_key, min(chunk_id) AS first_chunk, CAST(strlen(arg_max(text, chunk_id)) AS BIGINT) AS n_bytes, arg_max(file_path, chunk_id) AS file_path, arg_max(coalesce(lang, ''), chunk_id) AS language FROM k GROUP BY repo, idempotency_key""",
     "item_dedup_last_wins": "WITH i AS (SELECT DISTINCT item_no, repo, idempotency_key, text FROM ingest_items) SELECT repo, idempotency_key, min(item_no) AS first_no, count(*) AS n_sent, sha256(arg_max(text, item_no)) AS text_sha FROM i GROUP BY repo, idempotency_key",
     "items_sent": _ITEMS + ", d AS (SELECT DISTINCT repo, idempotency_key FROM k) SELECT repo, count(*) AS n_items, count(*) FILTER (WHERE idempotency_key IN (SELECT idempotency_key FROM ingest_items)) AS n_sent FROM d GROUP BY repo",
     "pack_graph_batches": _PACKED + "SELECT repo, month, path, n_rows, CAST(batch_no AS INTEGER) AS batch_no FROM p",
     "batch_totals": _PACKED + "SELECT repo, month, CAST(max(batch_no) + 1 AS INTEGER) AS n_batches, count(*) AS n_files, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM p GROUP BY repo, month",
-    "pack_chunks": """WITH RECURSIVE s AS (SELECT DISTINCT file_id, repo, path, strlen(content) AS n_bytes FROM source_files WHERE content IS NOT NULL),
-      f AS (SELECT repo, path, n_bytes, row_number() OVER (PARTITION BY repo ORDER BY path) AS i FROM s),
-      p AS (SELECT repo, path, n_bytes, i, 0 AS chunk_no, n_bytes AS load, 1 AS files FROM f WHERE i = 1 UNION ALL
-        SELECT f.repo, f.path, f.n_bytes, f.i, CASE WHEN p.load + f.n_bytes > 49152 OR p.files >= 8 THEN p.chunk_no + 1 ELSE p.chunk_no END,
-        CASE WHEN p.load + f.n_bytes > 49152 OR p.files >= 8 THEN f.n_bytes ELSE p.load + f.n_bytes END, CASE WHEN p.load + f.n_bytes > 49152 OR p.files >= 8 THEN 1 ELSE p.files + 1 END
-        FROM p JOIN f ON f.repo = p.repo AND f.i = p.i + 1)
-      SELECT repo, path, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(chunk_no AS INTEGER) AS chunk_no FROM p""",
+    "pack_chunks": _FILES_PACKED + "SELECT repo, path, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(chunk_no AS INTEGER) AS chunk_no FROM p",
+    "prompts": _PROMPTS,
     "slug_concept_ids": f"SELECT DISTINCT repo, label, {_SLUG.format(x='label')} AS slug, 'concept:' || repo || ':' || CASE WHEN {_SLUG.format(x='label')} = '' THEN substr(sha256(label), 1, 16) ELSE {_SLUG.format(x='label')} END AS concept_id FROM hyperedges",
     "hyperedge_ids": f"""WITH h AS (SELECT *, list_filter(members, lambda m: m IS NOT NULL) AS ms, string_split(he_key, ':')[-1] AS m FROM {_HE}), s AS (SELECT *, {_SLUG.format(x='src_file')} AS f, {_SLUG.format(x='m')} AS g, substr(sha256(label || array_to_string(ms, '')), 1, 16) AS x FROM h)
       SELECT hyper_id, {_HEID} CASE WHEN f = '' OR g = '' THEN x ELSE f || ':' || g END AS by_file, {_HEID} x AS by_hash FROM s""",

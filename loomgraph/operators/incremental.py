@@ -167,7 +167,8 @@ class IncrementalTable:
         part = source.join(changed.withColumnRenamed(self.partition, "_changed"), F.col(self.partition).eqNullSafe(F.col("_changed")), "left_semi")
         n_changed = changed.count()
         if n_changed:
-            (self.build(part).repartition(self.partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self._data))
+            # Rebalancing gathers a partition's rows and splits those of a hot one over several tasks and files.
+            (self.build(part).hint("rebalance", F.col(self.partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self._data))
         compared.select(self.partition, "now_n", "now_hash").write.mode("overwrite").parquet(target)
         fs, p = self._fs(pending)
         fs.delete(p, True)

@@ -35,15 +35,15 @@ def call_ladder(calls: DataFrame, defs: DataFrame, imports: DataFrame) -> DataFr
     imported = imports.groupBy("repo", "path", F.col("name").alias("callee")).agg(F.max("entity_id").alias("imported_id"))
     near = calls.join(scoped, ["repo", "path", "callee"], "left").join(imported, ["repo", "path", "callee"], "left")
     near = near.withColumn("near_id", F.coalesce("scoped_id", "imported_id"))
-    by_name = repo_index(table).select("repo", F.col("name").alias("callee"), "ids", "n_ids")
+    named = table.select("repo", F.col("name").alias("callee"), F.col("entity_id").alias("dst"))
+    n_ids = named.groupBy("repo", "callee").agg(F.count(F.lit(1)).alias("n_ids"))
     found = near.filter(F.col("near_id").isNotNull()).select(
         "repo", "path", F.col("caller").alias("src"), F.col("near_id").alias("dst"), F.when(F.col("scoped_id").isNotNull(), "scoped_name_match").otherwise("imported_name_match").alias("resolution"), "callee", "ord"
     )
-    far = near.filter(F.col("near_id").isNull()).join(by_name, ["repo", "callee"], "left")
-    wide = far.select(
-        "repo", "path", F.col("caller").alias("src"), F.explode_outer("ids").alias("dst"),
-        F.when(F.col("n_ids") == 1, "global_name_match").when(F.col("n_ids") > 1, "ambiguous_multi_def").otherwise("unresolved").alias("resolution"), "callee", "ord",
-    )
+    # One row an id by a join on the name: no list of a common name's ids is ever built.
+    far = near.filter(F.col("near_id").isNull()).select("repo", "path", "caller", "callee", "ord").join(n_ids, ["repo", "callee"], "left").join(named, ["repo", "callee"], "left")
+    level = F.when(F.col("n_ids") == 1, "global_name_match").when(F.col("n_ids") > 1, "ambiguous_multi_def").otherwise("unresolved")
+    wide = far.select("repo", "path", F.col("caller").alias("src"), "dst", level.alias("resolution"), "callee", "ord")
     return found.unionByName(wide)
 
 

@@ -48,19 +48,19 @@ def terms(sentence: Column) -> Column:
 
 
 def sentences(documents: DataFrame) -> DataFrame:
-    """(doc_id, sent_no, term): the distinct terms of every sentence of every document."""
+    """(doc_id, sents): per document the distinct terms of every sentence, one row a document."""
     one = documents.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).groupBy("doc_id").agg(F.max("text").alias("text"))
-    parts = one.select("doc_id", F.posexplode(F.split(F.regexp_replace("text", _WRAP, " "), _END)).alias("sent_no", "sentence"))
-    return parts.select("doc_id", "sent_no", F.explode(terms(F.col("sentence"))).alias("term"))
+    return one.select("doc_id", F.transform(F.split(F.regexp_replace("text", _WRAP, " "), _END), terms).alias("sents"))
 
 
-def learn_terms(doc_terms: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+def learn_terms(sents: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """Verified terms (term, subject, weight) from labelled documents (doc_id, subject, n_subjects).
 
     A term of several subjects, such as one that sport and music share, keeps each of them that it
     exceeds by the same lift, if together they are pure enough.
     """
-    seen = doc_terms.join(broadcast_if_small(labels), "doc_id")
+    # Labels meet whole documents; only then are the documents' terms unfolded.
+    seen = sents.join(labels, "doc_id").select("subject", "n_subjects", F.explode(F.array_distinct(F.flatten("sents"))).alias("term"))
     by_subject = seen.groupBy("term", "subject").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(1.0) / F.col("n_subjects")).alias("share"))
     docs = by_subject.groupBy("term").agg(F.sum("share").alias("docs")).filter(F.col("docs") >= least_docs)
     # One row a subject of the closed list: a bounded table.
@@ -80,7 +80,9 @@ def sentence_subjects(sents: DataFrame, known: DataFrame) -> DataFrame:
 
     Where terms of a sentence belong to several subjects, what the whole document speaks for decides.
     """
-    spoken = sents.join(broadcast_if_small(known), "term")
+    said = sents.select("doc_id", F.posexplode("sents").alias("sent_no", "words")).select("doc_id", "sent_no", F.explode("words").alias("term"))
+    # One shuffle, of the verified terms alone: all that follows is within a document.
+    spoken = said.join(broadcast_if_small(known), "term").repartition("doc_id")
     votes = spoken.groupBy("doc_id", "sent_no", "subject").agg(F.sum("weight").alias("w"), F.max("sure").alias("sure"), F.collect_set("term").alias("terms"))
     whole = votes.withColumn("all", F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id", "subject")))
     top = whole.groupBy("doc_id", "sent_no").agg(F.max(F.struct((F.col("w") * F.col("all")).alias("v"), "subject", "terms", "sure")).alias("t"))
@@ -92,13 +94,12 @@ def sentence_subjects(sents: DataFrame, known: DataFrame) -> DataFrame:
 def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, subject, n_sentences) of every document and each of its subjects."""
     sents = write_shared(sentences(documents), "sentences")
-    doc_terms = write_shared(sents.select("doc_id", "term").distinct(), "doc-terms")
     closed = areas.select("subject").filter(F.col("subject").isNotNull()).distinct()
     given = labels.select("doc_id", "subject").filter(F.col("doc_id").isNotNull()).distinct().join(broadcast_if_small(closed), "subject", "left_semi")
     given = given.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
     current = _counted(given)
     for k in range(rounds):
-        known = write_shared(learn_terms(doc_terms, current, SEED_DOCS if k == 0 else LEAST_DOCS), "terms")
+        known = write_shared(learn_terms(sents, current, SEED_DOCS if k == 0 else LEAST_DOCS), "terms")
         found = write_shared(sentence_subjects(sents, known), "subjects")
         # Seeds: a given label needs as many sentences as any other, but they may share one term.
         supported = found.join(broadcast_if_small(given.withColumn("seed", F.lit(True))), ["doc_id", "subject"], "left")

@@ -95,12 +95,24 @@ def external_placeholders(spark, sf):
     return R.placeholders(table(spark, sf, "edges"), table(spark, sf, "entities"))
 
 
+def _provides(spark, sf):
+    return R.name_table(_defs(spark, sf)).select("repo", "entity_id", F.col("name").alias("symbol"))
+
+
+def _requires(spark, sf):
+    return _resolved(spark, sf).filter(F.col("dst").isNull()).select("repo", F.col("src").alias("entity_id"), F.col("callee").alias("symbol"))
+
+
 def provides_requires(spark, sf):
-    """Names that one repo exports and another calls without defining them; bounded by names of one provider."""
-    d = R.name_table(_defs(spark, sf)).select("repo", "entity_id", F.col("name").alias("symbol"))
-    single = d.groupBy("symbol").agg(F.countDistinct("repo").alias("n")).filter(F.col("n") == 1).select("symbol")
-    requires = _resolved(spark, sf).filter(F.col("dst").isNull()).select("repo", F.col("src").alias("entity_id"), F.col("callee").alias("symbol"))
-    return R.link_symbols(d.join(single, "symbol", "left_semi"), requires)
+    """The part of provides_requires_all whose names have one provider; the cap is its SQL's."""
+    provides, requires = _provides(spark, sf), _requires(spark, sf)
+    single = provides.groupBy("symbol").agg(F.countDistinct("repo").alias("n")).filter(F.col("n") == 1).select("symbol")
+    return R.link_symbols(provides.join(single, "symbol", "left_semi"), requires)
+
+
+def provides_requires_all(spark, sf):
+    """Names that repos export and another calls without defining them, with every provider of the name."""
+    return R.link_symbols(_provides(spark, sf), _requires(spark, sf))
 
 
 def live_entities(spark, sf):
@@ -119,7 +131,7 @@ def reconciled_edges(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (confidence_tiers, degrade_cap, name_table, repo_index, call_ladder, call_ladder_levels, dangling_calls, edge_dedup_first, enclosing_innermost, external_placeholders, provides_requires, live_entities, reconciled_edges)
+    for f in (confidence_tiers, degrade_cap, name_table, repo_index, call_ladder, call_ladder_levels, dangling_calls, edge_dedup_first, enclosing_innermost, external_placeholders, provides_requires, provides_requires_all, live_entities, reconciled_edges)
 }
 
 _SCORE = "CASE {r} WHEN 'type_resolved' THEN 0.98 WHEN 'scoped_name_match' THEN 0.85 WHEN 'imported_name_match' THEN 0.7 WHEN 'global_name_match' THEN 0.45 WHEN 'ambiguous_multi_def' THEN 0.2 ELSE 0.0 END::DOUBLE"

@@ -57,10 +57,8 @@ def ingest_symbols(spark, sf):
 
 
 def ingest_incremental(spark, sf):
-    """Rows a run over the last commits of every repo emits, and the paths it replaces."""
-    log = table(spark, sf, "change_log").select("repo", "path", "old_path", "status", "content_sha", "commit_no").distinct()
-    head = log.groupBy("repo").agg((F.max("commit_no") - 10).alias("since"))
-    changes = log.join(head, "repo").filter(F.col("commit_no") > F.col("since")).drop("since", "commit_no")
+    """Rows a run over every change of the log emits, and the paths it replaces."""
+    changes = table(spark, sf, "change_log").select("repo", "path", "old_path", "status", "content_sha").distinct()
     g = pipeline.ingest(_files(spark, sf), changes)
     count = lambda df, what: df.groupBy("repo").agg(F.count(F.lit(1)).alias("n")).select("repo", F.lit(what).alias("what"), "n")
     return count(g.entities, "entities").unionByName(count(g.edges, "edges")).unionByName(count(g.chunks, "chunks")).unionByName(count(g.reconcile, "reconcile")).unionByName(count(g.graph_files, "graph_files"))

@@ -42,3 +42,12 @@ def test_every_provider_of_a_name(spark, tmp_path):
     spark.createDataFrame(calls, "edge_id bigint, repo string, src_id string, dst_id string, relation string, src_file string").write.parquet(f"{tmp_path}/edges.parquet")
     got = {(r.symbol, r.from_repo, r.to_repo, r.to_id) for r in graph.QUERIES["provides_requires_all"](spark, str(tmp_path)).collect()}
     assert got == {("load", "c", "a", "py:func:m.load"), ("load", "c", "b", "py:func:n.load"), ("only", "c", "a", "py:func:m.only")}
+
+
+def test_incremental_run_covers_the_whole_log(spark):
+    """Every path the log touches is replaced, however old its last change."""
+    got = {r.repo: r.n for r in extracts.QUERIES["ingest_incremental"](spark, FOLDER).collect() if r.what == "graph_files"}
+    log = spark.read.parquet(f"{FOLDER}/change_log.parquet").filter("path is not null and upper(left(trim(status), 1)) in ('A', 'M', 'D', 'R', 'C', 'T')")
+    paths = {(r.repo, r.path) for r in log.collect()} | {(r.repo, r.old_path) for r in log.collect() if r.status.strip().upper().startswith("R") and r.old_path}
+    assert sum(got.values()) == len(paths)
+    assert got == {repo: sum(r == repo for r, _ in paths) for repo, _ in paths}

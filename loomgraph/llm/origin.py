@@ -14,8 +14,8 @@ There are no labels. Labelling functions give weak ones to a sample of whole fil
 ``TRAIN_CHUNKS`` chunks, a documented bound: tool and copy headers, vendor directories, tool suffixes,
 and the shape of the text (digits, lines without blanks, few line skeletons). Each classifier is
 refitted after rows that it contradicts are dropped, so that unmarked machine-made files among the
-negatives and plain bodies under a header do no harm. ``validate`` fits on half the repositories and
-tests on the other half.
+negatives and plain bodies under a header do no harm. ``validate`` fits on the sampled files of half
+the repositories and tests on every file of the other half.
 
 Nulls: a null repo is a repo of its own; a row without file_path is no file; null or empty bodies add
 nothing. Files with a ``doc_file`` chunk are never cases. Repeated rows add the same evidence again
@@ -25,7 +25,7 @@ and do not change a decision's sign. With fewer than two classes in the sample a
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -272,22 +272,42 @@ def find_not_handwritten(chunks: DataFrame) -> DataFrame:
     return found(score_files(chunks, Model(training_files(chunks)))).select("repo", "file_path")
 
 
+def weak_label(path: str, text: str) -> bool:
+    """Whether any labelling function takes a whole file for one that is not hand-written."""
+    return bool(_VENDOR.search(path) or _SUFFIX.search(path) or shape_label(text) or any(_HEADER.search(c) and not _SPOKEN.search(c) for c in split_lines(text)[1]))
+
+
+def weak_labels(chunks: DataFrame) -> DataFrame:
+    """(repo, file_path, given) of every file: the weak label of its chunks in order, whatever their size."""
+
+    def label(pdf: pd.DataFrame) -> pd.DataFrame:
+        one = pdf.drop_duplicates().sort_values("chunk_id", na_position="first")
+        repo, path = pdf["repo"].iloc[0], pdf["file_path"].iloc[0]
+        return pd.DataFrame({"repo": pd.Series([repo], dtype=object), "file_path": [path], "given": [weak_label(path, "\n".join(one["body"]))]})
+
+    rows = chunks.filter(F.col("file_path").isNotNull()).select("repo", "file_path", "chunk_id", F.coalesce("body", F.lit("")).alias("body"))
+    return rows.groupBy("repo", "file_path").applyInPandas(label, "repo string, file_path string, given boolean")
+
+
+def held_out(chunks: DataFrame) -> DataFrame:
+    """Chunks of the repositories that ``validate`` tests on, without documents."""
+
+    @F.pandas_udf("boolean")
+    def tested(repo: pd.Series) -> pd.Series:
+        return repo.map({r: _hash(str(r)) % 2 == 0 for r in repo.unique()}).astype(bool)
+
+    return chunks.filter((F.coalesce("ent_type", F.lit("")) != "doc_file") & tested(F.coalesce("repo", F.lit("nan"))))
+
+
 def validate(chunks: DataFrame) -> DataFrame:
-    """Held-out agreement with the weak labels: fitted on half the repositories, tested on the others."""
-    spark = chunks.sparkSession
-    files = training_files(chunks)
-    half = {k: v for k, v in files.items() if _hash(str(k[0])) % 2}
-    rest = {k: v for k, v in files.items() if not _hash(str(k[0])) % 2}
-    model = Model(half)
-    rows = []
-    for (repo, path), chunks_ in rest.items():
-        text = "\n".join(chunks_)
-        sums, counts, tops = model.score([text])
-        given = bool(_VENDOR.search(path) or _SUFFIX.search(path) or shape_label(text) or any(_HEADER.search(c) and not _SPOKEN.search(c) for c in split_lines(text)[1]))
-        said = max(sums[0] / counts[0] + model.body_bias if counts[0] else -1.0, tops[0], model.path_score(path)) > 0
-        rows.append((given, said))
-    n = Counter(rows)
-    return spark.createDataFrame(
-        [(len(half), len(rest), n[(True, True)], n[(False, True)], n[(True, False)], n[(False, False)])],
-        "n_train bigint, n_test bigint, both bigint, only_classifier bigint, only_weak_label bigint, neither bigint",
-    )
+    """Held-out agreement with the weak labels: fitted on the sampled half of the repositories, tested on every file of the others."""
+    half = {k: v for k, v in training_files(chunks).items() if _hash(str(k[0])) % 2}
+    model, rest = Model(half), held_out(chunks)
+    scores = score_files(rest, model).select("repo", "file_path", (F.greatest("body_score", "comment_score", "path_score") > 0).alias("said"))
+    labels = weak_labels(rest).select(F.col("repo").alias("r"), F.col("file_path").alias("p"), "given")
+    both = labels.join(scores, F.col("r").eqNullSafe(F.col("repo")) & (F.col("p") == F.col("file_path")))
+    count = lambda given, said: F.count(F.when((F.col("given") == given) & (F.col("said") == said), 1))
+    return both.agg(
+        F.lit(len(half)).cast("bigint").alias("n_train"), F.count(F.lit(1)).alias("n_test"),
+        count(True, True).alias("both"), count(False, True).alias("only_classifier"), count(True, False).alias("only_weak_label"), count(False, False).alias("neither"),
+    )

@@ -69,3 +69,15 @@ def test_score_is_additive():
     text = "a = 1\n# note one\nb = c(2)\n"
     one, two = model.score([text, None]), model.score(["a = 1\n# note one\nb = c(2)\n", ""])
     assert one[0][0] == two[0][0] and one[1][1] == 0 and one[2][1] < -1e8
+
+
+def test_validation_counts_every_held_out_file(spark, monkeypatch):
+    """The sample bounds what is fitted, never what is tested; long chunks count as well."""
+    rows = tree() + [("r0", "src/long.py", plain(2000), False), ("r1", "src/long.py", plain(2000), False)]
+    chunks = frame(spark, rows)
+    n = len({(r, p) for r, p, *_ in rows if O._hash(r) % 2 == 0})
+    n += O._hash("r0") % 2 == 0 and 2  # two files of the frame without a body
+    monkeypatch.setattr(O, "training_files", lambda c, f=O.training_files: f(c, 150))
+    r = O.validate(chunks).first()
+    assert r.n_test == n and r.both + r.neither + r.only_classifier + r.only_weak_label == n
+    assert 0 < r.n_train < n

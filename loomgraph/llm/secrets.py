@@ -62,9 +62,13 @@ _ISSUED = re.compile(
 )
 _ISSUED_START = re.compile(r"^(?:AKIA|ASIA|gh[pousr]_|xox[abprs]-|[sr]k_live_|eyJ[\w-]{4}|[a-z]{2,5}_(?:pat|tok|key|live)_)")
 
-_TRIGGER = re.compile(
-    r"pass|pwd|\bpw|_pw|pw\d|-p |secret|token|key|bearer|auth|cred|psk|clave|kennwort|contrase|login|log in|connect|dial|private key|eyj|://[^/\s]{0,200}@|:[^\s@/]{1,200}@|akia|asia|[sr]k_|gh[pousr]_|glpat|xox[abprs]-|_(?:pat|tok|live|sec)_|try |use |worked with|[?&](?:code|sig|sign)|\bpin\b|jwt"
+# What any pattern below needs somewhere on its line, in lower case; an ``@`` counts after a colon.
+_WORDS = (
+    r"pass|pwd|pw|pin|-[pu]\s|secret|token|key|bearer|basic\s|auth|cred|psk|clave|kenn[\W_]?wort|contra[\W_]?se|log(?:ged)?[ _-]?in|sign_?in|connect|dial|jwt"
+    r"|eyj|akia|asia|aiza|npm_|pypi-|[sr]k_|gh[pousr]_|glpat|xox[abprs]-|_(?:pat|tok|live|sec|sk)_|try\s|use\s|worked with|[?&][\w-]*(?:code|sig|signature)="
 )
+_TRIGGER = re.compile(_WORDS + r"|@|(?:open|client|session)\w{0,30}\(")
+_CONTEXT = re.compile(_WORDS)
 _Q = r"""(?P<q>["'`])(?P<v>(?:(?!(?P=q))[^\\\r]|\\.)+)"""
 _ASSIGN = re.compile(r"""(?<![\w.\-])(?P<n>[A-Za-z_][\w.\-]{0,100})["'`]?\]?(?:\s*:\s*[A-Za-z_]\w*)?\s*(?::=|=>|->|[:=|])\s*\(?\s*(?:[rbuf]{1,2}(?=["']))?""" + _Q)
 _DEFAULT = re.compile(r"""(?:getenv|envOr|env_or|environ\.get|getOrDefault|lookup|get|env|fetch)\w{0,30}\(\s*["'](?P<n>\w{1,100})["']\s*,\s*""" + _Q + r"(?P=q)")
@@ -74,7 +78,8 @@ _TABLE = re.compile(r"\|\s*`?(?P<n>[A-Za-z_][\w.\- ]{0,100})`?\s*\|\s*`?(?P<v>[^
 _CALL = re.compile(r"""\b(?:connect|login|log_in|signin|sign_in|dial|open|authenticate|auth|Client|session)\w{0,30}\(\s*["'`][^"'`]{0,300}["'`]\s*,\s*["'`][\w.@-]{1,200}["'`]\s*,\s*""" + _Q + r"(?P=q)", re.I)
 _HEADER = re.compile(r"""["'](?P<n>(?:X-)?[\w-]{0,40}(?:auth|key|token|secret)[\w-]{0,40})["']\s*[,:]\s*""" + _Q + r"(?P=q)", re.I)
 _SCHEME = re.compile(r"(?:Authorization\W{1,6}|[\"'\s])(?P<s>Basic|Bearer|Token)\s+(?P<v>[A-Za-z0-9+/=_.~\-]{6,})", re.I)
-_USERINFO = re.compile(r"(?:(?<=://)|(?<![\w/:.@-]))(?P<u>[\w.+-]{0,200}):(?P<v>[^\s:@/\"'`]{1,2000}(?:/[^\s:@/\"'`]{1,2000}){0,20})@(?=[\w-]+(?:\.[\w-]+)+|localhost)")
+_USERINFO = re.compile(r"[^\s:@/\"'`]+(?:/[^\s:@/\"'`]+)*")
+_HOST = re.compile(r"[\w-]+(?:\.[\w-]+)+|localhost")
 _PARAM = re.compile(r"[?&](?P<n>[\w-]{0,60}(?:key|code|sig|signature|token|secret|auth|password|pwd))=(?P<v>[^&\s\"'`<>#)]+)", re.I)
 _FLAG = re.compile(r"(?<![\w-])(?:--(?P<n>[\w-]{0,60}(?:password|passwd|passphrase|pw|pass|pwd|secret|token|key|auth|psk|cred|bearer|clave|kennwort))(?:=|\s+)|-(?P<p>p)\s+|-(?P<up>u)\s+[\w.-]+:)(?P<v>[^\s\"'`]+)")
 _SAYS = re.compile(r"(?<![\w-])(?P<n>[A-Za-z][\w-]{0,100})`?\s*(?:(?:is|was|ist|es)(?:\s+(?:still|now|currently))?\s*:?|=|:|->)\s+[`\"']?(?P<v>[^\s`\"']+)", re.I)
@@ -154,6 +159,20 @@ def name_rank(name: str) -> int:
     return 2 if strong and words[-1] not in _DOUBT_LAST else 1
 
 
+def userinfo(line: str):
+    """Places of the passwords of user:password@host in a line, each between an @ and the last colon before it."""
+    at, done = line.find("@"), 0
+    while at >= 0:
+        c = line.rfind(":", done, at)
+        if c >= 0 and _USERINFO.fullmatch(line, c + 1, at) and _HOST.match(line, at + 1):
+            s = c
+            while s > done and (line[s - 1].isalnum() or line[s - 1] in "_.+-"):
+                s -= 1
+            if s == 0 or line[s - 1] not in "/:@" or line[max(0, s - 3) : s] == "://" or "+" in line[s:c]:
+                yield c + 1, at
+        done, at = at + 1, line.find("@", at + 1)
+
+
 class Finder:
     """Finds the credentials of a text as (line number from 1, first, last) character spans."""
 
@@ -194,12 +213,15 @@ class Finder:
         low = text.lower()
         if len(low) != len(text):  # a few letters change length: compare them as they are
             low = text
-        at, n = 0, len(text)
+        at, a, n = 0, 0, len(text)
         while True:
             m = _TRIGGER.search(low, at)
             if not m:
                 break
-            a = text.rfind("\n", 0, m.start()) + 1
+            a = text.rfind("\n", at, m.start()) + 1 or a
+            if low[m.start()] == "@" and text.find(":", max(a, at), m.start()) < 0:
+                at = m.end()
+                continue
             b = text.find("\n", m.start())
             b = n if b < 0 else b
             at = b
@@ -239,14 +261,17 @@ class Finder:
             else:
                 take(m.start("v"), m.end("v"), 2, False)
         if "@" in line:
-            for m in _USERINFO.finditer(line):
-                take(m.start("v"), m.end("v"), 3, True)
+            for x, y in userinfo(line):
+                take(x, y, 3, True)
         for m in _PARAM.finditer(line):
             take(m.start("v"), m.end("v"), 1, False)
         for m in _FLAG.finditer(line):
             take(m.start("v"), m.end("v"), name_rank(m["n"]) if m["n"] else 2, False)
-        for m in _CALL.finditer(line):
-            take(m.start("v"), m.end("v"), 3, True)
+        if calls := list(_CALL.finditer(line)):
+            # Files and sessions are opened with modes and encodings too: without another word only an odd literal counts.
+            rank = 3 if _CONTEXT.search(line.lower()) else 1
+            for m in calls:
+                take(m.start("v"), m.end("v"), rank, True)
         for m in _HEADER.finditer(line):
             if name_rank(m["n"]) >= 0 or m["n"].lower().startswith("x-"):
                 take(m.start("v"), m.end("v"), 2 if m["n"].lower().startswith("x-") else name_rank(m["n"]), True)

@@ -76,3 +76,40 @@ def test_viterbi():
     assert seg.parse("river-stone") == (0, 2, 0)
     assert seg.parse("stone2020") == (0, 1, 4)
     assert seg.parse("qzxvk")[0] == 5
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "curl -u deploy:f7Kq!2vZx https://repo.example.com/x",
+        "mysql -u\troot:f7Kq!2vZx",
+        "run -p\tf7Kq!2vZx",
+        "x = AIza" + "Sy9dK3LmQ0zPq8RtYwB1" * 2,
+        "x = npm_" + "Sy9dK3LmQ0zPq8RtYwB1" * 2,
+        "x = pypi-" + "Sy9dK3LmQ0zPq8RtYwB1" * 3,
+        "x = ab_sk_Sy9dK3LmQ0zPq8RtYwB1",
+        "see https://user:" + "k3LmQ0zPq8" * 25 + "@host.example.com/x",
+        "see https://user:" + "k3LmQ0zPq8" * 300 + "@host.example.com/x",
+        "a@b.example c@d.example https://app:Gx91kdlPq@db.example.com/x",
+        "h = 'Basic YWRtaW46c3VtbWVyMjAxOQ=='",
+        'dbPw = "f7Kq!2vZx"',
+        'userPin := "f7Kq!2vZxQ9"',
+        'c = Client("db.example", "app", "f7Kq!2vZx")',
+        'sign_in("db.example", "app", "f7Kq!2vZx")',
+        "Logged in as app with q8Zr4TnW2 there.",
+        "see https://a.example/f?mycode=k3LmQ0zPq8RtYw",
+    ],
+)
+def test_every_pattern_passes_the_trigger_alone(line):
+    assert FIND.lines(line) == [1]
+    assert FIND.lines(f"a@b\n\n{line}\n@c") == [3]
+
+
+@pytest.mark.parametrize("line", ['f = codecs.open("a.txt", "r", "utf-8")', 'c = session("web", "prod", "eu-west-1")', "mail bob: b@x.example", "docker run -u 1000:1000 app"])
+def test_a_trigger_alone_is_no_credential(line):
+    assert FIND.lines(line) == []
+
+
+def test_long_lines_of_marks_take_linear_time():
+    for text in ("@" * 300_000, ":@" * 150_000, "a:b@" * 50_000, ":" * 300_000 + "@", "https://" * 40_000, "?a" * 150_000):
+        assert FIND.lines(text) == []

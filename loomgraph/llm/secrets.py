@@ -70,26 +70,26 @@ _WORDS = (
 _TRIGGER = re.compile(_WORDS + r"|@|(?:open|client|session)\w{0,30}\(")
 _CONTEXT = re.compile(_WORDS)
 _Q = r"""(?P<q>["'`])(?P<v>(?:(?!(?P=q))[^\\\r]|\\.)+)"""
-_ASSIGN = re.compile(r"""(?<![\w.\-])(?P<n>[A-Za-z_][\w.\-]{0,100})["'`]?\]?(?:\s*:\s*[A-Za-z_]\w*)?\s*(?::=|=>|->|[:=|])\s*\(?\s*(?:[rbuf]{1,2}(?=["']))?""" + _Q)
-_DEFAULT = re.compile(r"""(?:getenv|envOr|env_or|environ\.get|getOrDefault|lookup|get|env|fetch)\w{0,30}\(\s*["'](?P<n>\w{1,100})["']\s*,\s*""" + _Q + r"(?P=q)")
-_OR = re.compile(r"""(?<![\w.])(?P<n>[A-Za-z_][\w.]{0,100})(?:["']\])?\s*(?:\|\||\?\?|\bor\b)\s*""" + _Q + r"(?P=q)")
+_ASSIGN = re.compile(r"""(?<![\w.\-])(?P<n>[A-Za-z_][\w.\-]*)["'`]?\]?(?:\s*:\s*[A-Za-z_]\w*)?\s*(?::=|=>|->|[:=|])\s*\(?\s*(?:[rbuf]{1,2}(?=["']))?""" + _Q)
+_DEFAULT = re.compile(r"""(?:getenv|envOr|env_or|environ\.get|getOrDefault|lookup|get|env|fetch)\w{0,30}\(\s*["'](?P<n>\w+)["']\s*,\s*""" + _Q + r"(?P=q)")
+_OR = re.compile(r"""(?<![\w.])(?P<n>[A-Za-z_][\w.]*)(?:["']\])?\s*(?:\|\||\?\?|\bor\b)\s*""" + _Q + r"(?P=q)")
 _BARE = re.compile(r"""^[\s#/*>+!-]*(?:export\s+|set\s+|setx\s+|ENV\s+|ARG\s+)?(?P<n>[A-Za-z_][\w.\-]*)\s*(?:=|:|->)\s*(?P<v>[^\s"'`,;(){}\[\]]+)[,;]?\s*$""")
-_TABLE = re.compile(r"\|\s*`?(?P<n>[A-Za-z_][\w.\- ]{0,100})`?\s*\|\s*`?(?P<v>[^\s|`]+)`?\s*(?=\|)")
+_TABLE = re.compile(r"\|\s*`?(?P<n>[A-Za-z_][\w.\- ]*+)`?\s*\|\s*`?(?P<v>[^\s|`]+)`?\s*(?=\|)")
 _CALL = re.compile(r"""\b(?:connect|login|log_in|signin|sign_in|dial|open|authenticate|auth|Client|session)\w{0,30}\(\s*["'`][^"'`]{0,300}["'`]\s*,\s*["'`][\w.@-]{1,200}["'`]\s*,\s*""" + _Q + r"(?P=q)", re.I)
-_HEADER = re.compile(r"""["'](?P<n>(?:X-)?[\w-]{0,40}(?:auth|key|token|secret)[\w-]{0,40})["']\s*[,:]\s*""" + _Q + r"(?P=q)", re.I)
+_HEADER = re.compile(r"""["'](?=[\w-]*?(?:auth|key|token|secret))(?P<n>[\w-]++)["']\s*[,:]\s*""" + _Q + r"(?P=q)", re.I)
 _SCHEME = re.compile(r"(?:Authorization\W{1,6}|[\"'\s])(?P<s>Basic|Bearer|Token)\s+(?P<v>[A-Za-z0-9+/=_.~\-]{6,})", re.I)
 _USERINFO = re.compile(r"[^\s:@/\"'`]+(?:/[^\s:@/\"'`]+)*")
 _HOST = re.compile(r"[\w-]+(?:\.[\w-]+)+|localhost")
-_PARAM = re.compile(r"[?&](?P<n>[\w-]{0,60}(?:key|code|sig|signature|token|secret|auth|password|pwd))=(?P<v>[^&\s\"'`<>#)]+)", re.I)
-_FLAG = re.compile(r"(?<![\w-])(?:--(?P<n>[\w-]{0,60}(?:password|passwd|passphrase|pw|pass|pwd|secret|token|key|auth|psk|cred|bearer|clave|kennwort))(?:=|\s+)|-(?P<p>p)\s+|-(?P<up>u)\s+[\w.-]+:)(?P<v>[^\s\"'`]+)")
-_SAYS = re.compile(r"(?<![\w-])(?P<n>[A-Za-z][\w-]{0,100})`?\s*(?:(?:is|was|ist|es)(?:\s+(?:still|now|currently))?\s*:?|=|:|->)\s+[`\"']?(?P<v>[^\s`\"']+)", re.I)
+_PARAM = re.compile(r"[?&](?P<n>[\w-]*(?:key|code|sig|signature|token|secret|auth|password|pwd))=(?P<v>[^&\s\"'`<>#)]+)", re.I)
+_FLAG = re.compile(r"(?<![\w-])(?:--(?P<n>[\w-]*(?:password|passwd|passphrase|pw|pass|pwd|secret|token|key|auth|psk|cred|bearer|clave|kennwort))(?:=|\s+)|-(?P<p>p)\s+|-(?P<up>u)\s+[\w.-]+:)(?P<v>[^\s\"'`]+)")
+_SAYS = re.compile(r"(?<![\w-])(?P<n>[A-Za-z][\w-]*)`?\s*(?:(?:is|was|ist|es)(?:\s+(?:still|now|currently))?\s*:?|=|:|->)\s+[`\"']?(?P<v>[^\s`\"']+)", re.I)
 _AS = re.compile(r"\bwith\s+[`\"']?(?P<v>[^\s`\"']+)[`\"']?\s+as\s+(?:the\s+)?(?P<n>[A-Za-z_][\w-]*)", re.I)
 _LOGIN = (
     re.compile(r"\blog(?:ged)?[ -]?in(?:to)?\s+(?:as|with)\s+[`\"']?[\w.@-]+[`\"']?\s*(?:with|and|/|using)\s*[`\"']?(?P<v>[^\s`\"']+)", re.I),
     re.compile(r"\b(?:use|try)\s+[`\"']?[\w.@-]+[`\"']?\s*/\s*[`\"']?(?P<v>[^\s`\"']+)", re.I),
     re.compile(r"\blogin\b[^\n]{0,200}?,?\s*then\s+(?:type|enter|use)\s+[`\"']?(?P<v>[^\s`\"']+)", re.I),
 )
-_NEXT_LITERAL = re.compile(r"""^\s*[+.&]?\s*(?P<q>["'`])(?P<v>(?:(?!(?P=q))[^\\\r]|\\.)*)(?P=q)""")
+_NEXT_LITERAL = re.compile(r"""\s*[+.&]?\s*(?P<q>["'`])(?P<v>(?:(?!(?P=q))[^\\\r]|\\.)*)(?P=q)""")
 _JOINED = re.compile(r"""^["'`]\s*(?:\+|\.|&|\\)?\s*\\?\r?$""")
 _TRAIL = ".,;:)]}>\"'`\r"
 
@@ -109,15 +109,18 @@ class Segmenter:
 
     def __init__(self, words: frozenset, longest: int = 16):
         self.words, self.longest = words, longest
-        self.parse = lru_cache(maxsize=200_000)(self._parse)
+        self._known = lru_cache(maxsize=200_000)(self._parse)
+
+    def parse(self, literal: str) -> tuple[int, int, int]:
+        """(residual characters, dictionary words, digits in numbers) of the cheapest segmentation; long literals are not remembered."""
+        return self._known(literal) if len(literal) <= 1000 else self._parse(literal)
 
     def _parse(self, literal: str) -> tuple[int, int, int]:
-        """(residual characters, dictionary words, digits in numbers) of the cheapest segmentation."""
         s = literal.lower()
         n = len(s)
         best = [(0.0, 0, 0, 0)] + [(1e9, 0, 0, 0)] * n
         for i in range(n):
-            cost, residual, words, digits = best[i]
+            (cost, residual, words, digits), best[i] = best[i], None
             c = s[i]
             if not c.isalnum():
                 step = (cost + 0.2, residual, words, digits)
@@ -181,7 +184,7 @@ class Finder:
 
     def accepts(self, value: str, rank: int, quoted: bool, hashed: bool = False) -> bool:
         """Whether a literal is a credential. rank: 3 login or header, 2 credential name, 1 weak, -1 another name."""
-        if len(value) < 4 or len(value) > 4096 or _PLACEHOLDER.match(value) or _REFERENCE.search(value) or " " in value.strip():
+        if len(value) < 4 or _PLACEHOLDER.match(value) or _REFERENCE.search(value) or " " in value.strip():
             return False
         if _ISSUED.fullmatch(value):
             return True
@@ -285,14 +288,15 @@ class Finder:
             value, more = m["v"], []
             if rank or _ISSUED_START.match(value):
                 if _JOINED.match(rest) and (rest.rstrip()[-1:] in "+.&\\" or line[: m.start("q")].rstrip().endswith("(")):
-                    c = b
-                    while (k := _NEXT_LITERAL.match(text[c + 1 : c + 2000])) and c < len(text):
-                        more.append((c + 1 + k.start("v"), c + 1 + k.end("v")))
-                        value += k["v"]
-                        tail = text[c + 1 + k.end() : (text.find("\n", c + 1 + k.end()) + 1 or len(text) + 1) - 1]
-                        c = c + 1 + k.end() + len(tail)
-                        if not _JOINED.match("'" + tail) or not tail.strip().endswith(("+", ".", "&", "\\")) or len(more) > 50:
+                    c, parts_of = b, [value]
+                    while k := _NEXT_LITERAL.match(text, c + 1):
+                        more.append((k.start("v"), k.end("v")))
+                        parts_of.append(k["v"])
+                        c = (text.find("\n", k.end()) + 1 or len(text) + 1) - 1
+                        tail = text[k.end() : c]
+                        if not _JOINED.match("'" + tail) or not tail.strip().endswith(("+", ".", "&", "\\")):
                             break
+                    value = "".join(parts_of)
                 if not more and not rest.startswith(m["q"]):
                     continue  # the literal does not end on this line
                 before = len(out)

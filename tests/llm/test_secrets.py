@@ -1,3 +1,6 @@
+import base64
+import random
+
 import pytest
 
 from loomgraph.llm import secrets as S
@@ -113,3 +116,38 @@ def test_a_trigger_alone_is_no_credential(line):
 def test_long_lines_of_marks_take_linear_time():
     for text in ("@" * 300_000, ":@" * 150_000, "a:b@" * 50_000, ":" * 300_000 + "@", "https://" * 40_000, "?a" * 150_000):
         assert FIND.lines(text) == []
+
+
+OPAQUE = random.Random(4).randbytes(30_000).hex()[:50_000].replace("a", "Qz")
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        'key = "' + base64.b64encode(("-----BEGIN RSA PRIVATE KEY-----" + OPAQUE[:3200] + "-----END RSA PRIVATE KEY-----").encode()).decode() + '"',
+        f"h = 'Authorization: Bearer {OPAQUE}'",
+        f'token = "{OPAQUE}"',
+        "service_" * 30 + 'password = "f7Kq!2vZx"',
+        "--" + "service-" * 30 + "password f7Kq!2vZx",
+        'h.set("X-' + "Service-" * 30 + 'Key", "f7Kq!2vZx")',
+        "| " + "service_" * 30 + "password | f7Kq!2vZx |",
+        "The " + "service-" * 30 + "password is f7Kq!2vZx",
+    ],
+)
+def test_long_credentials_and_names(line):
+    assert FIND.lines(line) == [1]
+
+
+def test_long_words_are_no_credential():
+    assert FIND.lines('label_key = "' + "river-" * 2000 + 'river"') == FIND.lines('label_key = "river-river-river-river"')
+    assert FIND.lines('page_index = "' + "river-" * 2000 + 'river"') == []
+
+
+def test_joined_literals_to_their_end():
+    parts = [OPAQUE[k * 70 : k * 70 + 70] for k in range(120)]
+    text = 'token = (\n' + ' +\n'.join(f'    "{p}"' for p in parts) + ")\nend\n"
+    text = text.replace('(\n    "', '("', 1)
+    assert FIND.lines(text) == [1]
+    assert FIND.redact(text) == 'token = ("[REDACTED]" +\n' + '    "" +\n' * 118 + '    "")\nend\n'
+    long = f'token = ("{OPAQUE[:3000]}" +\n    "{OPAQUE[3000:9000]}")\nend\n'
+    assert FIND.redact(long) == 'token = ("[REDACTED]" +\n    "")\nend\n'

@@ -68,6 +68,17 @@ def _codes(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return code[at], at
 
 
+def least_windows(least: int, most: int) -> int:
+    """Whole windows of the first mask that every stretch of least to most words keeps, n/ONE_IN of its words changed.
+
+    Each changed, dropped or added word spoils at most as many windows as the mask is long. A longer
+    stretch may keep fewer, as it may carry one change more; it is never fewer from one multiple of
+    ONE_IN to the next.
+    """
+    wide = len(MASKS[0])
+    return min(n - wide + 1 - wide * (n // ONE_IN) for n in range(least, min(most, least + ONE_IN) + 1))
+
+
 class SeedIndex:
     """Hashes of the passages' windows, sorted, with the item and the place of each."""
 
@@ -84,9 +95,8 @@ class SeedIndex:
             code, item, at = (np.concatenate(x) if parts else np.empty(0, np.uint64) for x in zip(*parts)) if parts else (np.empty(0, np.uint64), np.empty(0, int), np.empty(0, int))
             order = np.argsort(code, kind="stable")
             self.tables.append((mask, code[order], item[order], at[order]))
-        # A stretch of n words with n/ONE_IN changed words keeps at least this many whole windows of the first mask.
         self.least_words = [max(1, math.ceil(len(ws) * MIN_SHARE - 1e-9)) for _, ws in self.passages]
-        self.least_hits = [max(1, n - len(MASKS[0]) * (n // ONE_IN) - len(MASKS[0]) + 1) for n in self.least_words]
+        self.least_hits = [least_windows(n, len(ws)) for n, (_, ws) in zip(self.least_words, self.passages)]
 
     def hits(self, ids: np.ndarray):
         """(mask number, document place, passage number, passage place) of every common window."""
@@ -109,7 +119,7 @@ class SeedIndex:
                 clusters[row[:2]].append((row[2] - row[3], row[2], row[3], k))
         out = set()
         for (doc, item), found in clusters.items():
-            if sum(k == 0 for *_, k in found) < self.least_hits[item] and len(found) < 2 * self.least_hits[item]:
+            if sum(k == 0 for *_, k in found) < self.least_hits[item]:
                 continue
             if self._verify(ids, int(starts[doc]), int(starts[doc + 1]), item, found):
                 out.add((doc, self.passages[item][0]))

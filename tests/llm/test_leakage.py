@@ -1,5 +1,7 @@
+import itertools
 import random
 
+import numpy as np
 import pytest
 
 from loomgraph.llm import leakage as L
@@ -84,3 +86,27 @@ def test_stretch_against_brute_force():
 
 def test_words():
     assert L.words('He said: "No—never!"\\nYes &amp; <i>no_w</i> 4.5') == ["he", "said", "no", "never", "yes", "now", "45"]
+
+
+def test_least_windows_of_any_stretch():
+    """The bound holds for every placement of the changed words in every long enough stretch, and is met."""
+    for m in (45, 66, 67, 69, 72, 90):
+        least, kept = -(-m // 3), []
+        for n in range(least, min(m, least + 12) + 1):
+            e = n // 8
+            kept.append(min(sum(max(0, b - a - 5) for a, b in zip((-1, *c), (*c, n))) for c in itertools.combinations(range(1, n - 1), e)) if e < 4 else n)
+        assert L.least_windows(least, m) <= min(kept)
+
+
+@pytest.mark.parametrize("m", [64, 66, 67, 69])
+def test_longer_stretch_with_one_more_change(m):
+    """A leak of 24 words with 3 changed is found wherever they lie, if the alignment takes it."""
+    passage = [f"p{i}" for i in range(m)]
+    index = L.SeedIndex([(1, " ".join(passage))])
+    lost, margin = [], [0] * 9
+    for c in itertools.combinations(range(1, 23), 3):
+        leak = ["other" if i in c else w for i, w in enumerate(passage[20:44])]
+        ids = [*margin, *(index.vocabulary.get(w, 0) for w in leak), *margin]
+        if index.leaked(np.array(ids, np.uint64), np.array([0, len(ids)])) != {(0, 1)}:
+            lost.append(c)
+    assert lost == []

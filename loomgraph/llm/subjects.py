@@ -8,15 +8,17 @@ belong to one subject far more often than that subject occurs. Words that every
 for no subject and pass nothing.
 
 Each round learns the terms' subjects from the labelled documents, then the documents' subjects from
-the terms. Seeds are trusted, and clamped in every round, where the graph without their own label
-supports them or says nothing about the document; a label against which it speaks is taken for an
-annotator's mistake. A document keeps every subject that ``LEAST_SENTENCES`` of its sentences are
-about in at least ``LEAST_TERMS`` different terms; one sentence is a passing mention, and one term
-alone counts only in more sentences and where many documents have shown its subject.
-
-Null and empty texts, and texts without verified terms, have no subject. Repeated rows of one doc_id
-count once. Labels without a document, with null fields or with a subject outside the list are not
-used. Without labels the result is empty.
+the terms, until no label changes. No edge between two documents is verified and no hyperlink read:
+labels pass verified terms only. Seeds are trusted, and clamped in every round and in the result, where
+the graph without their own label supports them or gives the document no subject; a label against
+which it speaks is taken for an annotator's mistake. A document keeps every subject that
+``LEAST_SENTENCES`` of its sentences are about in at least ``LEAST_TERMS`` different terms; one
+sentence is a passing mention, and one term alone counts only in more sentences and where many
+documents have shown its subject.
+
+Null and empty texts, and texts of fewer sentences, have no subject; texts without verified terms have
+only what they are labelled. Repeated rows of one doc_id count once. Labels without a document, with
+null fields or with a subject outside the list are not used. Without labels the result is empty.
 """
 
 from __future__ import annotations
@@ -27,7 +29,6 @@ from pyspark.sql import functions as F
 from loomgraph.functions.sizing import broadcast_if_small, collect_bounded
 from loomgraph.llm.shared import write_shared
 
-ROUNDS = 3
 #: A term's share in its main subject, in any subject it keeps, and in
 #: those together; how often a share must exceed the subject's own.
 LEAST_PURITY, LEAST_SHARE, LEAST_SUM, LEAST_LIFT = 0.4, 0.2, 0.7, 2.0
@@ -53,36 +54,55 @@ def sentences(documents: DataFrame) -> DataFrame:
     return one.select("doc_id", F.transform(F.split(F.regexp_replace("text", _WRAP, " "), _END), terms).alias("sents"))
 
 
-def learn_terms(sents: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """Verified terms (term, subject, weight) from labelled documents (doc_id, subject, n_subjects).
-
-    A term of several subjects, such as one that sport and music share, keeps each of them that it
-    exceeds by the same lift, if together they are pure enough.
-    """
+def count_terms(sents: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """(term, subject, n, docs): labelled documents (doc_id, subject, n_subjects) of a subject that hold a term, and of any."""
     # Labels meet whole documents; only then are the documents' terms unfolded.
     seen = sents.join(labels, "doc_id").select("subject", "n_subjects", F.explode(F.array_distinct(F.flatten("sents"))).alias("term"))
     by_subject = seen.groupBy("term", "subject").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(1.0) / F.col("n_subjects")).alias("share"))
     docs = by_subject.groupBy("term").agg(F.sum("share").alias("docs")).filter(F.col("docs") >= least_docs)
+    return by_subject.join(docs, "term").select("term", "subject", "n", "docs")
+
+
+def shares(labels: DataFrame, left_out: Column) -> Column:
+    """Share of labelled documents that have the row's subject, without ``left_out`` of them."""
     # One row a subject of the closed list: a bounded table.
     prior = collect_bounded(labels.groupBy("subject").agg(F.count(F.lit(1)).alias("k")), MOST_SUBJECTS)
-    every = max(1, labels.select("doc_id").distinct().count())
-    own = F.coalesce(F.create_map(*[F.lit(x) for r in prior for x in (r.subject, r.k / every)])[F.col("subject")], F.lit(1.0)) if prior else F.lit(1.0)
-    rows = by_subject.join(docs, "term")
+    every = labels.select("doc_id").distinct().count()
+    if not prior:
+        return F.lit(1.0)
+    k = F.create_map(*[F.lit(x) for r in prior for x in (r.subject, r.k)])[F.col("subject")]
+    return F.coalesce((k - left_out) / F.greatest(F.lit(every) - left_out, F.lit(1)), F.lit(1.0))
+
+
+def learn_terms(counts: DataFrame, keys: list[str], own: Column) -> DataFrame:
+    """Verified terms (keys, subject, weight, sure) from counts a key; ``own`` is the subject's share.
+
+    A term of several subjects, such as one that sport and music share, keeps each of them that it
+    exceeds by the same lift, if together they are pure enough.
+    """
     purity = F.least((F.col("n") + 0.5 * own) / (F.col("docs") + 0.5), F.lit(1.0))
-    lifted = rows.withColumn("weight", purity).withColumn("sure", F.col("n") / (F.col("docs") + 2)).filter((purity >= LEAST_SHARE) & (purity >= LEAST_LIFT * own))
-    pure = lifted.groupBy("term").agg(F.sum("weight").alias("sum"), F.max("weight").alias("top"))
-    sure = pure.filter((F.col("sum") >= LEAST_SUM) & (F.col("top") >= LEAST_PURITY)).select("term")
-    return lifted.join(sure, "term", "left_semi").select("term", "subject", "weight", "sure")
+    lifted = counts.withColumn("weight", purity).withColumn("sure", F.col("n") / (F.col("docs") + 2)).filter((purity >= LEAST_SHARE) & (purity >= LEAST_LIFT * own))
+    pure = lifted.groupBy(*keys).agg(F.sum("weight").alias("sum"), F.max("weight").alias("top"))
+    sure = pure.filter((F.col("sum") >= LEAST_SUM) & (F.col("top") >= LEAST_PURITY)).select(*keys)
+    return lifted.join(sure, keys, "left_semi").select(*keys, "subject", "weight", "sure")
 
 
-def sentence_subjects(sents: DataFrame, known: DataFrame) -> DataFrame:
+def without_own(counts: DataFrame, words: DataFrame, labels: DataFrame, least_docs: int) -> DataFrame:
+    """Verified terms of every seed (doc_id, term, subject, weight, sure), as if the seed had no label."""
+    mine = words.join(counts, "term").join(labels.select("doc_id", "subject", F.lit(1).alias("mine")), ["doc_id", "subject"], "left")
+    mine = mine.join(labels.select("doc_id", F.lit(1).alias("one")).distinct(), "doc_id", "left").withColumn("mine", F.coalesce("mine", F.lit(0)))
+    left = mine.withColumn("n", F.col("n") - F.col("mine")).withColumn("docs", F.round(F.col("docs") - F.coalesce("one", F.lit(0)), 9))
+    return learn_terms(left.filter((F.col("n") > 0) & (F.col("docs") >= least_docs)), ["doc_id", "term"], shares(labels, F.col("mine")))
+
+
+def sentence_subjects(sents: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """(doc_id, subject, n_sentences): sentences by the subject their verified terms speak for.
 
     Where terms of a sentence belong to several subjects, what the whole document speaks for decides.
     """
     said = sents.select("doc_id", F.posexplode("sents").alias("sent_no", "words")).select("doc_id", "sent_no", F.explode("words").alias("term"))
     # One shuffle, of the verified terms alone: all that follows is within a document.
-    spoken = said.join(broadcast_if_small(known), "term").repartition("doc_id")
+    spoken = said.join(broadcast_if_small(known), keys).repartition("doc_id")
     votes = spoken.groupBy("doc_id", "sent_no", "subject").agg(F.sum("weight").alias("w"), F.max("sure").alias("sure"), F.collect_set("term").alias("terms"))
     whole = votes.withColumn("all", F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id", "subject")))
     top = whole.groupBy("doc_id", "sent_no").agg(F.max(F.struct((F.col("w") * F.col("all")).alias("v"), "subject", "terms", "sure")).alias("t"))
@@ -91,27 +111,42 @@ def sentence_subjects(sents: DataFrame, known: DataFrame) -> DataFrame:
     return by.agg(F.count(F.lit(1)).alias("n_sentences"), n_terms.alias("n_terms"), F.max("t.sure").alias("sure"))
 
 
-def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, subject, n_sentences) of every document and each of its subjects."""
+def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(doc_id, subject, n_sentences) of every document and each of its subjects, after ``rounds`` or when no label changes any more.
+
+    A seed about which the graph is silent has its given subjects, with no sentences.
+    """
     sents = write_shared(sentences(documents), "sentences")
     closed = areas.select("subject").filter(F.col("subject").isNotNull()).distinct()
     given = labels.select("doc_id", "subject").filter(F.col("doc_id").isNotNull()).distinct().join(broadcast_if_small(closed), "subject", "left_semi")
-    given = given.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
-    current = _counted(given)
-    for k in range(rounds):
-        known = write_shared(learn_terms(sents, current, SEED_DOCS if k == 0 else LEAST_DOCS), "terms")
-        found = write_shared(sentence_subjects(sents, known), "subjects")
+    given = write_shared(given.join(documents.select("doc_id").distinct(), "doc_id", "left_semi"), "seeds")
+    seeds = given.select("doc_id").distinct()
+    seed_sents, others = write_shared(sents.join(seeds, "doc_id", "left_semi"), "seed-sentences"), sents.join(seeds, "doc_id", "left_anti")
+    words = seed_sents.select("doc_id", F.explode(F.array_distinct(F.flatten("sents"))).alias("term"))
+    full = seed_sents.filter(F.size(F.filter("sents", lambda x: F.size(x) > 0)) >= LEAST_SENTENCES).select("doc_id")
+    current, seen, k = _counted(given), set(), 0
+    result = given.select("doc_id", "subject", F.lit(0).cast("bigint").alias("n_sentences"))
+    while rounds is None or k < rounds:
+        least = SEED_DOCS if k == 0 else LEAST_DOCS
+        counts = write_shared(count_terms(sents, current, least), "counts")
+        known = write_shared(learn_terms(counts, ["term"], shares(current, F.lit(0))), "terms")
+        own = write_shared(without_own(counts, words, current, least), "seed-terms")
+        found = sentence_subjects(others, known, ["term"]).unionByName(sentence_subjects(seed_sents, own, ["doc_id", "term"]))
         # Seeds: a given label needs as many sentences as any other, but they may share one term.
         supported = found.join(broadcast_if_small(given.withColumn("seed", F.lit(True))), ["doc_id", "subject"], "left")
         several = (F.col("n_sentences") >= LEAST_SENTENCES) & (F.col("n_terms") >= LEAST_TERMS)
         sure = several | ((F.col("n_sentences") > LEAST_SENTENCES) & (F.col("sure") >= SURE))
-        kept = supported.filter(sure | (F.col("seed") & (F.col("n_sentences") >= LEAST_SENTENCES))).select("doc_id", "subject", "n_sentences")
-        if k == rounds - 1:
-            return kept
-        pairs = kept.select("doc_id", "subject")
-        silent = given.select("doc_id", "subject").join(pairs.select("doc_id").distinct(), "doc_id", "left_anti")
-        current = write_shared(_counted(pairs.unionByName(silent)), "labels")
-    return given.select("doc_id", "subject", F.lit(0).cast("bigint").alias("n_sentences"))
+        kept = write_shared(supported.filter(sure | (F.col("seed") & (F.col("n_sentences") >= LEAST_SENTENCES))).select("doc_id", "subject", "n_sentences"), "subjects")
+        silent = given.join(kept.select("doc_id").distinct(), "doc_id", "left_anti").join(full, "doc_id", "left_semi").select("doc_id", "subject", F.lit(0).cast("bigint").alias("n_sentences"))
+        result = write_shared(kept.unionByName(silent), "labels")
+        # Labels that were there before, in the last round or an earlier one, would only come again.
+        state = tuple(result.agg(F.count(F.lit(1)), F.sum(F.xxhash64("doc_id", "subject").cast("decimal(20,0)"))).first())
+        k += 1
+        if state in seen:
+            break
+        seen.add(state)
+        current = write_shared(_counted(result.select("doc_id", "subject")), "current")
+    return result
 
 
 def _counted(pairs: DataFrame) -> DataFrame:

@@ -57,3 +57,39 @@ def test_composition_and_empty_tables(spark):
     assert set(rows) == set(TOPICS) and all(0 < r.doc_share < 1 for r in rows.values())
     assert S.assign_subjects(d, lab.limit(0), areas).count() == 0
     assert S.assign_subjects(d.limit(0), lab, areas).count() == 0
+
+
+def test_silent_seeds_keep_their_label(spark):
+    """A rare document whose words verify no term has what it was labelled, a stub has not."""
+    docs, _, labels = corpus()
+    docs += [(950, "Der Pegel steigt am Deich. Die Flut kommt am Abend."), (951, "TODO")]
+    d, lab, areas = frames(spark, docs, labels + [(950, "law"), (951, "law")])
+    found = {(r.doc_id, r.subject) for r in S.assign_subjects(d, lab, areas).collect()}
+    assert (950, "law") in found and 951 not in {i for i, _ in found}
+
+
+def test_seeds_are_judged_without_their_own_label(spark):
+    """Words that a label shares with one other document are verified with it, not without it."""
+    rows = [(i, [["quark", "gluon"], ["quark", "gluon"]]) for i in (1, 2)] + [(i, [["choir"], ["violin"]]) for i in range(3, 9)]
+    sents = spark.createDataFrame(rows, "doc_id bigint, sents array<array<string>>")
+    labels = S._counted(spark.createDataFrame([(i, "law" if i < 3 else "music") for i in range(1, 9)], "doc_id bigint, subject string"))
+    counts = S.count_terms(sents, labels, 2)
+    words = spark.createDataFrame([(1, "quark"), (3, "choir")], "doc_id bigint, term string")
+    assert {r.term for r in S.learn_terms(counts, ["term"], S.shares(labels, S.F.lit(0))).collect()} >= {"quark"}
+    assert {(r.doc_id, r.term, r.subject) for r in S.without_own(counts, words, labels, 2).collect()} == set()
+
+
+def test_labels_travel_until_they_stop(spark):
+    """Each group of documents shares words with the next only: the last is reached after more than three rounds."""
+    docs, labels, n = [], [], 7
+    word = lambda topic, g, k: topic + "abcdefghij"[g] + "klmnopqrst"[k]
+    for t, topic in enumerate(("law", "music", "health")):
+        for g in range(n):
+            for i in range(20):
+                a, b = word(topic, g, i % 4), word(topic, g + 1, i % 4)
+                docs.append((t * 1000 + g * 20 + i, f"See {a} {word(topic, g, (i + 1) % 4)} now. Ask {a} {word(topic, g, (i + 2) % 4)} then. Get {b} {a} also."))
+                if g == 0:
+                    labels.append((t * 1000 + i, topic))
+    d, lab, areas = frames(spark, docs, labels)
+    found = {(r.doc_id, r.subject) for r in S.assign_subjects(d, lab, areas).collect()}
+    assert {(t * 1000 + (n - 1) * 20 + i, topic) for t, topic in enumerate(("law", "music", "health")) for i in range(20)} <= found

@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,7 +114,8 @@ class IncrementalTable:
     ``partition`` names the partition column of the source; its values must be strings or integers.
     ``build`` maps source rows of some partitions to output rows and keeps the partition column.
     Partitions that vanish from the source leave the fingerprints, and ``read`` no longer shows them.
-    A null partition value is the partition of its own that Spark writes for it.
+    A null partition value is the partition of its own that Spark writes for it. The old rows of a changed
+    partition for which ``build`` yields nothing are deleted.
     """
 
     def __init__(self, spark: SparkSession, path: str, partition: str, build: Callable[[DataFrame], DataFrame]):
@@ -140,6 +142,21 @@ class IncrementalTable:
                 done.append(int(name[1:]))
         return sorted(done)
 
+    def _rows(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self._data)
+        except AnalysisException:  # not written yet, or no file left
+            return None
+
+    def _files(self, partitions: DataFrame) -> set[str]:
+        """Files of the data that hold rows of some partitions."""
+        data = self._rows()
+        if data is None:
+            return set()
+        keys = partitions.select(F.col(self.partition).alias("_changed"))
+        of = data.select(self.partition, F.col("_metadata.file_path").alias("_file"))
+        return {r[0] for r in of.join(keys, F.col(self.partition).eqNullSafe(F.col("_changed")), "left_semi").select("_file").distinct().collect()}
+
     def fingerprints(self) -> DataFrame | None:
         """The fingerprints of the last run that ended, or None before the first."""
         v = self._versions()
@@ -167,8 +184,14 @@ class IncrementalTable:
         part = source.join(changed.withColumnRenamed(self.partition, "_changed"), F.col(self.partition).eqNullSafe(F.col("_changed")), "left_semi")
         n_changed = changed.count()
         if n_changed:
+            built, before_files = self.build(part), self._files(changed)
+            built.limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")
             # Rebalancing gathers a partition's rows and splits those of a hot one over several tasks and files.
-            (self.build(part).hint("rebalance", F.col(self.partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self._data))
+            (built.hint("rebalance", F.col(self.partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self._data))
+            # A changed partition without output is not overwritten: what is still there of it is old.
+            for f in before_files & self._files(changed):
+                fs, p = self._fs(f)
+                fs.delete(p, False)
         compared.select(self.partition, "now_n", "now_hash").write.mode("overwrite").parquet(target)
         fs, p = self._fs(pending)
         fs.delete(p, True)
@@ -178,7 +201,9 @@ class IncrementalTable:
         live = self.fingerprints()
         if live is None:
             raise ValueError("no run has ended yet")
-        data = self.spark.read.parquet(self._data)
+        data = self._rows()
+        if data is None:
+            return self.spark.read.parquet(f"{self.path}/schema")
         keys = live.select(F.col(self.partition).alias("_live"))
         return data.join(keys, F.col(self.partition).eqNullSafe(F.col("_live")), "left_semi")
 

@@ -343,3 +343,17 @@ def test_exposition_and_slices(spark):
     assert metrics.exposition("m_total", rows, ["a"]) == '# TYPE m_total counter\nm_total{a="x\\"y\\n"} 2\n'
     assert metrics.push(lambda *a: (_ for _ in ()).throw(OSError()), "x") is False
     assert one(spark, S.byte_slice(F.lit("aüb"), F.lit(1), F.lit(3))) == "ü"
+
+
+def test_changed_partition_without_output_loses_its_rows(spark, tmp_path):
+    t = incremental.IncrementalTable(spark, f"{tmp_path}/t", "part", lambda d: d.filter("v > 0"))
+    rows = lambda *r: spark.createDataFrame(list(r), "part string, v int")
+    read = lambda: {(r.part, r.v) for r in t.read().collect()}
+    t.refresh(rows(("a", 1), ("b", 2), (None, 3)))
+    assert read() == {("a", 1), ("b", 2), (None, 3)}
+    assert t.refresh(rows(("a", -1), ("b", 2), (None, -3)))["recomputed"] == 2
+    assert read() == {("b", 2)}
+    t.refresh(rows(("a", -1), ("b", -2)))
+    assert read() == set()
+    t.refresh(rows(("a", 4), ("b", -2)))
+    assert read() == {("a", 4)}

@@ -1,11 +1,16 @@
 """Processing only new or changed records.
 
-``pending_paths`` answers which paths of a change log the next run has to process.
-``IncrementalTable`` keeps a partitioned table up to date: per-partition fingerprints (row count and
-the sum of row hashes) tell which partitions changed; only those are recomputed, each replaced
-atomically by dynamic partition overwrite. The fingerprints are written last, so a run that dies
-before that leaves the old ones and the next run replaces the same partitions again: nothing is
-skipped and nothing is applied twice.
+``IncrementalTable`` keeps a partitioned table up to date: each run stores per-partition fingerprints
+(row count and the sum of row hashes) of the raw source; the next run compares them with fresh ones,
+before anything else is computed, reads and recomputes the partitions that differ, and replaces each by
+dynamic partition overwrite. The fingerprints are written last, so a run that dies before that leaves
+the old ones and the next run replaces the same partitions again: nothing is skipped and nothing is
+applied twice.
+
+``ChangeBacklog`` does so for a change log. A partition is a block of a repo's commits; what is kept of
+it is one row a path, with its last change and its last processed change in the block. A late or new
+row changes the fingerprint of its block alone; a path's state is put together from its blocks.
+``pending_paths`` answers which paths the next run has to process.
 
 Nulls: a row whose repo, path or commit_no is null names no path and is ignored; a null recorded_at
 is never known to be covered, so the row is unprocessed. Empty tables give empty results. Repeated
@@ -15,18 +20,21 @@ rows count once. Extra columns are not read.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
+from heapq import heappop, heappush
 
-from pyspark.errors import AnalysisException
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.functions.sizing import broadcast_if_small
+from loomgraph.session import Scratch, delete_path, ensure_checkpoint_dir
 
 ABSENT = "absent"
 UNKNOWN = "unknown"
-#: Sub-partitions of a repo, so that one repo with a third of all rows is many partitions.
-BUCKETS = 64
+#: Commits of a repo that make one partition of the log.
+BLOCK_COMMITS = 8
 
 
 def fingerprint(df: DataFrame, keys: Sequence[str], row: Sequence[Column], prefix: str) -> DataFrame:
@@ -35,20 +43,45 @@ def fingerprint(df: DataFrame, keys: Sequence[str], row: Sequence[Column], prefi
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{prefix}_n"), F.sum(hashed).alias(f"{prefix}_hash"))
 
 
-def flag_processed(changes: DataFrame, runs: DataFrame) -> DataFrame:
-    """Adds ``processed``: a succeeded run of the repo covers the commit and began once the row was recorded."""
-    windows = (
-        runs.filter(F.col("status") == "succeeded")
-        .select("repo", F.struct(F.coalesce("since_no", F.lit(0)).alias("lo"), F.col("head_no").alias("hi"), F.col("started_at").alias("at")).alias("w"))
-        .groupBy("repo")
-        .agg(F.collect_set("w").alias("windows"))
-    )
-    covered = F.exists(
-        "windows",
-        lambda w: (w["lo"] < F.col("commit_no")) & (F.col("commit_no") <= w["hi"]) & (w["at"] >= F.col("recorded_at")),
-    )
-    joined = changes.join(broadcast_if_small(windows), "repo", "left")
-    return joined.withColumn("processed", F.coalesce(covered, F.lit(False))).drop("windows")
+def disjoint_windows(windows: list[tuple]) -> list[tuple]:
+    """Windows (lo, hi, at) of one repo as disjoint (lo, hi, latest at) that cover the same commits, in order."""
+    marks = sorted({x for lo, hi, _ in windows for x in (lo, hi)})
+    begin = sorted((w for w in windows if w[0] < w[1]), key=lambda w: w[0])
+    out, live, k = [], [], 0
+    for a, b in zip(marks, marks[1:]):
+        while k < len(begin) and begin[k][0] <= a:
+            heappush(live, (-begin[k][2].value, begin[k][1]))
+            k += 1
+        while live and live[0][1] <= a:
+            heappop(live)
+        if live:
+            at = -live[0][0]
+            if out and out[-1][1:] == (a, at):
+                out[-1] = (out[-1][0], b, at)
+            else:
+                out.append((a, b, at))
+    return [(a, b, pd.Timestamp(at, tz="UTC")) for a, b, at in out]
+
+
+def flag_processed(changes: DataFrame, runs: DataFrame, block: int = BLOCK_COMMITS) -> DataFrame:
+    """Adds ``processed``: a succeeded run of the repo covers the commit and began once the row was recorded.
+
+    Overlapping runs become disjoint windows with the latest start, so a row meets at most one, by its block.
+    """
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = pd.to_datetime(pdf["at"], utc=True)
+        rows = disjoint_windows(list(zip(pdf["lo"].tolist(), pdf["hi"].tolist(), at)))
+        return pd.DataFrame({"repo": pdf["repo"].iloc[0], "lo": [r[0] for r in rows], "hi": [r[1] for r in rows], "at": pd.Series([r[2] for r in rows], dtype="datetime64[ns, UTC]")})
+
+    ran = runs.filter((F.col("status") == "succeeded") & F.col("repo").isNotNull() & F.col("head_no").isNotNull() & F.col("started_at").isNotNull())
+    ran = ran.select("repo", F.coalesce("since_no", F.lit(0)).cast("long").alias("lo"), F.col("head_no").cast("long").alias("hi"), F.col("started_at").alias("at"))
+    windows = ran.filter("lo < hi").distinct().groupBy("repo").applyInPandas(merge, "repo string, lo bigint, hi bigint, at timestamp")
+    blocks = F.explode(F.expr(f"sequence((lo + 1) div {block}, hi div {block})"))
+    spread = windows.select(F.col("repo").alias("_repo"), "lo", "hi", "at", blocks.alias("_block"))
+    here = (F.col("repo") == F.col("_repo")) & (F.expr(f"commit_no div {block}") == F.col("_block")) & (F.col("lo") < F.col("commit_no")) & (F.col("commit_no") <= F.col("hi"))
+    joined = changes.join(broadcast_if_small(spread), here, "left")
+    return joined.withColumn("processed", F.coalesce(F.col("at") >= F.col("recorded_at"), F.lit(False))).drop("_repo", "_block", "lo", "hi", "at")
 
 
 def change_states(changes: DataFrame) -> DataFrame:
@@ -67,45 +100,81 @@ def change_states(changes: DataFrame) -> DataFrame:
     )
 
 
-def path_states(changes: DataFrame, runs: DataFrame) -> DataFrame:
-    """Per (repo, path): ``wanted`` state after the latest change, ``held`` after the latest processed one."""
+def change_events(changes: DataFrame, runs: DataFrame, block: int = BLOCK_COMMITS) -> DataFrame:
+    """The log as rows of paths, with the partition ``part`` (repo and block of commits) of each."""
     cols = ["repo", "path", "old_path", "commit_no", "status", "content_sha", "recorded_at"]
-    events = change_states(flag_processed(changes.select(*cols), runs.select("repo", "since_no", "head_no", "status", "started_at")))
-    # One shuffle serves both aggregations: rows of one change and of one path share (repo, path).
-    # A change's own row outweighs a rename's mark on its old path, and known content outweighs unknown.
+    events = change_states(flag_processed(changes.select(*cols), runs.select("repo", "since_no", "head_no", "status", "started_at"), block))
+    return events.withColumn("part", F.concat_ws("@", "repo", F.expr(f"commit_no div {block}")))
+
+
+def block_digest(events: DataFrame) -> DataFrame:
+    """(part, repo, path, last, done, open): a path's last change and last processed one within a block of commits.
+
+    A change's own row outweighs a rename's mark on its old path, and known content outweighs unknown.
+    """
+    # One shuffle serves both aggregations: rows of one change and of one path share (part, path).
     merged = (
-        events.repartition("repo", "path")
-        .groupBy("repo", "path", "commit_no")
+        events.repartition("part", "path")
+        .groupBy("part", "repo", "path", "commit_no")
         .agg(
             F.max(F.struct("own", (F.col("state") != UNKNOWN).cast("int").alias("known"), "state")).alias("s"),
             F.max("processed").alias("processed"),
         )
-        .select("repo", "path", "commit_no", F.col("s.state").alias("state"), "processed")
+        .select("part", "repo", "path", "commit_no", F.col("s.state").alias("state"), "processed")
     )
-    last = merged.groupBy("repo", "path").agg(
+    digest = merged.groupBy("part", "repo", "path").agg(
         F.max(F.struct("commit_no", "state", "processed")).alias("last"),
         F.max(F.when(F.col("processed"), F.struct("commit_no", "state"))).alias("done"),
     )
+    return digest.withColumn("open", ~F.col("last.processed"))
+
+
+def path_states(digest: DataFrame) -> DataFrame:
+    """Per (repo, path): ``wanted`` state after the latest change, ``held`` after the latest processed one."""
+    last = digest.groupBy("repo", "path").agg(F.max("last").alias("last"), F.max("done").alias("done"))
     held = F.coalesce(F.col("done.state"), F.lit(ABSENT))
     wanted = F.when(F.col("last.processed"), held).when(F.col("last.state") == UNKNOWN, F.concat(F.lit("unknown at "), F.col("last.commit_no"))).otherwise(F.col("last.state"))
-    return last.select("repo", "path", F.pmod(F.xxhash64("path"), F.lit(BUCKETS)).cast("int").alias("bucket"), held.alias("held"), wanted.alias("wanted"))
-
-
-def pending_paths(changes: DataFrame, runs: DataFrame) -> DataFrame:
-    """(repo, path) the next run must process: rows of changed partitions whose state differs."""
-    states = path_states(changes, runs)
-    parts = states.groupBy("repo", "bucket").agg(
-        *[
-            f(c).alias(f"{c}_{n}")
-            for c in ("held", "wanted")
-            for n, f in (
-                ("n", lambda c: F.count(F.when(F.col(c) != ABSENT, 1))),
-                ("hash", lambda c: F.sum(F.when(F.col(c) != ABSENT, F.xxhash64("path", c).cast("decimal(20,0)")))),
-            )
-        ]
-    )
-    changed = parts.filter((F.col("held_n") != F.col("wanted_n")) | ~F.col("held_hash").eqNullSafe(F.col("wanted_hash"))).select("repo", "bucket")
-    return states.join(changed, ["repo", "bucket"], "left_semi").filter(F.col("held") != F.col("wanted")).select("repo", "path")
+    return last.select("repo", "path", held.alias("held"), wanted.alias("wanted"))
+
+
+class ChangeBacklog:
+    """The change log of all repos, kept up to date by blocks of commits in ``folder``."""
+
+    def __init__(self, spark: SparkSession, folder: str, block: int = BLOCK_COMMITS):
+        self.block, self.table = block, IncrementalTable(spark, folder, "part", block_digest)
+
+    def replay(self, events: DataFrame) -> dict:
+        """Where no run has stored anything yet: what the succeeded runs of the log have left behind."""
+        return self.table.refresh(events.filter("processed"))
+
+    def update(self, changes: DataFrame, runs: DataFrame) -> dict:
+        """Compares fingerprints and recomputes the blocks that changed. Returns blocks and rows in all and recomputed."""
+        events = change_events(changes, runs, self.block)
+        if self.table.fingerprints() is None:
+            self.replay(events)
+        return self.table.refresh(events)
+
+    def pending(self) -> DataFrame:
+        """(repo, path) the next run must process. Only paths with an open change in some block are looked at."""
+        digest = self.table.read()
+        paths = digest.filter("open").select("repo", "path").distinct()
+        return path_states(digest.join(paths, ["repo", "path"], "left_semi")).filter(F.col("held") != F.col("wanted")).select("repo", "path")
+
+
+def pending_paths(changes: DataFrame, runs: DataFrame, folder: str | None = None) -> DataFrame:
+    """(repo, path) the next run must process.
+
+    ``folder`` keeps the blocks and their fingerprints from run to run. Without it, the blocks are first
+    those that the succeeded runs of the log left behind, and the folder goes after use.
+    """
+    spark = changes.sparkSession
+    backlog = ChangeBacklog(spark, folder or f"{ensure_checkpoint_dir(spark)}/backlog-{uuid.uuid4().hex}")
+    backlog.update(changes, runs)
+    if folder:
+        return backlog.pending()
+    found = Scratch(spark, "pending").write(backlog.pending(), "paths")
+    delete_path(spark, backlog.table.path)
+    return found
 
 
 class IncrementalTable:
@@ -114,8 +183,9 @@ class IncrementalTable:
     ``partition`` names the partition column of the source; its values must be strings or integers.
     ``build`` maps source rows of some partitions to output rows and keeps the partition column.
     Partitions that vanish from the source leave the fingerprints, and ``read`` no longer shows them.
-    A null partition value is the partition of its own that Spark writes for it. The old rows of a changed
-    partition for which ``build`` yields nothing are deleted.
+    A null partition value is the partition of its own that Spark writes for it, and so is an empty string.
+    Each recomputed partition gets one row that is no output (``_live`` false), so that one for which
+    ``build`` yields nothing is overwritten too.
     """
 
     def __init__(self, spark: SparkSession, path: str, partition: str, build: Callable[[DataFrame], DataFrame]):
@@ -142,20 +212,11 @@ class IncrementalTable:
                 done.append(int(name[1:]))
         return sorted(done)
 
-    def _rows(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self._data)
-        except AnalysisException:  # not written yet, or no file left
-            return None
-
-    def _files(self, partitions: DataFrame) -> set[str]:
-        """Files of the data that hold rows of some partitions."""
-        data = self._rows()
-        if data is None:
-            return set()
-        keys = partitions.select(F.col(self.partition).alias("_changed"))
-        of = data.select(self.partition, F.col("_metadata.file_path").alias("_file"))
-        return {r[0] for r in of.join(keys, F.col(self.partition).eqNullSafe(F.col("_changed")), "left_semi").select("_file").distinct().collect()}
+    def _rows(self) -> DataFrame:
+        """All rows with the types they were written with; a partition's name alone would not tell '007' from 7."""
+        schema = self.spark.read.parquet(f"{self.path}/schema").schema
+        fs, p = self._fs(self._data)
+        return self.spark.read.schema(schema).parquet(self._data) if fs.exists(p) else self.spark.createDataFrame([], schema)
 
     def fingerprints(self) -> DataFrame | None:
         """The fingerprints of the last run that ended, or None before the first."""
@@ -163,49 +224,43 @@ class IncrementalTable:
         return self.spark.read.parquet(f"{self.path}/fingerprints/v{v[-1]}") if v else None
 
     def refresh(self, source: DataFrame) -> dict:
-        """Recompute changed partitions only. Returns how many partitions there are and how many changed."""
+        """Recompute changed partitions only. Returns partitions and source rows, in all and of those recomputed."""
         row = [F.coalesce(F.to_json(F.struct(F.col(c))), F.lit("")) if isinstance_map(source, c) else F.col(c) for c in source.columns]
         nulls = [F.col(c).isNull() for c in source.columns]
         now = fingerprint(source, [self.partition], [*row, *nulls], "now")
         before = self.fingerprints()
         old_cols = ["old_n", "old_hash"]
         if before is None:
-            old = now.select(self.partition, *[F.lit(None).alias(c) for c in old_cols]).limit(0)
+            compared = now.select(self.partition, "now_n", "now_hash", *[F.lit(None).cast(t).alias(c) for c, t in zip(old_cols, ("bigint", "decimal(30,0)"))])
         else:
-            old = before.select(self.partition, F.col("now_n").alias("old_n"), F.col("now_hash").alias("old_hash"))
-        a, b = now.alias("a"), old.alias("b")
-        compared = a.join(b, F.col(f"a.{self.partition}").eqNullSafe(F.col(f"b.{self.partition}")), "left").select(f"a.{self.partition}", "now_n", "now_hash", *old_cols)
+            old = before.select(F.col(self.partition).alias("_old"), F.col("now_n").alias("old_n"), F.col("now_hash").alias("old_hash"))
+            compared = now.join(old, F.col(self.partition).eqNullSafe(F.col("_old")), "left").select(self.partition, "now_n", "now_hash", *old_cols)
         version = (self._versions() or [0])[-1] + 1
-        target = f"{self.path}/fingerprints/v{version}"
         pending = f"{self.path}/pending/v{version}"
         compared.write.mode("overwrite").parquet(pending)
-        compared = self.spark.read.parquet(pending)
-        changed = compared.filter(~(F.col("now_n").eqNullSafe(F.col("old_n")) & F.col("now_hash").eqNullSafe(F.col("old_hash")))).select(self.partition)
-        part = source.join(changed.withColumnRenamed(self.partition, "_changed"), F.col(self.partition).eqNullSafe(F.col("_changed")), "left_semi")
-        n_changed = changed.count()
-        if n_changed:
-            built, before_files = self.build(part), self._files(changed)
-            built.limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")
+        compared = self.spark.read.schema(compared.schema).parquet(pending)
+        differs = ~(F.col("now_n").eqNullSafe(F.col("old_n")) & F.col("now_hash").eqNullSafe(F.col("old_hash")))
+        some = compared.agg(F.count(F.lit(1)).alias("partitions"), F.count(F.when(differs, 1)).alias("recomputed"), F.coalesce(F.sum("now_n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(differs, F.col("now_n"))), F.lit(0)).alias("rows_read")).first()
+        if before is None:
+            self.build(source.limit(0)).withColumn("_live", F.lit(True)).limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")
+        if some.recomputed:
+            changed = compared.filter(differs).select(self.partition)
+            part = source.join(broadcast_if_small(changed.withColumnRenamed(self.partition, "_changed")), F.col(self.partition).eqNullSafe(F.col("_changed")), "left_semi")
+            built = self.build(part).withColumn("_live", F.lit(True))
+            kind = built.schema[self.partition].dataType
+            built = built.unionByName(changed.select(F.col(self.partition).cast(kind).alias(self.partition), F.lit(False).alias("_live")), allowMissingColumns=True)
             # Rebalancing gathers a partition's rows and splits those of a hot one over several tasks and files.
             (built.hint("rebalance", F.col(self.partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self._data))
-            # A changed partition without output is not overwritten: what is still there of it is old.
-            for f in before_files & self._files(changed):
-                fs, p = self._fs(f)
-                fs.delete(p, False)
-        compared.select(self.partition, "now_n", "now_hash").write.mode("overwrite").parquet(target)
-        fs, p = self._fs(pending)
-        fs.delete(p, True)
-        return {"partitions": self.fingerprints().count(), "recomputed": n_changed}
+        compared.select(self.partition, "now_n", "now_hash").write.mode("overwrite").parquet(f"{self.path}/fingerprints/v{version}")
+        delete_path(self.spark, pending)
+        return some.asDict()
 
     def read(self) -> DataFrame:
         live = self.fingerprints()
         if live is None:
             raise ValueError("no run has ended yet")
-        data = self._rows()
-        if data is None:
-            return self.spark.read.parquet(f"{self.path}/schema")
-        keys = live.select(F.col(self.partition).alias("_live"))
-        return data.join(keys, F.col(self.partition).eqNullSafe(F.col("_live")), "left_semi")
+        keys = broadcast_if_small(live.select(F.col(self.partition).alias("_kept")))
+        return self._rows().filter("_live").drop("_live").join(keys, F.col(self.partition).eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def isinstance_map(df: DataFrame, column: str) -> bool:

@@ -14,7 +14,7 @@ def p3_repo_backlog(spark, sf):
     """Paths per repo, those pending and those up to date."""
     from pyspark.sql import functions as F
 
-    states = incremental.path_states(table(spark, sf, "change_log"), table(spark, sf, "ingest_runs"))
+    states = incremental.path_states(incremental.block_digest(incremental.change_events(table(spark, sf, "change_log"), table(spark, sf, "ingest_runs"))))
     pending = (F.col("held") != F.col("wanted")).cast("long")
     return states.groupBy("repo").agg(F.count(F.lit(1)).alias("n_paths"), F.sum(pending).alias("n_pending"))
 

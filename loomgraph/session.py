@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +14,15 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder named by ``spark.checkpoint.dir``; only where it is unset (tests) a local one."""
+    """The shared folder named by ``spark.checkpoint.dir``. Where it is unset, a local master gets a folder of its own;
+    on a cluster that is an error, as its executors would write where no other machine can read."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     jsc = spark.sparkContext._jsc.sc()
     current = jsc.getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not configured and not jsc.isLocal():
+        raise ValueError(f"{CHECKPOINT_CONF} names no folder that all executors share")
     folder = configured or tempfile.mkdtemp(prefix="loomgraph-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -29,6 +34,42 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Scratch:
+    """Tables written in the shared checkpoint folder to cut lineage, and removed together.
+
+    ``remove`` deletes what is not kept; what a returned frame still reads goes when the process ends.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self._written: list[str] = []
+        atexit.register(self._end)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{len(self._written)}-{name}"
+        df.write.parquet(path)
+        self._written.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self, *keep: DataFrame) -> None:
+        """Deletes the tables that none of the frames reads."""
+        read = [f for df in keep for f in df.inputFiles()]
+        for path in self._written:
+            if not any(f"{path}/" in f for f in read):
+                delete_path(self.spark, path)
+
+    def _end(self) -> None:
+        try:
+            delete_path(self.spark, self.path)
+        except Exception:  # noqa: BLE001 - the session may have ended already
+            pass
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the executors' Python workers, once a context, whatever their search path is."""
     context = spark.sparkContext

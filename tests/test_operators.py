@@ -154,7 +154,7 @@ def test_incremental_table(spark, tmp_path):
         return spark.createDataFrame(list(rows), "part string, v int, note map<string,string>")
 
     t = incremental.IncrementalTable(spark, str(tmp_path / "t"), "part", build)
-    assert t.refresh(source(("a", 1, {}), ("b", 2, None), ("c", 3, None))) == {"partitions": 3, "recomputed": 3}
+    assert t.refresh(source(("a", 1, {}), ("b", 2, None), ("c", 3, None))) == {"partitions": 3, "recomputed": 3, "rows": 3, "rows_read": 3}
     assert t.refresh(source(("b", 2, None), ("a", 1, {}), ("c", 3, None)))["recomputed"] == 0
     assert t.refresh(source(("a", 1, {}), ("b", 5, None), ("b", None, {"x": "y"})))["recomputed"] == 1
     assert calls[-1] == {"b"} and {(r.part, r.total) for r in t.read().collect()} == {("a", 1), ("b", 5)}
@@ -357,3 +357,37 @@ def test_changed_partition_without_output_loses_its_rows(spark, tmp_path):
     assert read() == set()
     t.refresh(rows(("a", 4), ("b", -2)))
     assert read() == {("a", 4)}
+
+
+def test_partition_values_keep_their_type(spark, tmp_path):
+    t = incremental.IncrementalTable(spark, f"{tmp_path}/t", "part", lambda d: d)
+    t.refresh(spark.createDataFrame([("007", 1), ("7", 2)], "part string, v int"))
+    assert {tuple(r) for r in t.read().select("part", "v").collect()} == {("007", 1), ("7", 2)}
+    empty = incremental.IncrementalTable(spark, f"{tmp_path}/e", "part", lambda d: d)
+    assert empty.refresh(spark.createDataFrame([], "part string, v int"))["partitions"] == 0 and empty.read().count() == 0
+
+
+def test_backlog_reads_changed_blocks_only(spark, tmp_path):
+    """A late row in an old block changes that block alone; the result is that of the whole log."""
+    log = "repo string, path string, old_path string, commit_no int, status string, content_sha string, recorded_at timestamp"
+    rows = [("r", f"p{k % 5}", None, k, "M", f"{k:x}", day(1)) for k in range(1, 65)]
+    runs = spark.createDataFrame([("r", None, 64, "succeeded", day(2)), ("r", 60, 64, "succeeded", day(3)), ("r", 0, 999, "failed", day(9))], "repo string, since_no int, head_no int, status string, started_at timestamp")
+    backlog = incremental.ChangeBacklog(spark, f"{tmp_path}/b")
+    assert backlog.update(spark.createDataFrame(rows, log), runs)["rows_read"] == 0 and backlog.pending().count() == 0
+    late = rows + [("r", "p9", None, 20, "A", "ff", day(8)), ("r", "p1", None, 66, "D", None, day(8))]
+    said = backlog.update(spark.createDataFrame(late, log), runs)
+    assert said["recomputed"] == 2 and said["rows_read"] == 8 + 1 + 1 + 1  # the block of commits 16 to 23, and the last
+    assert {tuple(r) for r in backlog.pending().collect()} == {("r", "p9"), ("r", "p1")}
+    assert {tuple(r) for r in incremental.pending_paths(spark.createDataFrame(late, log), runs).collect()} == {("r", "p9"), ("r", "p1")}
+
+
+def test_disjoint_windows_against_brute_force():
+    import pandas as pd
+
+    r = random.Random(4)
+    for _ in range(50):
+        w = [(lo, lo + r.randint(1, 9), pd.Timestamp("2024-01-01", tz="UTC") + pd.Timedelta(days=r.randint(0, 5))) for lo in (r.randint(0, 20) for _ in range(r.randint(0, 8)))]
+        got = incremental.disjoint_windows(w)
+        for c in range(1, 32):
+            want = [at for lo, hi, at in w if lo < c <= hi]
+            assert [at for lo, hi, at in got if lo < c <= hi] == ([max(want)] if want else [])

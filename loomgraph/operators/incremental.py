@@ -34,7 +34,9 @@ from loomgraph.session import Scratch, delete_path, ensure_checkpoint_dir
 ABSENT = "absent"
 UNKNOWN = "unknown"
 #: Commits of a repo that make one partition of the log.
-BLOCK_COMMITS = 8
+BLOCK_COMMITS = 16
+#: Source rows of a partition from which its output is written by several tasks.
+ROWS_A_FILE = 1_000_000
 
 
 def fingerprint(df: DataFrame, keys: Sequence[str], row: Sequence[Column], prefix: str) -> DataFrame:
@@ -249,8 +251,12 @@ class IncrementalTable:
             built = self.build(part).withColumn("_live", F.lit(True))
             kind = built.schema[self.partition].dataType
             built = built.unionByName(changed.select(F.col(self.partition).cast(kind).alias(self.partition), F.lit(False).alias("_live")), allowMissingColumns=True)
-            # Rebalancing gathers a partition's rows and splits those of a hot one over several tasks and files.
-            (built.hint("rebalance", F.col(self.partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self._data))
+            # A partition's rows meet in one task and file, those of a hot one in as many as its source rows call for.
+            files = compared.filter(differs).select(F.col(self.partition).alias("_of"), F.ceil(F.col("now_n") / ROWS_A_FILE).alias("_files"))
+            spread = F.pmod(F.xxhash64(*[c for c in built.columns if not isinstance_map(built, c)]), F.greatest("_files", F.lit(1)))
+            tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-some.rows_read // ROWS_A_FILE))
+            built = built.join(broadcast_if_small(files), F.col(self.partition).eqNullSafe(F.col("_of")), "left").repartition(tasks, self.partition, spread).drop("_of", "_files")
+            built.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self._data)
         compared.select(self.partition, "now_n", "now_hash").write.mode("overwrite").parquet(f"{self.path}/fingerprints/v{version}")
         delete_path(self.spark, pending)
         return some.asDict()

@@ -372,7 +372,7 @@ def test_backlog_reads_changed_blocks_only(spark, tmp_path):
     log = "repo string, path string, old_path string, commit_no int, status string, content_sha string, recorded_at timestamp"
     rows = [("r", f"p{k % 5}", None, k, "M", f"{k:x}", day(1)) for k in range(1, 65)]
     runs = spark.createDataFrame([("r", None, 64, "succeeded", day(2)), ("r", 60, 64, "succeeded", day(3)), ("r", 0, 999, "failed", day(9))], "repo string, since_no int, head_no int, status string, started_at timestamp")
-    backlog = incremental.ChangeBacklog(spark, f"{tmp_path}/b")
+    backlog = incremental.ChangeBacklog(spark, f"{tmp_path}/b", block=8)
     assert backlog.update(spark.createDataFrame(rows, log), runs)["rows_read"] == 0 and backlog.pending().count() == 0
     late = rows + [("r", "p9", None, 20, "A", "ff", day(8)), ("r", "p1", None, 66, "D", None, day(8))]
     said = backlog.update(spark.createDataFrame(late, log), runs)

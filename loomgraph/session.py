@@ -60,7 +60,8 @@ class Scratch:
         """Deletes the tables that none of the frames reads."""
         read = [f for df in keep for f in df.inputFiles()]
         for path in self._written:
-            if not any(f"{path}/" in f for f in read):
+            last = "/".join(path.rsplit("/", 2)[1:])  # the scheme may be written in several ways
+            if not any(f"/{last}/" in f for f in read):
                 delete_path(self.spark, path)
 
     def _end(self) -> None:

@@ -25,3 +25,25 @@ def collect_bounded(df: DataFrame, limit: int) -> list:
     if len(rows) > limit:
         raise ValueError(f"more than {limit} rows; this table was stated to be bounded")
     return rows
+
+
+#: Repeated keys up to which they are broadcast.
+FEW_KEYS = 100_000
+
+
+def one_row_each(df: DataFrame, key: str) -> DataFrame:
+    """One row a key, the largest of a repeated key's rows column by column from the left; null keys go.
+
+    The keys alone are counted first: rows of unique keys are never shuffled where few keys repeat.
+    """
+    df = df.filter(F.col(key).isNotNull())
+    many = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+    rest = [c for c in df.columns if c != key]
+    largest = lambda rows: rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("_s")).select(*[F.col(f"_s.{c}").alias(c) if c != key else F.col(c) for c in df.columns])
+    keys = [r[0] for r in many.limit(FEW_KEYS + 1).collect()]
+    if not keys:
+        return df
+    if len(keys) > FEW_KEYS:
+        return largest(df)
+    few = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in keys], many.schema))  # at most FEW_KEYS rows
+    return df.join(few, key, "left_anti").select(*df.columns).unionByName(largest(df.join(few, key, "left_semi")))

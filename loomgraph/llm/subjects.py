@@ -1,24 +1,26 @@
-"""Subject areas of documents, by label propagation from hand-labelled seeds.
-
-Two documents are similar as far as they share terms. The graph of all such pairs is never built: it
-is propagated along in its factored form, from documents to the terms they hold and back, by
-DataFrame joins, which gives the sums over neighbours that the full graph would give. An edge between
-a document and a term is verified before labels pass it: the term must occur in enough documents and
-belong to one subject far more often than that subject occurs. Words that every project uses verify
-for no subject and pass nothing.
-
-Each round learns the terms' subjects from the labelled documents, then the documents' subjects from
-the terms, until no label changes. No edge between two documents is verified and no hyperlink read:
-labels pass verified terms only. Seeds are trusted, and clamped in every round and in the result, where
-the graph without their own label supports them or gives the document no subject; a label against
-which it speaks is taken for an annotator's mistake. A document keeps every subject that
-``LEAST_SENTENCES`` of its sentences are about in at least ``LEAST_TERMS`` different terms; one
-sentence is a passing mention, and one term alone counts only in more sentences and where many
-documents have shown its subject.
+"""Subject areas of documents, by label propagation from hand-labelled seeds over a similarity graph.
+
+Two documents are similar as far as they share terms, and labels pass along that similarity. Pairs of
+documents are never built, as those of one subject are a square of its size: the graph is kept as
+edges between documents and the terms they hold, and a round is two joins, from documents to terms and
+back, which sums over all similar documents. An edge passes labels only when it is verified: its term
+must be held by enough labelled documents, and of these belong to one subject, or few, far more often
+than all do. A term once verified by ``ENOUGH_DOCS`` documents, or found to link documents of any
+subject, is decided: words that every project uses are taken out of the graph for the later rounds.
+
+Seeds are tried once, before the propagation: each by the edges to the other seeds, without its own
+label. A label they support is trusted, and so are the labels of a document about which they are silent.
+Trusted labels are clamped: a seed keeps them in every round and in the result, and may gain others. A
+label is taken for an annotator's mistake where they speak for a subject that its document was not
+given; one that is merely not among those they support takes part in the first round and then stands as
+any other label does. A round labels all documents; the last is the one that changes no label. A document takes every subject that ``LEAST_SENTENCES`` of its sentences are
+about in at least ``LEAST_TERMS`` different terms; one sentence is a passing mention, and one term alone
+counts only in more sentences and where many documents have shown its subject.
 
 Null and empty texts, and texts of fewer sentences, have no subject; texts without verified terms have
-only what they are labelled. Repeated rows of one doc_id count once. Labels without a document, with
-null fields or with a subject outside the list are not used. Without labels the result is empty.
+only what they are labelled. Repeated rows of one doc_id count once; the largest text counts. Labels
+without a document, with null fields or with a subject outside the list are not used. Without labels
+the result is empty.
 """
 
 from __future__ import annotations
@@ -26,14 +28,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.functions.sizing import broadcast_if_small, collect_bounded
-from loomgraph.llm.shared import write_shared
+from loomgraph.functions.sizing import broadcast_if_small, collect_bounded, one_row_each
+from loomgraph.session import Scratch
 
 #: A term's share in its main subject, in any subject it keeps, and in
 #: those together; how often a share must exceed the subject's own.
 LEAST_PURITY, LEAST_SHARE, LEAST_SUM, LEAST_LIFT = 0.4, 0.2, 0.7, 2.0
-#: Labelled documents a term must occur in, among the seeds and in later rounds.
-SEED_DOCS, LEAST_DOCS = 2, 4
+#: Labelled documents a term must occur in, among the seeds and in later rounds, and those that decide it for good.
+SEED_DOCS, LEAST_DOCS, ENOUGH_DOCS = 2, 4, 50
 #: Bound of the closed list of subjects.
 MOST_SUBJECTS = 10_000
 LEAST_SENTENCES, LEAST_TERMS, SURE = 2, 2, 0.8
@@ -43,15 +45,16 @@ _END = r"(?<=[.!?;{}])\s+|[\r\n]+"
 
 
 def terms(sentence: Column) -> Column:
-    """Distinct lower-case words of a sentence; joined names are taken apart."""
-    apart = F.regexp_replace(sentence, r"(\p{Ll})(\p{Lu})", "$1 $2")
-    return F.array_distinct(F.regexp_extract_all(F.lower(apart), F.lit(r"(\p{L}{3,})"), F.lit(1)))
+    """Hashes of the distinct words of a sentence in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(sentence, F.lit(r"(\p{L}{3,})"), F.lit(1)), lambda w: F.xxhash64(w)))
 
 
 def sentences(documents: DataFrame) -> DataFrame:
-    """(doc_id, sents): per document the distinct terms of every sentence, one row a document."""
-    one = documents.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).groupBy("doc_id").agg(F.max("text").alias("text"))
-    return one.select("doc_id", F.transform(F.split(F.regexp_replace("text", _WRAP, " "), _END), terms).alias("sents"))
+    """(doc_id, sents): per document the terms of every sentence that has any, one row a document; joined names are taken apart."""
+    one = one_row_each(documents.select("doc_id", "text").filter(F.col("text").isNotNull()), "doc_id")
+    split = F.split(F.regexp_replace("text", _WRAP, " "), _END)
+    words = F.transform(split, lambda x: terms(F.lower(F.regexp_replace(x, r"(\p{Ll})(\p{Lu})", "$1 $2"))))
+    return one.select("doc_id", F.filter(words, lambda x: F.size(x) > 0).alias("sents"))
 
 
 def count_terms(sents: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -111,44 +114,85 @@ def sentence_subjects(sents: DataFrame, known: DataFrame, keys: list[str]) -> Da
     return by.agg(F.count(F.lit(1)).alias("n_sentences"), n_terms.alias("n_terms"), F.max("t.sure").alias("sure"))
 
 
-def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, rounds: int | None = None) -> DataFrame:
+def enough(found: DataFrame) -> Column:
+    several = (F.col("n_sentences") >= LEAST_SENTENCES) & (F.col("n_terms") >= LEAST_TERMS)
+    return several | ((F.col("n_sentences") > LEAST_SENTENCES) & (F.col("sure") >= SURE))
+
+
+def tried_seeds(sents: DataFrame, given: DataFrame, scratch: Scratch) -> DataFrame:
+    """The given labels without mistakes, as (doc_id, subject, trusted)."""
+    seed_sents = scratch.write(sents.join(broadcast_if_small(given.select("doc_id").distinct()), "doc_id", "left_semi"), "seed-sentences")
+    words = seed_sents.select("doc_id", F.explode(F.array_distinct(F.flatten("sents"))).alias("term"))
+    current = _counted(given)
+    counts = scratch.write(count_terms(seed_sents, current, SEED_DOCS), "seed-counts")
+    own = scratch.write(without_own(counts, words, current, SEED_DOCS), "seed-terms")
+    found = sentence_subjects(seed_sents, own, ["doc_id", "term"]).join(given.withColumn("given", F.lit(True)), ["doc_id", "subject"], "left")
+    # A given label needs as many sentences as any other, but they may share one term.
+    kept = scratch.write(found.filter(enough(found) | (F.col("given") & (F.col("n_sentences") >= LEAST_SENTENCES))).select("doc_id", "subject", F.coalesce("given", F.lit(False)).alias("given")), "supported")
+    full = seed_sents.filter(F.size("sents") >= LEAST_SENTENCES).select("doc_id")
+    of = kept.groupBy("doc_id").agg(F.max(~F.col("given")).alias("other"))
+    said = given.join(kept.filter("given").select("doc_id", "subject", F.lit(True).alias("trusted")), ["doc_id", "subject"], "left").join(of, "doc_id", "left").join(full, "doc_id", "left_semi")
+    silent = F.col("other").isNull()
+    return scratch.write(said.filter(F.col("trusted") | silent | ~F.col("other")).select("doc_id", "subject", F.coalesce("trusted", silent).alias("trusted")), "tried")
+
+
+def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, rounds: int | None = None, log: list | None = None) -> DataFrame:
     """(doc_id, subject, n_sentences) of every document and each of its subjects, after ``rounds`` or when no label changes any more.
 
-    A seed about which the graph is silent has its given subjects, with no sentences.
+    A seed has its trusted subjects whatever is found; without sentences found for one, their number is 0.
+    ``log`` takes a line a round: (round, labels, verified terms, labels new or gone).
     """
-    sents = write_shared(sentences(documents), "sentences")
+    scratch = Scratch(documents.sparkSession, "subjects")
+    sents = scratch.write(sentences(documents), "sentences")
     closed = areas.select("subject").filter(F.col("subject").isNotNull()).distinct()
     given = labels.select("doc_id", "subject").filter(F.col("doc_id").isNotNull()).distinct().join(broadcast_if_small(closed), "subject", "left_semi")
-    given = write_shared(given.join(documents.select("doc_id").distinct(), "doc_id", "left_semi"), "seeds")
-    seeds = given.select("doc_id").distinct()
-    seed_sents, others = write_shared(sents.join(seeds, "doc_id", "left_semi"), "seed-sentences"), sents.join(seeds, "doc_id", "left_anti")
-    words = seed_sents.select("doc_id", F.explode(F.array_distinct(F.flatten("sents"))).alias("term"))
-    full = seed_sents.filter(F.size(F.filter("sents", lambda x: F.size(x) > 0)) >= LEAST_SENTENCES).select("doc_id")
-    current, seen, k = _counted(given), set(), 0
-    result = given.select("doc_id", "subject", F.lit(0).cast("bigint").alias("n_sentences"))
+    given = scratch.write(given.join(sents.select("doc_id"), "doc_id", "left_semi"), "seeds")
+    tried = tried_seeds(sents, given, scratch)
+    trusted = tried.filter("trusted").select("doc_id", "subject")
+    result = scratch.write(trusted.withColumn("n_sentences", F.lit(0).cast("bigint")), "labels")
+    current, seen, k, fixed = scratch.write(_counted(tried.select("doc_id", "subject")), "current"), set(), 0, None
     while rounds is None or k < rounds:
-        least = SEED_DOCS if k == 0 else LEAST_DOCS
-        counts = write_shared(count_terms(sents, current, least), "counts")
-        known = write_shared(learn_terms(counts, ["term"], shares(current, F.lit(0))), "terms")
-        own = write_shared(without_own(counts, words, current, least), "seed-terms")
-        found = sentence_subjects(others, known, ["term"]).unionByName(sentence_subjects(seed_sents, own, ["doc_id", "term"]))
-        # Seeds: a given label needs as many sentences as any other, but they may share one term.
-        supported = found.join(broadcast_if_small(given.withColumn("seed", F.lit(True))), ["doc_id", "subject"], "left")
-        several = (F.col("n_sentences") >= LEAST_SENTENCES) & (F.col("n_terms") >= LEAST_TERMS)
-        sure = several | ((F.col("n_sentences") > LEAST_SENTENCES) & (F.col("sure") >= SURE))
-        kept = write_shared(supported.filter(sure | (F.col("seed") & (F.col("n_sentences") >= LEAST_SENTENCES))).select("doc_id", "subject", "n_sentences"), "subjects")
-        silent = given.join(kept.select("doc_id").distinct(), "doc_id", "left_anti").join(full, "doc_id", "left_semi").select("doc_id", "subject", F.lit(0).cast("bigint").alias("n_sentences"))
-        result = write_shared(kept.unionByName(silent), "labels")
+        counts = scratch.write(count_terms(sents, current, SEED_DOCS if k == 0 else LEAST_DOCS), "counts")
+        known = scratch.write(learn_terms(counts, ["term"], shares(current, F.lit(0))), "terms")
+        if k:
+            # Verified by enough documents: the term's edges stay as they are. Enough and not verified: they go.
+            decided = counts.filter(F.col("docs") >= ENOUGH_DOCS).select("term").distinct()
+            if fixed is not None:
+                known = known.join(fixed.select("term").distinct(), "term", "left_anti").unionByName(fixed)
+                decided = decided.join(fixed.select("term").distinct(), "term", "left_anti")
+            known = scratch.write(known, "known")
+            if k == 1:
+                useless = scratch.write(decided.join(known.select("term").distinct(), "term", "left_anti"), "useless")
+                sents = scratch.write(without_terms(sents, useless), "edges")
+            fixed = scratch.write(known.join(counts.filter(F.col("docs") >= ENOUGH_DOCS).select("term").distinct(), "term", "left_semi"), "fixed") if fixed is None else fixed
+        found = sentence_subjects(sents, known, ["term"])
+        kept = found.filter(enough(found)).select("doc_id", "subject", "n_sentences")
+        last = result
+        both = kept.join(trusted, ["doc_id", "subject"], "full").select("doc_id", "subject", F.coalesce("n_sentences", F.lit(0)).cast("bigint").alias("n_sentences"))
+        result = scratch.write(both, "labels")
         # Labels that were there before, in the last round or an earlier one, would only come again.
         state = tuple(result.agg(F.count(F.lit(1)), F.sum(F.xxhash64("doc_id", "subject").cast("decimal(20,0)"))).first())
         k += 1
+        if log is not None:
+            pairs = ["doc_id", "subject"]
+            moved = result.join(last, pairs, "left_anti").count(), last.join(result, pairs, "left_anti").count()
+            log.append((k, state[0], known.select("term").distinct().count(), *moved))
         if state in seen:
             break
         seen.add(state)
-        current = write_shared(_counted(result.select("doc_id", "subject")), "current")
+        current = scratch.write(_counted(result.select("doc_id", "subject")), "current")
+    scratch.remove(result)
     return result
 
 
+def without_terms(sents: DataFrame, useless: DataFrame) -> DataFrame:
+    """The sentences without some terms; sentences and documents that lose all go."""
+    said = sents.select("doc_id", F.posexplode("sents").alias("sent_no", "words")).select("doc_id", "sent_no", F.explode("words").alias("term"))
+    left = said.join(broadcast_if_small(useless), "term", "left_anti")
+    one = left.groupBy("doc_id", "sent_no").agg(F.collect_list("term").alias("words"))
+    return one.groupBy("doc_id").agg(F.collect_list("words").alias("sents"))
+
+
 def _counted(pairs: DataFrame) -> DataFrame:
     n = pairs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_subjects"))
     return pairs.join(n, "doc_id")

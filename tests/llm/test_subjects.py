@@ -93,3 +93,21 @@ def test_labels_travel_until_they_stop(spark):
     d, lab, areas = frames(spark, docs, labels)
     found = {(r.doc_id, r.subject) for r in S.assign_subjects(d, lab, areas).collect()}
     assert {(t * 1000 + (n - 1) * 20 + i, topic) for t, topic in enumerate(("law", "music", "health")) for i in range(20)} <= found
+
+
+def test_trusted_seeds_are_clamped(spark):
+    """Labels the other seeds support or say nothing about stay; those against which they speak go."""
+    docs, truth, labels = corpus()
+    wrong = labels[0]
+    d, lab, areas = frames(spark, docs, labels)
+    log: list = []
+    found = {(r.doc_id, r.subject) for r in S.assign_subjects(d, lab, areas, log=log).collect()}
+    assert set(labels) - {wrong} <= found and wrong not in found
+    assert log[-1][3:] == (0, 0) and [r[0] for r in log] == list(range(1, len(log) + 1))
+
+
+def test_repeated_documents_count_once(spark):
+    rows = [(1, "The choir sings. The violin plays.", "a")] * 3 + [(1, "Zither and choir. A violin.", "b"), (2, "One choir. Two violins.", None), (None, "Lost choir.", "c")]
+    got = S.sentences(spark.createDataFrame(rows, "doc_id bigint, text string, subject string")).collect()
+    assert sorted(r.doc_id for r in got) == [1, 2]
+    assert [len(x) for x in next(r.sents for r in got if r.doc_id == 1)] == [3, 1]

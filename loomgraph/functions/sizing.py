@@ -31,13 +31,14 @@ def collect_bounded(df: DataFrame, limit: int) -> list:
 FEW_KEYS = 100_000
 
 
-def one_row_each(df: DataFrame, key: str) -> DataFrame:
+def one_row_each(df: DataFrame, key: str, among: DataFrame | None = None) -> DataFrame:
     """One row a key, the largest of a repeated key's rows column by column from the left; null keys go.
 
-    The keys alone are counted first: rows of unique keys are never shuffled where few keys repeat.
+    The keys alone are counted first, in ``among`` where that holds all of them and is cheaper to read: rows
+    of unique keys are never shuffled where few keys repeat.
     """
     df = df.filter(F.col(key).isNotNull())
-    many = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+    many = (df if among is None else among.filter(F.col(key).isNotNull())).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
     rest = [c for c in df.columns if c != key]
     largest = lambda rows: rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("_s")).select(*[F.col(f"_s.{c}").alias(c) if c != key else F.col(c) for c in df.columns])
     keys = [r[0] for r in many.limit(FEW_KEYS + 1).collect()]

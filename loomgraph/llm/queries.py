@@ -41,8 +41,8 @@ def _oversized(spark, sf):
 
 
 def p6_found(spark, sf):
-    plan = split.plan(split.ranges_of_rows(_oversized(spark, sf)))
-    return plan.filter("piece_no = 1").select("item_kind", "row_id").distinct()
+    """Items cut into more than one piece."""
+    return split.plan(split.ranges_of_rows(_oversized(spark, sf))).filter("piece_no = 1").select("item_kind", "row_id").distinct()
 
 
 def p6_pieces(spark, sf):

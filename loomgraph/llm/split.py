@@ -1,34 +1,42 @@
 """Splitting oversized items at natural boundaries, by byte ranges.
 
-An item is cut into byte ranges. Each task looks for boundaries in one range plus a halo of its
-neighbours' bytes; the boundary tables are stitched with a prefix sum of the range lengths; cuts are
-chosen from the stitched table; pieces are emitted by offset from the ranges they touch. No task holds
-a whole file: an item costs its planner a few bytes per boundary, not its content.
+An item is cut into byte ranges, at least eight times as long as a piece. Each range ends at a seam: the
+strongest natural boundary in the last half piece before its nominal end. A task sees its range with a
+halo on either side, so that it finds the seam before it and the one behind it by itself, exactly as
+its neighbours do, plans the pieces between the two and emits them by offset. No boundary is sent
+anywhere and no task holds more than a range: only the number of pieces a range has is summed over the
+ranges before it, to number the pieces.
+
+Texts held in rows are unfolded into ranges where they lie and never shuffled; files are read by
+seeking, range by range, once to plan and once to emit.
 
 A piece has at most ``max_bytes`` UTF-8 bytes and never breaks a character, unless max_bytes is below
 four and a single character is larger; then that character is a piece of its own. The next piece
 begins ``overlap_bytes`` before the cut, at the nearest whole character; an overlap of more than half
 of max_bytes is reduced to that half. Null and empty texts, and items at or below their limit, are not
 oversized and give nothing. Rows without a budget (null max_bytes) are not split. Repeated rows with
-one id are one item; if their texts differ, the largest in byte order is taken.
+one id are one item; if their texts differ, the largest oversized one in byte order is taken.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomgraph.functions.sizing import broadcast_if_small
+from loomgraph.functions.sizing import broadcast_if_small, one_row_each
 
-#: Bytes of a range, and of a neighbour's bytes seen on either side of it.
+#: Least bytes of a range, and bytes seen on either side of any place where a boundary is looked for.
 RANGE_BYTES = 1 << 18
 HALO = 256
 #: A cut is looked for in the last part of a piece; the strongest boundary there wins, then the last.
 LEAST_FILL = 0.5
+#: Ranges of one file whose pieces are counted in one task.
+COUNTED = 4096
 #: Strengths: 5 before a definition at the start of a line, 4 after a blank line, 3 after a line, 2 after a
 #: sentence or statement, 1 after a blank, 0 any character.
 _BOUNDARY = re.compile(
@@ -36,6 +44,7 @@ _BOUNDARY = re.compile(
     rb"|(?P<para>\n[ \t\r]*\n)|(?P<line>\r?\n|\r)|(?P<stop>[.!?;:,][ \t]|[;}])|(?P<blank>[ \t])"
 )
 _STRENGTH = {"top": 5, "para": 4, "line": 3, "stop": 2, "blank": 1}
+_PIECES = "item_kind string, row_id bigint, range_no int, piece_no int, start_byte bigint, end_byte bigint"
 
 
 def budgets_for(items: DataFrame, budgets: DataFrame, kind: str) -> DataFrame:
@@ -47,158 +56,117 @@ def budgets_for(items: DataFrame, budgets: DataFrame, kind: str) -> DataFrame:
 def items_of(frame: DataFrame, budgets: DataFrame, kind: str, row_id: str, text: str) -> DataFrame:
     """Oversized items of a table: (item_kind, row_id, body, max_bytes, overlap_bytes), one row an item."""
     rows = frame.select(F.col(row_id).alias("row_id"), F.col(text).alias("body"), F.col("lang").alias("lang"))
-    over = budgets_for(rows, budgets, kind).filter(F.octet_length("body") > F.col("max_bytes"))
-    one = over.groupBy("row_id").agg(F.max(F.struct("body", "max_bytes", "overlap_bytes")).alias("s"))
-    return one.select(F.lit(kind).alias("item_kind"), "row_id", "s.*")
+    over = budgets_for(rows, budgets, kind).filter(F.octet_length("body") > F.col("max_bytes")).select("row_id", "body", "max_bytes", "overlap_bytes")
+    return one_row_each(over, "row_id", among=rows.select("row_id")).select(F.lit(kind).alias("item_kind"), "row_id", "body", "max_bytes", "overlap_bytes")
+
+
+def stride(range_bytes: int) -> Column:
+    """Bytes from one nominal end of a range to the next."""
+    return F.greatest(F.lit(range_bytes), F.col("max_bytes") * 8).cast("bigint")
+
+
+def reach(max_bytes: int) -> int:
+    """Bytes before a nominal end among which its seam is looked for."""
+    return max(1, int(max_bytes * (1 - LEAST_FILL)))
+
+
+def _ranges(items: DataFrame, range_bytes: int) -> DataFrame:
+    """Adds ``stride`` and, from the size, where each range's bytes with both halos begin and end."""
+    sized = items.withColumn("stride", stride(range_bytes)).withColumn("overlap_bytes", F.least(F.greatest(F.coalesce("overlap_bytes", F.lit(0)), F.lit(0)), F.expr("max_bytes div 2")))
+    back = F.col("max_bytes") + F.col("overlap_bytes") + 2 * HALO
+    n = F.expr("cast((size + stride - 1) div stride as int)")
+    begin = lambda i: F.greatest(i * F.col("stride") - back, F.lit(0))
+    end = lambda i: F.least((i + 1) * F.col("stride") + 2 * HALO, F.col("size"))
+    spans = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("range_no"), begin(i).cast("bigint").alias("base"), end(i).cast("bigint").alias("stop")))
+    return sized.withColumn("spans", spans)
 
 
 def ranges_of_rows(items: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Byte ranges of items held in rows: their bytes and the halos before and after."""
-    raw = items.withColumn("raw", F.encode("body", "UTF-8")).drop("body")
-    size = F.octet_length("raw")
-    n = F.expr(f"cast((octet_length(raw) + {range_bytes - 1}) div {range_bytes} as int)")
-    cut = raw.withColumn("range_no", F.explode(F.sequence(F.lit(0), n - 1)))
-    at = F.col("range_no") * range_bytes
-    before = F.least(at, F.lit(HALO))
-    return cut.select(
-        "item_kind", "row_id", "max_bytes", "overlap_bytes", "range_no",
-        F.substring("raw", at + 1, F.lit(range_bytes)).alias("bytes"),
-        F.substring("raw", at - before + 1, before).alias("before"),
-        F.substring("raw", at + range_bytes + 1, F.lit(HALO)).alias("after"),
-    )
+    """Byte ranges of items held in rows, with their halos, in order; a narrow step."""
+    raw = _ranges(items.filter("max_bytes > 0 and body is not null").withColumn("raw", F.encode("body", "UTF-8")).withColumn("size", F.octet_length("raw").cast("bigint")), range_bytes)
+    # The slices are made before they are unfolded, so that no row carries the whole text.
+    cut = F.transform("spans", lambda s: F.struct(s["range_no"].alias("range_no"), s["base"].alias("base"), F.substring(F.col("raw"), (s["base"] + 1).cast("int"), (s["stop"] - s["base"]).cast("int")).alias("bytes")))
+    return raw.select("item_kind", "row_id", "max_bytes", "overlap_bytes", "size", "stride", F.explode(cut).alias("r")).select("item_kind", "row_id", "max_bytes", "overlap_bytes", "size", "stride", "r.*")
 
 
 def ranges_of_files(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Byte ranges of files named by ``path``, each read by seeking; ``files`` has item_kind, row_id, path, n_bytes and the budget."""
-    n = F.expr(f"cast((n_bytes + {range_bytes - 1}) div {range_bytes} as int)")
-    parts = files.filter(F.col("n_bytes") > F.col("max_bytes")).withColumn("range_no", F.explode(F.sequence(F.lit(0), n - 1)))
+    """Where the byte ranges of files named by ``path`` lie; ``files`` has item_kind, row_id, path, n_bytes and the budget."""
+    over = files.filter("max_bytes > 0").filter(F.col("n_bytes") > F.col("max_bytes")).withColumn("size", F.col("n_bytes").cast("bigint"))
+    spread = _ranges(over, range_bytes).withColumn("s", F.explode("spans"))
+    return spread.select("item_kind", "row_id", "max_bytes", "overlap_bytes", "size", "stride", "path", "s.range_no", "s.base", "s.stop").repartition(F.col("row_id"), F.col("range_no"))
 
-    def read(batches):
-        from pyarrow import fs
 
-        for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                source, path = fs.FileSystem.from_uri(r.path if "://" in r.path else f"file://{r.path}")
-                at = int(r.range_no) * range_bytes
-                lo = max(0, at - HALO)
-                with source.open_input_file(path) as f:
-                    f.seek(lo)
-                    data = f.read(at - lo + range_bytes + HALO)
-                rows.append((r.item_kind, r.row_id, r.max_bytes, r.overlap_bytes, r.range_no, data[at - lo : at - lo + range_bytes], data[: at - lo], data[at - lo + range_bytes :]))
-            yield pd.DataFrame(rows, columns=["item_kind", "row_id", "max_bytes", "overlap_bytes", "range_no", "bytes", "before", "after"])
+def read_range(path: str, base: int, stop: int) -> bytes:
+    from pyarrow import fs
 
-    schema = "item_kind string, row_id bigint, max_bytes bigint, overlap_bytes bigint, range_no int, bytes binary, before binary, after binary"
-    return parts.select("item_kind", "row_id", "max_bytes", "overlap_bytes", "path", "range_no").repartition(F.col("row_id"), F.col("range_no")).mapInPandas(read, schema)
+    source, name = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    with source.open_input_file(name) as f:
+        f.seek(base)
+        return f.read(stop - base)
 
 
-def boundaries(data: bytes, before: bytes, after: bytes, step: int) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets within ``data`` where a piece may end, with their strengths, at least one a ``step`` bytes.
-
-    An offset k cuts before byte k; the offset 0 belongs to the range, its end to the next one.
-    """
-    whole, lo, hi = before + data + after, len(before), len(before) + len(data)
+def natural(data: bytes, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Natural boundaries k with lo < k <= hi in ``data``, and their strengths; a cut at k is before byte k."""
     strength: dict[int, int] = {}
-    for m in _BOUNDARY.finditer(whole):
+    for m in _BOUNDARY.finditer(data, max(0, lo - HALO), min(len(data), hi + HALO)):
         end = m.end()
-        if lo <= end < hi:
+        if lo < end <= hi:
             s = _STRENGTH[m.lastgroup]
             if s > strength.get(end, -1):
                 strength[end] = s
-    marks = sorted(strength)
-    last = lo
-    for end in [*marks, hi]:
-        for k in range(last + step, end, step):
-            while k > last and (whole[k] & 0xC0) == 0x80:
-                k -= 1
-            if k > last and k not in strength:
-                strength[k] = 0
-        last = end
     at = np.array(sorted(strength), np.int64)
-    return at - lo, np.array([strength[k] for k in at.tolist()], np.int8)
+    return at, np.array([strength[k] for k in at.tolist()], np.int8)
 
 
-def plan_cuts(at: np.ndarray, strength: np.ndarray, size: int, max_bytes: int, overlap: int) -> list[tuple[int, int]]:
-    """Nominal (start, end) of the pieces. A start is moved to a whole character when the piece is emitted,
-    by at most two bytes; every end leaves room for that."""
+def best_of(at: np.ndarray, strength: np.ndarray, lo: int, hi: int) -> int | None:
+    """The strongest boundary k with lo < k <= hi, the last of equals."""
+    a, b = np.searchsorted(at, lo, "right"), np.searchsorted(at, hi, "right")
+    return int(at[b - 1 - int(np.argmax(strength[a:b][::-1]))]) if a < b else None
+
+
+def whole_before(data: bytes, at: int) -> int:
+    """The last character boundary up to ``at``."""
+    while 0 < at < len(data) and (data[at] & 0xC0) == 0x80:
+        at -= 1
+    return at
+
+
+def seam(data: bytes, base: int, nominal: int, size: int, max_bytes: int) -> int:
+    """The end of the range that nominally ends at ``nominal``, an offset of the item; the same for every task that sees it."""
+    if nominal <= 0 or nominal >= size:
+        return max(0, min(nominal, size))
+    lo, hi = max(0, nominal - reach(max_bytes) - HALO), min(size, nominal + HALO)
+    part = data[lo - base : hi - base]
+    at, strength = natural(part, nominal - reach(max_bytes) - lo, nominal - lo)
+    best = best_of(at, strength, -1, len(part))
+    return lo + (best if best is not None else whole_before(part, nominal - lo))
+
+
+def plan_range(data: bytes, base: int, size: int, range_no: int, step: int, max_bytes: int, overlap: int) -> list[tuple[int, int]]:
+    """Nominal (start, end) of the pieces between a range's seams, as offsets of the item. A start is moved to a
+    whole character when the piece is emitted, by at most two bytes; every end leaves room for that."""
+    first, last = seam(data, base, range_no * step, size, max_bytes), seam(data, base, (range_no + 1) * step, size, max_bytes)
+    if first >= last:
+        return []
+    at, strength = natural(data, first - base, last - base)
+    at = at + base
     slack = 2 if overlap else 0
-    overlap = min(overlap, max_bytes // 2)
-    pieces, start, cut = [], 0, 0
+    pieces, cut, start = [], first, max(0, first - overlap) if first else 0
     while True:
-        room = start + max_bytes - (slack if pieces else 0)
-        if size <= room:
-            pieces.append((start, size))
+        room = start + max_bytes - (slack if start else 0)
+        if last <= room:
+            return [*pieces, (start, last)]
+        end = best_of(at, strength, max(cut, start + int(max_bytes * LEAST_FILL)), room)
+        if end is None:
+            end = base + whole_before(data, room - base)
+            if end <= cut:  # one character larger than the limit
+                end = cut + 1
+                while end < last and (data[end - base] & 0xC0) == 0x80:
+                    end += 1
+        pieces.append((start, end))
+        if end >= last:
             return pieces
-        floor = max(cut, start + int(max_bytes * LEAST_FILL))
-        a, b = np.searchsorted(at, floor, "right"), np.searchsorted(at, room, "right")
-        if a == b:
-            a = np.searchsorted(at, cut, "right")
-        if a < b:
-            window = strength[a:b]
-            best = int(at[a + len(window) - 1 - int(np.argmax(window[::-1]))])
-        elif b < len(at):
-            best = int(at[b])  # one character larger than the limit
-        else:
-            best = size
-        pieces.append((start, best))
-        if best >= size:
-            return pieces
-        cut, start = best, max(best - overlap, start + 1 if best - overlap <= start else best - overlap)
-
-
-def plan(ranges: DataFrame) -> DataFrame:
-    """Pieces by offset: (item_kind, row_id, size, piece_no, start, end), from the stitched boundary tables."""
-
-    def detect(batches):
-        for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                at, strength = boundaries(bytes(r.bytes), bytes(r.before), bytes(r.after), max(1, min(64, int(r.max_bytes) // 16)))
-                rows.append((r.item_kind, r.row_id, r.max_bytes, r.overlap_bytes, r.range_no, len(r.bytes), at.astype(np.int32).tobytes(), strength.tobytes()))
-            yield pd.DataFrame(rows, columns=["item_kind", "row_id", "max_bytes", "overlap_bytes", "range_no", "n", "at", "strength"])
-
-    found = ranges.mapInPandas(detect, "item_kind string, row_id bigint, max_bytes bigint, overlap_bytes bigint, range_no int, n bigint, at binary, strength binary")
-    tables = found.groupBy("item_kind", "row_id").agg(
-        F.max("max_bytes").alias("max_bytes"), F.max(F.coalesce("overlap_bytes", F.lit(0))).alias("overlap_bytes"), F.sum("n").alias("size"),
-        F.array_sort(F.collect_list(F.struct("range_no", "n", "at", "strength"))).alias("parts"),
-    )
-
-    def cut(batches):
-        for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                offset, at, strength = 0, [], []
-                for p in r.parts:
-                    at.append(np.frombuffer(p["at"], np.int32).astype(np.int64) + offset)
-                    strength.append(np.frombuffer(p["strength"], np.int8))
-                    offset += p["n"]
-                pieces = plan_cuts(np.concatenate(at), np.concatenate(strength), offset, int(r.max_bytes), int(r.overlap_bytes))
-                rows += [(r.item_kind, r.row_id, offset, k, a, b) for k, (a, b) in enumerate(pieces)]
-            yield pd.DataFrame(rows, columns=["item_kind", "row_id", "size", "piece_no", "start", "end"])
-
-    return tables.mapInPandas(cut, "item_kind string, row_id bigint, size bigint, piece_no int, start bigint, end bigint")
-
-
-def emit(ranges: DataFrame, pieces: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The pieces with their text: parts of the ranges a piece touches, put together in order."""
-    lo, hi = F.greatest(F.col("start") - 2, F.lit(0)), F.col("end")  # two bytes more, to find a whole character
-    touched = pieces.withColumn("lo", lo).withColumn("range_no", F.explode(F.expr(f"sequence(cast(lo div {range_bytes} as int), cast((end - 1) div {range_bytes} as int))")))
-    r = ranges.select("item_kind", "row_id", "range_no", "bytes")
-    base = F.col("range_no") * range_bytes
-    a, b = F.greatest(F.col("lo"), base), F.least(hi, base + range_bytes)
-    parts = touched.join(r, ["item_kind", "row_id", "range_no"]).withColumn("part", F.substring("bytes", (a - base + 1).cast("int"), (b - a).cast("int")))
-    whole = parts.groupBy("item_kind", "row_id", "piece_no", "lo", "start", "end").agg(F.array_sort(F.collect_list(F.struct("range_no", "part"))).alias("parts"))
-
-    def build(batches):
-        for batch in batches:
-            rows = []
-            for p in batch.itertuples(index=False):
-                data = b"".join(x["part"] for x in p.parts)
-                k = whole_character(data, p.start - p.lo)
-                rows.append((p.item_kind, p.row_id, p.piece_no, p.lo + k, p.end, data[k:].decode("utf-8", "replace")))
-            yield pd.DataFrame(rows, columns=["item_kind", "row_id", "piece_no", "start_byte", "end_byte", "piece"])
-
-    return whole.mapInPandas(build, "item_kind string, row_id bigint, piece_no int, start_byte bigint, end_byte bigint, piece string")
+        cut, start = end, max(end - overlap, start + 1)
 
 
 def whole_character(data: bytes, at: int) -> int:
@@ -210,12 +178,60 @@ def whole_character(data: bytes, at: int) -> int:
     return at
 
 
-def oversized(spark: SparkSession, chunks: DataFrame, files: DataFrame, budgets: DataFrame) -> DataFrame:
-    """Oversized chunks and files, one row an item."""
-    return items_of(chunks, budgets, "chunk", "chunk_id", "body").unionByName(items_of(files, budgets, "file", "file_id", "content"))
+def _cut(batches: Iterator[pd.DataFrame], texts: bool, numbered: bool) -> Iterator[pd.DataFrame]:
+    """Pieces of the ranges of a task. Ranges of one item that follow each other are numbered on, unless ``first_no`` is there."""
+    columns = ["item_kind", "row_id", "range_no", "piece_no", "start_byte", "end_byte", *(["piece"] if texts else [])]
+    item, done = None, 0
+    for batch in batches:
+        rows = []
+        for r in batch.itertuples(index=False):
+            data = read_range(r.path, r.base, r.stop) if hasattr(r, "path") else bytes(r.bytes)
+            if numbered:
+                done = int(r.first_no)
+            elif (r.item_kind, r.row_id) != item or r.range_no == 0:
+                item, done = (r.item_kind, r.row_id), 0
+            for start, end in plan_range(data, r.base, r.size, r.range_no, r.stride, r.max_bytes, r.overlap_bytes):
+                begin = r.base + whole_character(data, start - r.base) if start else 0
+                rows.append((r.item_kind, r.row_id, r.range_no, done, begin, end, *([data[begin - r.base : end - r.base].decode("utf-8", "replace")] if texts else [])))
+                done += 1
+            if texts and sum(len(x[-1]) for x in rows[-64:]) > 1 << 22:
+                yield pd.DataFrame(rows, columns=columns)
+                rows = []
+        yield pd.DataFrame(rows, columns=columns)
+
+
+def plan(ranges: DataFrame) -> DataFrame:
+    """Pieces by offset, without their text: (item_kind, row_id, range_no, piece_no, start_byte, end_byte).
+
+    Ranges of rows lie together, and piece_no is that of the item; of files' ranges, it counts within the range.
+    """
+    return ranges.mapInPandas(lambda b: _cut(b, False, False), _PIECES) if "path" not in ranges.columns else ranges.withColumn("first_no", F.lit(0)).mapInPandas(lambda b: _cut(b, False, True), _PIECES)
+
+
+def first_numbers(pieces: DataFrame) -> DataFrame:
+    """(item_kind, row_id, range_no, first_no): pieces of the item before the range, summed in blocks of ranges."""
+    item = ["item_kind", "row_id"]
+    counts = pieces.groupBy(*item, "range_no").agg(F.count(F.lit(1)).alias("n")).withColumn("block", F.expr(f"range_no div {COUNTED}"))
+    blocks = counts.groupBy(*item, "block").agg(F.sum("n").alias("n"))
+    before = lambda *by: F.coalesce(F.sum("n").over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select(*item, "block", before(*item, "block").alias("before"))
+    inside = counts.select(*item, "block", "range_no", before(*item, "block", "range_no").alias("inside"))
+    return inside.join(blocks, [*item, "block"]).select(*item, "range_no", (F.col("inside") + F.col("before")).alias("first_no"))
+
+
+def split_files(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Ordered pieces of files read by ranges: (item_kind, row_id, piece_no, start_byte, end_byte, piece)."""
+    ranges = ranges_of_files(files, range_bytes)
+    numbers = first_numbers(plan(ranges))
+    placed = ranges.join(numbers, ["item_kind", "row_id", "range_no"])  # no bytes have been read yet
+    return placed.mapInPandas(lambda b: _cut(b, True, True), _PIECES + ", piece string").drop("range_no")
 
 
 def split_items(items: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Ordered pieces of items: (item_kind, row_id, piece_no, start_byte, end_byte, piece)."""
-    ranges = ranges_of_rows(items, range_bytes)
-    return emit(ranges, plan(ranges), range_bytes)
+    """Ordered pieces of items held in rows: (item_kind, row_id, piece_no, start_byte, end_byte, piece)."""
+    return ranges_of_rows(items, range_bytes).mapInPandas(lambda b: _cut(b, True, False), _PIECES + ", piece string").drop("range_no")
+
+
+def oversized(spark: SparkSession, chunks: DataFrame, files: DataFrame, budgets: DataFrame) -> DataFrame:
+    """Oversized chunks and files, one row an item."""
+    return items_of(chunks, budgets, "chunk", "chunk_id", "body").unionByName(items_of(files, budgets, "file", "file_id", "content"))

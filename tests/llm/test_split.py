@@ -62,8 +62,43 @@ def test_files_are_read_by_ranges(spark, tmp_path):
     path = tmp_path / "big.txt"
     path.write_text(body, encoding="utf-8", newline="")
     n = len(body.encode())
-    files = spark.createDataFrame([("file", 7, str(path), n, 1000, 100)], "item_kind string, row_id bigint, path string, n_bytes bigint, max_bytes bigint, overlap_bytes bigint")
-    ranges = split.ranges_of_files(files, 4096)
-    pieces = split.emit(ranges, split.plan(ranges), 4096).orderBy("piece_no").collect()
+    files = spark.createDataFrame([("file", 7, str(path), n, 1000, 100)], FILES)
+    pieces = split.split_files(files, 4096).orderBy("piece_no").collect()
     raw = body.encode()
-    assert pieces[-1].end_byte == n and all(raw[p.start_byte : p.end_byte].decode() == p.piece and len(p.piece.encode()) <= 1000 for p in pieces)
+    assert [p.piece_no for p in pieces] == list(range(len(pieces)))
+    assert pieces[0].start_byte == 0 and pieces[-1].end_byte == n
+    assert all(raw[p.start_byte : p.end_byte].decode() == p.piece and len(p.piece.encode()) <= 1000 for p in pieces)
+    assert all(abs(p.end_byte - q.start_byte - 100) <= 2 for p, q in zip(pieces, pieces[1:]))
+    rows = split.split_items(spark.createDataFrame([("file", 7, body, 1000, 100)], SCHEMA), 4096).orderBy("piece_no").collect()
+    assert [tuple(r) for r in rows] == [tuple(r) for r in pieces]
+
+
+FILES = "item_kind string, row_id bigint, path string, n_bytes bigint, max_bytes bigint, overlap_bytes bigint"
+
+
+def test_pieces_are_numbered_across_blocks_of_ranges(spark, monkeypatch):
+    monkeypatch.setattr(split, "COUNTED", 3)
+    rows = [("file", 1, k, 0, 0, 0) for k in range(20) for _ in range(k % 4)]
+    got = {r.range_no: r.first_no for r in split.first_numbers(spark.createDataFrame(rows, split._PIECES)).collect()}
+    assert got == {k: sum(j % 4 for j in range(k)) for k in range(20) if k % 4}
+
+
+def test_a_file_larger_than_memory_allows(tmp_path):
+    """Ranges of a sparse file of 4 GB are planned one by one; each is read with its halos only."""
+    import os
+    import tracemalloc
+
+    path, size, limit, step = tmp_path / "sparse", 4 << 30, 1 << 20, 8 << 20
+    with open(path, "wb") as f:
+        f.truncate(size)
+        f.seek(3 << 30)
+        f.write(b"one line\n" * 1000)
+    tracemalloc.start()
+    last, pieces = None, 0
+    for k in [0, 1, 2, 383, 384, 385, size // step - 1]:
+        base, stop = max(0, k * step - limit - limit // 2 - 2 * split.HALO), min(size, (k + 1) * step + 2 * split.HALO)
+        found = split.plan_range(split.read_range(str(path), base, stop), base, size, k, step, limit, 0)
+        assert all(0 < b - a <= limit for a, b in found) and all(x[1] == y[0] for x, y in zip(found, found[1:]))
+        assert last is None or last[0] != k - 1 or last[1] == found[0][0]
+        last, pieces = (k, found[-1][1]), pieces + len(found)
+    assert last[1] == size and tracemalloc.get_traced_memory()[1] < 1 << 26 and os.stat(path).st_size == size

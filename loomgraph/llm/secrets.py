@@ -1,12 +1,13 @@
 """Credentials embedded in source code and prose: found by line, and redacted in place.
 
 Lines with an assignment context (a credential's name, a login call, an authorization header, a login
-in a URL or command, a remark that gives a login) yield literals. Each literal is segmented into
-dictionary words by Viterbi; what no word explains is its residual. A long residual in such a context
-is a credential; a literal of words alone is one only where the context names a credential and the
-literal is no placeholder, name or reference. Known hash formats (hex digests, commit and request
-ids) are excluded unless the context names a credential. Key blocks and values in the formats of
-well-known issuers need no context.
+in a URL or command, a remark that gives a login, the prefix of an issuer or a key block) yield
+literals. Each literal is segmented into dictionary words by Viterbi; what no word explains is its
+residual, in which a digit weighs more than a letter and a symbol most, as names of things have few of
+them. A long residual in such a context is a credential. Two exceptions are decided otherwise. Known
+hash formats (hex digests, commit and request ids) are excluded before anything is segmented, unless
+the name says credential, since keys are hex too. A literal of words alone is a credential only where
+the context is one of a password: three words and more, or any in a login.
 
 Null and empty texts give nothing. Lines are split at ``\\n`` only; a ``\\r`` before it belongs to no
 value. Texts are scanned whole, whatever their length. Repeated rows give one row per line.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import base64
 import json
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pandas as pd
@@ -28,6 +30,8 @@ VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 MARK = "[REDACTED]"
 #: Residual from which a literal is unexplained, and that at which one in a weak context is.
 LONG, LONG_WEAK = 4, 8
+#: What a digit and a symbol weigh in a residual where the context names a credential; a letter is one.
+DIGIT, SYMBOL = 3, 4
 
 # Words that name a credential, alone or in the last place of a name.
 _STRONG = frozenset(
@@ -182,37 +186,55 @@ class Finder:
     def __init__(self, words: frozenset):
         self.segment = Segmenter(words)
 
+    def residual(self, value: str) -> int:
+        """Weight of what no word explains in a literal of a credential's context."""
+        letters, _, digits = self.segment.parse(value)
+        alone = sum(c.isdigit() for c in value) - digits  # digits outside numbers are among the single characters
+        return letters + (DIGIT - 1) * alone + DIGIT * digits + SYMBOL * sum(not c.isalnum() and c not in "._-" for c in value)
+
     def accepts(self, value: str, rank: int, quoted: bool, hashed: bool = False) -> bool:
-        """Whether a literal is a credential. rank: 3 login or header, 2 credential name, 1 weak, -1 another name."""
+        return self.reason(value, rank, quoted, hashed) is not None
+
+    def reason(self, value: str, rank: int, quoted: bool, hashed: bool = False) -> str | None:
+        """Why a literal is a credential (residual, words or hash), or None. rank: 3 login or header, 2 credential name, 1 weak, -1 another name."""
         if len(value) < 4 or _PLACEHOLDER.match(value) or _REFERENCE.search(value) or " " in value.strip():
-            return False
-        if _ISSUED.fullmatch(value):
-            return True
+            return None
         if _HASH.match(value):
-            return rank >= 1 and not hashed and len(value) >= 16
+            return "hash" if rank >= 1 and not hashed and len(value) >= 16 else None
+        if _ISSUED.fullmatch(value):
+            rank = max(rank, 2)
         if rank < 0:
-            return False
-        residual, words, digits = self.segment.parse(value)
+            return None
         if value.isdigit() or re.fullmatch(r"[\d.,:xv-]+", value):
-            return rank >= 3 and len(value) >= 6
-        if residual >= (LONG if rank >= 2 else LONG_WEAK):
-            return True
-        symbols = any(not c.isalnum() and c not in "._-" for c in value)
+            return "residual" if rank >= 3 and len(value) >= 6 else None
+        letters, words, digits = self.segment.parse(value)
         if rank >= 2:
-            return words >= 3 or (words >= 1 and digits >= 2) or symbols or (residual >= 2 and any(c.isdigit() for c in value)) or (rank >= 3 and words >= 1 and len(value) >= 5)
-        return words >= 4 or digits >= 4 and words >= 1 or symbols and (residual >= 2 or digits >= 2) and quoted or residual >= LONG and quoted and any(c.isdigit() for c in value)
+            if self.residual(value) >= LONG:
+                return "residual"
+            return "words" if words >= 3 or rank >= 3 and words >= 1 and len(value) >= 5 else None
+        symbols = any(not c.isalnum() and c not in "._-" for c in value)
+        if letters >= LONG_WEAK or quoted and (symbols and (letters >= 2 or digits >= 2) or letters >= LONG and any(c.isdigit() for c in value)):
+            return "residual"
+        return "words" if words >= 4 or digits >= 4 and words >= 1 else None
 
     def spans(self, text: str):
         """Spans of credentials, in order. The first span of one credential is flagged True."""
-        found: dict[tuple[int, int], bool] = {}
+        found: list[tuple[int, int, bool]] = []  # sorted, and none overlaps another
+
+        def free(x: int, y: int) -> int | None:
+            k = bisect_left(found, (x, y))
+            return None if k < len(found) and found[k][0] < y or k and found[k - 1][1] > x else k
+
         for m in _BEGIN.finditer(text):
             end = _END.search(text, m.end())
+            body = end.start() if end else len(text)
             stop = end.end() if end else len(text)
             if not end:  # a key cut off: up to the first line that is no key material
                 k = re.compile(r"\n(?!\s*[A-Za-z0-9+/=]{8,}\s*(?:\n|$))").search(text, m.end())
-                stop = k.start() if k else len(text)
-            found[(m.start(), stop)] = True
-        blocks = sorted(found)
+                body = stop = k.start() if k else len(text)
+            if (k := free(m.start(), stop)) is not None and self.residual("".join(text[m.end() : body].split())) >= LONG:
+                found.insert(k, (m.start(), stop, True))
+        blocks = list(found)
         low = text.lower()
         if len(low) != len(text):  # a few letters change length: compare them as they are
             low = text
@@ -228,16 +250,16 @@ class Finder:
             b = text.find("\n", m.start())
             b = n if b < 0 else b
             at = b
-            if any(x < b and a < y for x, y in blocks):
-                head = min((x for x, y in blocks if x < b and a < y))
-                if head <= a:
-                    continue
+            if blocks:
+                k = bisect_left(blocks, (a, a)) - 1
+                if k >= 0 and blocks[k][1] > a or k + 1 < len(blocks) and blocks[k + 1][0] == a:
+                    continue  # the line begins in a key block
             for x, y, first in self._line(text, a, b):
-                if not any(p < y and x < q for p, q in found):
-                    found[(x, y)] = first
+                if (k := free(x, y)) is not None:
+                    found.insert(k, (x, y, first))
             if at >= n:
                 break
-        return [(x, y, first) for (x, y), first in sorted(found.items())]
+        return found
 
     def _line(self, text: str, a: int, b: int):
         line = text[a:b]
@@ -250,7 +272,7 @@ class Finder:
                 out.append((a + x, a + y, True))
 
         for m in _ISSUED.finditer(line):
-            out.append((a + m.start(), a + m.end(), True))
+            take(m.start(), m.end(), 2, True)
         for m in _SCHEME.finditer(line):
             v = m["v"]
             if m["s"].lower() == "basic":
@@ -258,9 +280,9 @@ class Finder:
                     plain = base64.b64decode(v + "=" * (-len(v) % 4), validate=True).decode("utf-8")
                 except ValueError:
                     continue
-                user, colon, word = plain.partition(":")
-                if colon and word and not _PLACEHOLDER.match(word) and not _REFERENCE.search(word):
-                    out.append((a + m.start("v"), a + m.end("v"), True))
+                _, colon, word = plain.partition(":")
+                if colon:
+                    take(m.start("v"), m.end("v"), 3, True, value=word)
             else:
                 take(m.start("v"), m.end("v"), 2, False)
         if "@" in line:

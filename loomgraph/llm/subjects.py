@@ -57,10 +57,14 @@ def sentences(documents: DataFrame) -> DataFrame:
     return one.select("doc_id", F.filter(words, lambda x: F.size(x) > 0).alias("sents"))
 
 
-def count_terms(sents: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+def edges_of(sents: DataFrame) -> DataFrame:
+    """(doc_id, term): every term a document holds, once."""
+    return sents.select("doc_id", F.explode(F.array_distinct(F.flatten("sents"))).alias("term"))
+
+
+def count_terms(edges: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """(term, subject, n, docs): labelled documents (doc_id, subject, n_subjects) of a subject that hold a term, and of any."""
-    # Labels meet whole documents; only then are the documents' terms unfolded.
-    seen = sents.join(labels, "doc_id").select("subject", "n_subjects", F.explode(F.array_distinct(F.flatten("sents"))).alias("term"))
+    seen = edges.join(broadcast_if_small(labels), "doc_id").select("subject", "n_subjects", "term")
     by_subject = seen.groupBy("term", "subject").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(1.0) / F.col("n_subjects")).alias("share"))
     docs = by_subject.groupBy("term").agg(F.sum("share").alias("docs")).filter(F.col("docs") >= least_docs)
     return by_subject.join(docs, "term").select("term", "subject", "n", "docs")
@@ -87,12 +91,15 @@ def learn_terms(counts: DataFrame, keys: list[str], own: Column) -> DataFrame:
     lifted = counts.withColumn("weight", purity).withColumn("sure", F.col("n") / (F.col("docs") + 2)).filter((purity >= LEAST_SHARE) & (purity >= LEAST_LIFT * own))
     pure = lifted.groupBy(*keys).agg(F.sum("weight").alias("sum"), F.max("weight").alias("top"))
     sure = pure.filter((F.col("sum") >= LEAST_SUM) & (F.col("top") >= LEAST_PURITY)).select(*keys)
-    return lifted.join(sure, keys, "left_semi").select(*keys, "subject", "weight", "sure")
+    return lifted.join(sure, keys, "left_semi").select(*keys, "subject", F.round("weight", 2).alias("weight"), F.round("sure", 2).alias("sure"))
 
 
 def without_own(counts: DataFrame, words: DataFrame, labels: DataFrame, least_docs: int) -> DataFrame:
     """Verified terms of every seed (doc_id, term, subject, weight, sure), as if the seed had no label."""
-    mine = words.join(counts, "term").join(labels.select("doc_id", "subject", F.lit(1).alias("mine")), ["doc_id", "subject"], "left")
+    # What no document's own label could lift over the thresholds is left out: the words of any project.
+    most = (F.col("n") + 0.5) / (F.col("docs") - 0.5)
+    some = counts.filter((most >= LEAST_SHARE) & (most >= LEAST_LIFT * shares(labels, F.lit(1))))
+    mine = words.join(broadcast_if_small(some), "term").join(labels.select("doc_id", "subject", F.lit(1).alias("mine")), ["doc_id", "subject"], "left")
     mine = mine.join(labels.select("doc_id", F.lit(1).alias("one")).distinct(), "doc_id", "left").withColumn("mine", F.coalesce("mine", F.lit(0)))
     left = mine.withColumn("n", F.col("n") - F.col("mine")).withColumn("docs", F.round(F.col("docs") - F.coalesce("one", F.lit(0)), 9))
     return learn_terms(left.filter((F.col("n") > 0) & (F.col("docs") >= least_docs)), ["doc_id", "term"], shares(labels, F.col("mine")))
@@ -106,12 +113,12 @@ def sentence_subjects(sents: DataFrame, known: DataFrame, keys: list[str]) -> Da
     said = sents.select("doc_id", F.posexplode("sents").alias("sent_no", "words")).select("doc_id", "sent_no", F.explode("words").alias("term"))
     # One shuffle, of the verified terms alone: all that follows is within a document.
     spoken = said.join(broadcast_if_small(known), keys).repartition("doc_id")
-    votes = spoken.groupBy("doc_id", "sent_no", "subject").agg(F.sum("weight").alias("w"), F.max("sure").alias("sure"), F.collect_set("term").alias("terms"))
-    whole = votes.withColumn("all", F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id", "subject")))
-    top = whole.groupBy("doc_id", "sent_no").agg(F.max(F.struct((F.col("w") * F.col("all")).alias("v"), "subject", "terms", "sure")).alias("t"))
-    by = top.groupBy("doc_id", F.col("t.subject").alias("subject"))
-    n_terms = F.size(F.array_distinct(F.flatten(F.collect_list("t.terms"))))
-    return by.agg(F.count(F.lit(1)).alias("n_sentences"), n_terms.alias("n_terms"), F.max("t.sure").alias("sure"))
+    votes = spoken.groupBy("doc_id", "sent_no", "subject").agg(F.sum("weight").alias("w"), F.max("sure").alias("sure"), F.min("term").alias("lo"), F.max("term").alias("hi"))
+    whole = votes.withColumn("v", F.col("w") * F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id", "subject")))
+    first = Window.partitionBy("doc_id", "sent_no").orderBy(F.desc("v"), F.desc("subject"))
+    top = whole.withColumn("r", F.row_number().over(first)).filter("r = 1")
+    # Whether there are two different terms is all that is asked: the smallest and the largest tell.
+    return top.groupBy("doc_id", "subject").agg(F.count(F.lit(1)).alias("n_sentences"), F.when(F.min("lo") < F.max("hi"), 2).otherwise(1).alias("n_terms"), F.max("sure").alias("sure"))
 
 
 def enough(found: DataFrame) -> Column:
@@ -122,9 +129,8 @@ def enough(found: DataFrame) -> Column:
 def tried_seeds(sents: DataFrame, given: DataFrame, scratch: Scratch) -> DataFrame:
     """The given labels without mistakes, as (doc_id, subject, trusted)."""
     seed_sents = scratch.write(sents.join(broadcast_if_small(given.select("doc_id").distinct()), "doc_id", "left_semi"), "seed-sentences")
-    words = seed_sents.select("doc_id", F.explode(F.array_distinct(F.flatten("sents"))).alias("term"))
-    current = _counted(given)
-    counts = scratch.write(count_terms(seed_sents, current, SEED_DOCS), "seed-counts")
+    words, current = edges_of(seed_sents), _counted(given)
+    counts = scratch.write(count_terms(words, current, SEED_DOCS), "seed-counts")
     own = scratch.write(without_own(counts, words, current, SEED_DOCS), "seed-terms")
     found = sentence_subjects(seed_sents, own, ["doc_id", "term"]).join(given.withColumn("given", F.lit(True)), ["doc_id", "subject"], "left")
     # A given label needs as many sentences as any other, but they may share one term.
@@ -150,33 +156,38 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, r
     tried = tried_seeds(sents, given, scratch)
     trusted = tried.filter("trusted").select("doc_id", "subject")
     result = scratch.write(trusted.withColumn("n_sentences", F.lit(0).cast("bigint")), "labels")
-    current, seen, k, fixed = scratch.write(_counted(tried.select("doc_id", "subject")), "current"), set(), 0, None
+    current, seen, k = scratch.write(_counted(tried.select("doc_id", "subject")), "current"), set(), 0
+    edges, parts, fixed, known, kept = edges_of(sents), sents, None, None, None
     while rounds is None or k < rounds:
-        counts = scratch.write(count_terms(sents, current, SEED_DOCS if k == 0 else LEAST_DOCS), "counts")
-        known = scratch.write(learn_terms(counts, ["term"], shares(current, F.lit(0))), "terms")
-        if k:
+        counts = scratch.write(count_terms(edges, current, SEED_DOCS if k == 0 else LEAST_DOCS), "counts")
+        before, known = known, learn_terms(counts, ["term"], shares(current, F.lit(0)))
+        if fixed is not None:
+            known = known.unionByName(fixed)
+        known = scratch.write(known, "known")
+        if k == 1:
             # Verified by enough documents: the term's edges stay as they are. Enough and not verified: they go.
-            decided = counts.filter(F.col("docs") >= ENOUGH_DOCS).select("term").distinct()
-            if fixed is not None:
-                known = known.join(fixed.select("term").distinct(), "term", "left_anti").unionByName(fixed)
-                decided = decided.join(fixed.select("term").distinct(), "term", "left_anti")
-            known = scratch.write(known, "known")
-            if k == 1:
-                useless = scratch.write(decided.join(known.select("term").distinct(), "term", "left_anti"), "useless")
-                sents = scratch.write(without_terms(sents, useless), "edges")
-            fixed = scratch.write(known.join(counts.filter(F.col("docs") >= ENOUGH_DOCS).select("term").distinct(), "term", "left_semi"), "fixed") if fixed is None else fixed
-        found = sentence_subjects(sents, known, ["term"])
-        kept = found.filter(enough(found)).select("doc_id", "subject", "n_sentences")
-        last = result
-        both = kept.join(trusted, ["doc_id", "subject"], "full").select("doc_id", "subject", F.coalesce("n_sentences", F.lit(0)).cast("bigint").alias("n_sentences"))
-        result = scratch.write(both, "labels")
+            decided, verified = counts.filter(F.col("docs") >= ENOUGH_DOCS).select("term").distinct(), known.select("term").distinct()
+            fixed = scratch.write(known.join(decided, "term", "left_semi"), "fixed")
+            useless = scratch.write(decided.join(verified, "term", "left_anti"), "useless")
+            sents = parts = scratch.write(without_terms(sents, useless), "sentences-left")
+            edges = scratch.write(edges_of(sents).join(broadcast_if_small(fixed.select("term").distinct()), "term", "left_anti"), "open-edges")
+        elif k > 1:
+            # Only documents with edges that begin, end or change have to be looked at again.
+            moved = known.exceptAll(before).unionByName(before.exceptAll(known)).select("term").distinct()
+            touched = scratch.write(edges.join(broadcast_if_small(scratch.write(moved, "moved")), "term", "left_semi").select("doc_id").distinct(), "touched")
+            parts = sents.join(broadcast_if_small(touched), "doc_id", "left_semi")
+        found = sentence_subjects(parts, known, ["term"])
+        found = found.filter(enough(found)).select("doc_id", "subject", "n_sentences")
+        if k > 1:
+            found = found.unionByName(kept.join(broadcast_if_small(touched), "doc_id", "left_anti"))
+        kept, last = scratch.write(found, "kept"), result
+        result = scratch.write(kept.join(trusted, ["doc_id", "subject"], "full").select("doc_id", "subject", F.coalesce("n_sentences", F.lit(0)).cast("bigint").alias("n_sentences")), "labels")
         # Labels that were there before, in the last round or an earlier one, would only come again.
         state = tuple(result.agg(F.count(F.lit(1)), F.sum(F.xxhash64("doc_id", "subject").cast("decimal(20,0)"))).first())
         k += 1
         if log is not None:
             pairs = ["doc_id", "subject"]
-            moved = result.join(last, pairs, "left_anti").count(), last.join(result, pairs, "left_anti").count()
-            log.append((k, state[0], known.select("term").distinct().count(), *moved))
+            log.append((k, state[0], known.select("term").distinct().count(), result.join(last, pairs, "left_anti").count(), last.join(result, pairs, "left_anti").count()))
         if state in seen:
             break
         seen.add(state)
@@ -188,7 +199,7 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, r
 def without_terms(sents: DataFrame, useless: DataFrame) -> DataFrame:
     """The sentences without some terms; sentences and documents that lose all go."""
     said = sents.select("doc_id", F.posexplode("sents").alias("sent_no", "words")).select("doc_id", "sent_no", F.explode("words").alias("term"))
-    left = said.join(broadcast_if_small(useless), "term", "left_anti")
+    left = said.join(broadcast_if_small(useless), "term", "left_anti").repartition("doc_id")
     one = left.groupBy("doc_id", "sent_no").agg(F.collect_list("term").alias("words"))
     return one.groupBy("doc_id").agg(F.collect_list("words").alias("sents"))
 

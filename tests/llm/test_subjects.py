@@ -73,7 +73,7 @@ def test_seeds_are_judged_without_their_own_label(spark):
     rows = [(i, [["quark", "gluon"], ["quark", "gluon"]]) for i in (1, 2)] + [(i, [["choir"], ["violin"]]) for i in range(3, 9)]
     sents = spark.createDataFrame(rows, "doc_id bigint, sents array<array<string>>")
     labels = S._counted(spark.createDataFrame([(i, "law" if i < 3 else "music") for i in range(1, 9)], "doc_id bigint, subject string"))
-    counts = S.count_terms(sents, labels, 2)
+    counts = S.count_terms(S.edges_of(sents), labels, 2)
     words = spark.createDataFrame([(1, "quark"), (3, "choir")], "doc_id bigint, term string")
     assert {r.term for r in S.learn_terms(counts, ["term"], S.shares(labels, S.F.lit(0))).collect()} >= {"quark"}
     assert {(r.doc_id, r.term, r.subject) for r in S.without_own(counts, words, labels, 2).collect()} == set()

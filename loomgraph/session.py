@@ -71,6 +71,26 @@ class Scratch:
             pass
 
 
+def ship_file(spark: SparkSession, path: str) -> None:
+    """Sends a file of the driver's machine to the executors, once a context."""
+    context = spark.sparkContext
+    sent = getattr(context, "_loomgraph_files", set())
+    if path not in sent:
+        context.addFile(path)
+        context._loomgraph_files = sent | {path}
+
+
+def local_copy(path: str) -> str:
+    """Where a worker finds a file that ``ship_file`` sent."""
+    from pyspark import SparkFiles
+
+    try:
+        copy = SparkFiles.get(os.path.basename(path))
+    except Exception:  # noqa: BLE001 - no Spark in this process
+        return path
+    return copy if os.path.exists(copy) else path
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the executors' Python workers, once a context, whatever their search path is."""
     context = spark.sparkContext

@@ -11,7 +11,7 @@ of ``FAN`` tasks to one, until a single document a source is left, rounded by ch
 
 Null sources, sources outside the mix, and null or empty texts (no tokens) are not chosen. Source
 names are compared without case and surrounding blanks; two targets that become one name add up.
-Repeated rows of a doc_id count once. Null or negative target shares count as zero, null max_repeats
+Repeated rows of a doc_id count once, the one with the largest text. Null or negative target shares count as zero, null max_repeats
 as one. The same seed gives the same mixture of the same data, in whatever order it is read, for the
 same number of partitions.
 """
@@ -25,8 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.functions.sizing import collect_bounded
-from loomgraph.llm.shared import write_shared
+from loomgraph.functions.sizing import collect_bounded, one_row_each
+from loomgraph.session import Scratch, local_copy, ship_file
 
 #: Rank file of a public tokenizer, and the pattern that splits text before its merges.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -45,7 +45,7 @@ def encoder(ranks: str):
     if ranks not in _ENCODERS:
         import tiktoken
 
-        with open(ranks, "rb") as f:
+        with open(local_copy(ranks), "rb") as f:
             merges = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         _ENCODERS[ranks] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
     return _ENCODERS[ranks]
@@ -63,10 +63,9 @@ def token_counts(documents: DataFrame, ranks: str = RANKS) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "source": batch["source"], "n_tokens": np.array([len(encode(t)) for t in batch["text"]], np.int64)})
 
-    docs = documents.select("doc_id", source_key("source").alias("source"), "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "") & F.col("source").isNotNull())
-    rows = docs.mapInPandas(count, "doc_id bigint, source string, n_tokens bigint")
-    one = rows.groupBy("doc_id").agg(F.max(F.struct("n_tokens", "source")).alias("s"))
-    return one.select("doc_id", "s.source", "s.n_tokens")
+    ship_file(documents.sparkSession, ranks)
+    docs = documents.select("doc_id", "text", source_key("source").alias("source")).filter(F.col("text").isNotNull() & (F.col("text") != "") & F.col("source").isNotNull())
+    return one_row_each(docs, "doc_id", among=documents.select("doc_id")).mapInPandas(count, "doc_id bigint, source string, n_tokens bigint")
 
 
 def plan_mix(targets: list, totals: dict[str, int], total_tokens: int | None = None) -> list[tuple]:
@@ -142,7 +141,8 @@ def _round(batches):
 def mix(documents: DataFrame, targets: DataFrame, ranks: str = RANKS, seed: int = 7, total_tokens: int | None = None) -> DataFrame:
     """(mix_name, source, doc_id, n_tokens, copies) of the chosen documents."""
     spark = documents.sparkSession
-    counts = write_shared(token_counts(documents, ranks), "tokens")
+    scratch = Scratch(spark, "mixing")
+    counts = scratch.write(token_counts(documents, ranks), "tokens")
     wanted = [tuple(r) for r in collect_bounded(targets.select("mix_name", "source", "target_share", "max_repeats"), MOST_TARGETS)]
     names = sorted({w[1].strip().lower() for w in wanted if w[1] is not None})
     known = counts.filter(F.col("source").isin(names)) if names else counts.limit(0)
@@ -160,7 +160,7 @@ def mix(documents: DataFrame, targets: DataFrame, ranks: str = RANKS, seed: int
     level = rows.repartition(leaves, "doc_id").sortWithinPartitions("mix_name", "source", "doc_id")
     parts = []
     while True:
-        rounded = write_shared(level.mapInPandas(_round, _SCHEMA), "rounded")
+        rounded = scratch.write(level.mapInPandas(_round, _SCHEMA), "rounded")
         parts.append(rounded.filter(F.col("fraction") == 0))
         left = rounded.filter(F.col("fraction") > 0)
         if leaves == 1:
@@ -172,7 +172,9 @@ def mix(documents: DataFrame, targets: DataFrame, ranks: str = RANKS, seed: int
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.filter(F.col("copies") > 0).select("mix_name", "source", "doc_id", "n_tokens", "copies")
+    out = out.filter(F.col("copies") > 0).select("mix_name", "source", "doc_id", "n_tokens", "copies")
+    scratch.remove(out)
+    return out
 
 
 def shares(mixture: DataFrame, targets: DataFrame) -> DataFrame:

@@ -4,18 +4,21 @@ Three linear support-vector classifiers on hashed features judge a file:
 
 * body: character n-grams of the code lines, as they are with digits alike, and as skeletons in which
   all letters of a case are alike. Comment lines are masked, so no giveaway header is seen;
-* comment: character n-grams of single comment lines; the highest line counts;
-* path: directory names and the tail of the file name.
+* path: components, hashed: directory names and the tail of the file name;
+* comment: character n-grams of single comment lines; the highest line counts. It is apart because a file
+  whose header is all that tells it from hand-written code is a case too, and the two above never see it.
 
 A file is not hand-written when any of them gives more than zero. Scores are sums over n-grams, so
 each chunk is scored where it lies and only three numbers a chunk are shuffled to its file.
 
 There are no labels. Labelling functions give weak ones to a sample of whole files of about
-``TRAIN_CHUNKS`` chunks, a documented bound: tool and copy headers, vendor directories, tool suffixes,
-and the shape of the text (digits, lines without blanks, few line skeletons). Each classifier is
-refitted after rows that it contradicts are dropped, so that unmarked machine-made files among the
-negatives and plain bodies under a header do no harm. ``validate`` fits on the sampled files of half
-the repositories and tests on every file of the other half.
+``TRAIN_CHUNKS`` chunks and ``TRAIN_TOTAL`` bytes, documented bounds: tool and copy headers, vendor
+directories, tool suffixes, and the shape of the text (digits, lines without blanks, few line
+skeletons). The sample is split by repository: three quarters of the repositories fit, the others choose
+the threshold at which each classifier agrees best with the labels (``choose``). Each is refitted after
+rows that it contradicts are dropped, so that unmarked machine-made files among the negatives and plain
+bodies under a header do no harm. ``validate`` fits so on the sampled files of half the repositories and
+tests on every file of the other half.
 
 Nulls: a null repo is a repo of its own; a row without file_path is no file; null or empty bodies add
 nothing. Files with a ``doc_file`` chunk are never cases. Repeated rows add the same evidence again
@@ -25,6 +28,7 @@ and do not change a decision's sign. With fewer than two classes in the sample a
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -32,20 +36,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bounds of the training sample: chunks in all, and bytes of one; larger chunks are judged but not learned from.
-TRAIN_CHUNKS, TRAIN_BYTES = 16_000, 1 << 16
+#: Bounds of the training sample: chunks and bytes in all, bytes of one chunk and chunks of one file; what is larger is judged but not learned from.
+TRAIN_CHUNKS, TRAIN_TOTAL, TRAIN_BYTES, TRAIN_FILE = 16_000, 1 << 26, 1 << 16, 1_000
+#: Held-out positives from which they choose a threshold.
+LEAST_HELD = 20
 #: Size of the hashed feature space.
 DIM = 1 << 17
 SCALE = 200.0
 
 _COMMENT = re.compile(r"^\s*(?:#|//|/?\*|\"\"\"|'''|<!--|--\s|;)")
-# Words of headers that tools and copies leave, used as labels only.
+# Words of headers that tools and copies leave, used as labels only: that a file is made by a tool, in four
+# languages; that it must not be changed here; where it was copied from; a library's name and version.
 _HEADER = re.compile(
-    r"do not edit|do not modify|auto-?generated|machine (?:written|generated)|automatisch erzeugt|@generated|automatically (?:created|generated) by|^\W*produced by \w+ from|copied (?:verbatim )?from|do not patch here|upstream copy"
-    r"|imported from [\w./-]+@|copyright \(c\) the \w+ authors|^\W*[a-z][\w-]+ v?\d+\.\d+\.\d+\W*$|^\W*[a-z][\w-]+ v\d+\.\d+\.\d+ |sourcemappingurl=|^\s*/\*!",
+    r"\b(?:do not|don't) (?:edit|modify|change|patch|touch)\b|@generated|\b(?:auto(?:matically)?|machine)[ -]?(?:generated|created|written|produced)\b|\bcode generated\b|^\W*(?:this file (?:is|was) )?(?:generated|produced|created|emitted) by \S+ (?:from|on)\b"
+    r"|automatisch (?:erzeugt|erstellt|generiert)|generado autom[aá]ticamente|g[eé]n[eé]r[eé] automatiquement|\b(?:copied|vendored|taken) (?:verbatim )?from\b|\bimported from [\w./-]+@|copyright \(c\) the \w+ authors"
+    r"|^\W*[a-z][\w-]+ v?\d+\.\d+\.\d+\W*$|^\W*[a-z][\w-]+ v\d+\.\d+\.\d+ |sourcemappingurl=|^\s*/\*!",
     re.I,
 )
-_SPOKEN = re.compile(r"never the other way|hand-?written", re.I)
+# A comment that says the opposite: written by hand, or that other files are made from this one.
+_SPOKEN = re.compile(r"hand-?written|\b(?:written|kept|made|maintained) by hand\b|(?:generated|produced|created) (?:from|by) this (?:file|script|module|package|tool)\b", re.I)
 _VENDOR = re.compile(r"(?:^|/)(?:vendor|_vendor|node_modules|site-packages|godeps|third[_-]?party|external|bower_components|jspm_packages|pods|carthage)/", re.I)
 _SUFFIX = re.compile(r"[.-](?:min|bundle|gen|generated|pb)\.\w+$|_pb2(?:_grpc)?\.pyi?$|_pb\.(?:js|ts|rb|php)$|(?:^|/)zz_generated[^/]*$", re.I)
 _STRING = re.compile(r"\"[^\"]*\"|'[^']*'|`[^`]*`")
@@ -100,7 +109,7 @@ def path_features(path: str) -> list[str]:
 
 
 def _hash(word: str) -> int:
-    return int(grams(np.frombuffer(word.encode(), np.uint8), len(word.encode()), 5)[0])
+    return zlib.crc32(word.encode("utf-8", "replace"))
 
 
 def shape_label(text: str) -> bool:
@@ -166,37 +175,66 @@ def fit_noisy(rows: list, y: np.ndarray, positive: float = 8.0, rounds: int = 4,
     return w, b
 
 
+def choose(scores: np.ndarray, y: np.ndarray) -> float:
+    """The threshold at which scores of held-out repositories agree best with their labels, by F1; the nearest to 0 of those as good."""
+    if len(set(y.tolist())) < 2 or (y > 0).sum() < LEAST_HELD:
+        return 0.0
+    order = np.argsort(-scores, kind="stable")
+    s, hit = scores[order], np.cumsum(y[order] > 0)
+    f1 = 2 * hit / (np.arange(1, len(s) + 1) + (y > 0).sum())
+    below = np.append(s[1:], s[-1] - 2.0)
+    middle = (s + below) / 2  # between a score taken and the next
+    ok = (below < s) & (f1 >= f1[below < s].max() - 0.005)
+    kept = (scores > 0).sum()
+    if kept and 2 * ((y > 0) & (scores > 0)).sum() / (kept + (y > 0).sum()) >= f1[ok].max() - 0.005:
+        return 0.0
+    return float(middle[ok][np.argmin(np.abs(middle[ok]))])
+
+
+def _fit_split(rows: list, y: list, repos: list, **how) -> tuple[np.ndarray, float]:
+    """Fits on three quarters of the repositories and sets the bias by the others."""
+    y, held = np.array(y), np.array([_hash(f"held {r}") % 4 == 0 for r in repos], bool)
+    if held.all() or len(set(y[~held].tolist())) < 2:
+        held[:] = False
+    w, b = fit_noisy([rows[j] for j in np.flatnonzero(~held)], y[~held], **how)
+    tried = np.flatnonzero(held)
+    return w, b - choose(np.array([w[rows[j][0]] @ rows[j][1] + b for j in tried]), y[held])
+
+
 class Model:
     """The three classifiers, small enough to travel with the tasks."""
 
     def __init__(self, files: dict[tuple, list[str]]):
-        bodies, body_y, lines, paths, path_y = [], [], {}, [], []
-        known: dict[str, int] = {}  # path features of the sample; others mean nothing
-        for (_, path), chunks in files.items():
+        bodies, body_y, body_of, lines, line_of, paths, path_y, path_of = [], [], [], {}, {}, [], [], []
+        known: dict[int, int] = {}  # hashed path components of the sample; others mean nothing
+        for (repo, path), chunks in files.items():
             text = "\n".join(chunks)
             code, comments = split_lines(text)
             header = False
             for c in comments:
                 giveaway = bool(_HEADER.search(c)) and not _SPOKEN.search(c)
                 header |= giveaway
-                lines[re.sub(r"\d", "0", c.strip().lower())] = giveaway
+                line = re.sub(r"\d", "0", c.strip().lower())
+                lines[line], line_of[line] = giveaway, repo
             vendored, suffixed, shaped = bool(_VENDOR.search(path)), bool(_SUFFIX.search(path)), shape_label(text)
             # A copied body is somebody's handiwork, and a header may stand over a plain body: neither is taught to the body classifier.
             if code.strip() and (suffixed or shaped or not (header or vendored)):
                 bodies.append(counted(_code_grams(code)))
                 body_y.append(1 if suffixed or shaped else -1)
-            f = np.array([known.setdefault(w, len(known) % DIM) for w in path_features(path)], np.int64)
+                body_of.append(repo)
+            f = np.array([known.setdefault(_hash(w), len(known) % DIM) for w in path_features(path)], np.int64)
             paths.append((f, np.full(len(f), 0.02)))
             path_y.append(1 if vendored or suffixed else -1)
-        self.body, self.body_bias = fit_noisy(bodies, np.array(body_y))
+            path_of.append(repo)
+        self.body, self.body_bias = _fit_split(bodies, body_y, body_of)
         texts = sorted(lines)
-        self.line, self.line_bias = fit_noisy([counted(_line_grams(t)) for t in texts], np.array([1 if lines[t] else -1 for t in texts]))
-        w, self.path_bias = fit_noisy(paths, np.array(path_y), positive=64.0, drop=-0.9)
+        self.line, self.line_bias = _fit_split([counted(_line_grams(t)) for t in texts], [1 if lines[t] else -1 for t in texts], [line_of[t] for t in texts])
+        w, self.path_bias = _fit_split(paths, path_y, path_of, positive=64.0, drop=-0.9)
         self.path = {f: float(w[i]) for f, i in known.items() if w[i]}
         self.body, self.line = self.body.astype(np.float32), self.line.astype(np.float32)
 
     def path_score(self, path: str) -> float:
-        return 0.02 * sum(self.path.get(f, 0.0) for f in path_features(path)) + self.path_bias
+        return 0.02 * sum(self.path.get(_hash(f), 0.0) for f in path_features(path)) + self.path_bias
 
     def score(self, bodies: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per body: sum of its n-grams' weights, their number, and its highest comment line."""
@@ -225,14 +263,18 @@ class Model:
         return sums, counts, tops
 
 
-def training_files(chunks: DataFrame, bound: int = TRAIN_CHUNKS) -> dict[tuple, list[str]]:
-    """Whole files chosen by a hash of their name, about ``bound`` chunks in all."""
+def training_files(chunks: DataFrame, bound: int = TRAIN_CHUNKS, total_bytes: int = TRAIN_TOTAL) -> dict[tuple, list[str]]:
+    """Whole files chosen by a hash of their name, about ``bound`` chunks and at most about ``total_bytes`` in all."""
+    size = F.coalesce(F.octet_length("body"), F.lit(0))
     rows = chunks.filter(F.col("file_path").isNotNull() & (F.coalesce("ent_type", F.lit("")) != "doc_file"))
-    total = rows.select(F.count(F.lit(1))).first()[0]
-    share = min(1.0, bound / max(1, total))
-    place = F.pmod(F.xxhash64("repo", "file_path"), F.lit(1 << 20))
-    small = F.coalesce(F.octet_length("body"), F.lit(0)) <= TRAIN_BYTES
-    picked = rows.filter((place < int(share * (1 << 20)) + 1) & small).select("repo", "file_path", "chunk_id", F.coalesce("body", F.lit("")).alias("body")).limit(2 * bound)
+    n, n_bytes = rows.select(F.count(F.lit(1)), F.coalesce(F.sum(F.when(size <= TRAIN_BYTES, size)), F.lit(0))).first()
+    share = min(1.0, bound / max(1, n), total_bytes / max(1, n_bytes))
+    space = 1 << 40
+    place = F.pmod(F.xxhash64("repo", "file_path"), F.lit(space))
+    picked = rows.filter((place < int(share * space)) & (size <= TRAIN_BYTES)).select("repo", "file_path", "chunk_id", F.coalesce("body", F.lit("")).alias("body"))
+    # A file with more chunks than many files together would not be a sample.
+    small = picked.groupBy("repo", "file_path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= TRAIN_FILE).select(F.col("repo").alias("_r"), F.col("file_path").alias("_p"))
+    picked = picked.join(small, F.col("repo").eqNullSafe(F.col("_r")) & (F.col("file_path") == F.col("_p")), "left_semi")
     pdf = picked.toPandas().drop_duplicates().sort_values(["repo", "file_path", "chunk_id"], na_position="first")
     return {k: g["body"].tolist() for k, g in pdf.groupby(["repo", "file_path"], sort=True, dropna=False)}
 

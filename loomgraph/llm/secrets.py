@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.session import local_copy, ship_file
+
 #: A public vocabulary whose whole words are the dictionary.
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 MARK = "[REDACTED]"
@@ -378,7 +380,7 @@ _FINDERS: dict[str, Finder] = {}
 def finder(vocabulary: str) -> Finder:
     """One finder a worker process and vocabulary."""
     if vocabulary not in _FINDERS:
-        _FINDERS[vocabulary] = Finder(dictionary(vocabulary))
+        _FINDERS[vocabulary] = Finder(dictionary(local_copy(vocabulary)))
     return _FINDERS[vocabulary]
 
 
@@ -392,6 +394,8 @@ def texts_of(chunks: DataFrame, items: DataFrame) -> DataFrame:
 def find_credentials(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Distinct (item_kind, row_id, line_no) of credentials in (item_kind, row_id, text)."""
 
+    ship_file(texts.sparkSession, vocabulary)
+
     def scan(batches):
         find = finder(vocabulary)
         for batch in batches:
@@ -404,6 +408,8 @@ def find_credentials(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFram
 def redact_credentials(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(item_kind, row_id, n_credentials, redacted) of the texts that hold credentials; repeated rows count once."""
 
+    ship_file(texts.sparkSession, vocabulary)
+
     def scan(batches):
         find = finder(vocabulary)
         for batch in batches:

@@ -1,15 +1,27 @@
-"""Reconciliation of pushes: per-file replacement, upserts, and a Parquet store that swaps versions."""
+"""Reconciliation of pushes: per-file replacement, upserts, a Parquet store that swaps versions, and facts kept by content."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.extract.facts import extract_facts
 
-def reconcile(target: DataFrame, rows: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` without the rows of ``files``, and the new rows: delete-then-insert per file."""
-    kept = target.join(files.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(rows.select(*target.columns))
+
+def reconcile(target: DataFrame, rows: DataFrame, files: DataFrame, keys: list[str], ids: list[str] | None = None) -> DataFrame:
+    """``target`` without the rows of ``files``, and the new rows: delete-then-insert per file.
+
+    The last key is the file. Rows without one belong to no file; with ``ids`` they are upserted by
+    those: a new one replaces the old, and goes where a kept row of a file has its id.
+    """
+    kept, new = target.join(files.select(*keys).distinct(), keys, "left_anti"), rows.select(*target.columns)
+    if ids:
+        free = F.col(keys[-1]).isNull() | (F.col(keys[-1]) == "")
+        filed = kept.filter(~free)
+        mine = new.filter(free).dropDuplicates(ids).join(filed.select(*ids).distinct(), ids, "left_anti")
+        kept = filed.unionByName(kept.filter(free).join(new.select(*ids).distinct(), ids, "left_anti").select(*target.columns))
+        new = new.filter(~free).unionByName(mine.select(*target.columns))
+    return kept.unionByName(new)
 
 
 def latest_push(rows: DataFrame, keys: list[str], when: str) -> DataFrame:
@@ -29,11 +41,12 @@ class ParquetStore:
     """A table kept as numbered versions; a version counts once it is written whole.
 
     ``apply`` reads the newest whole version, reconciles and writes the next one, so that a run that
-    dies leaves the last good version, and running it again gives the same result.
+    dies leaves the last good version, and running it again gives the same result. The version before the
+    newest stays for readers; older ones are deleted.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], ids: list[str] | None = None):
+        self.spark, self.path, self.keys, self.ids = spark, path.rstrip("/"), keys, ids
 
     def _fs(self, at: str):
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
@@ -59,7 +72,51 @@ class ParquetStore:
         elif files is None:
             new = old.unionByName(rows.select(*old.columns))
         else:
-            new = reconcile(old, rows, files, self.keys)
-        target = f"{self.path}/v{self.version() + 1}"
+            new = reconcile(old, rows, files, self.keys, self.ids)
+        now = self.version() + 1
+        target = f"{self.path}/v{now}"
         new.write.mode("overwrite").parquet(target)
+        for k in range(now - 2, 0, -1):
+            fs, p = self._fs(f"{self.path}/v{k}")
+            if not fs.delete(p, True):
+                break
         return self.spark.read.parquet(target)
+
+
+class FactStore:
+    """Facts of files by content, kept from run to run: a file is parsed once for every content it has had.
+
+    A run appends the facts of unseen files and, last, their keys; facts without their keys, of a run that
+    died, are never read.
+    """
+
+    KEYS = ["repo", "path", "analyzer", "sha"]
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _runs(self) -> list[str]:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/keys")
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        jvm = self.spark.sparkContext._jvm
+        return sorted(n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/keys/{n}/_SUCCESS")))
+
+    def _read(self, what: str) -> DataFrame | None:
+        runs = self._runs()
+        return self.spark.read.parquet(*[f"{self.path}/{what}/{r}" for r in runs]) if runs else None
+
+    def of(self, files: DataFrame) -> DataFrame:
+        """Facts of routed files (repo, path, analyzer, content); only those of unseen content are extracted."""
+        keyed = files.withColumn("sha", F.coalesce(F.sha2("content", 256), F.lit("unreadable")))
+        seen = self._read("keys")
+        new = keyed if seen is None else keyed.join(seen, self.KEYS, "left_anti")
+        run = f"run-{len(self._runs()) + 1:06}"
+        if seen is None or not new.isEmpty():
+            shas = new.select(*self.KEYS).distinct()
+            facts = extract_facts(new.drop("sha"))
+            facts.join(shas, ["repo", "path", "analyzer"]).write.mode("overwrite").parquet(f"{self.path}/facts/{run}")
+            shas.write.mode("overwrite").parquet(f"{self.path}/keys/{run}")
+        return self._read("facts").join(keyed.select(*self.KEYS).distinct(), self.KEYS, "left_semi").drop("sha")

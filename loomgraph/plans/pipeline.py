@@ -14,6 +14,7 @@ from loomgraph.functions import scalars as S
 from loomgraph.functions.sizing import broadcast_if_small
 from loomgraph.operators import changes as C
 from loomgraph.operators import resolve as R
+from loomgraph.operators.store import FactStore
 from loomgraph.schema import DEGRADED_CAP
 from loomgraph.session import cut_lineage
 
@@ -148,6 +149,8 @@ def assemble(files: DataFrame, facts: DataFrame, cross_repo_prefix: str = "") ->
     owned = ent.filter(F.col("analyzer") == "go").select("repo", F.col("parent_id").alias("entity_id")).distinct()
     packages = _kind(facts, "package").join(owned, ["repo", "entity_id"], "left_semi").groupBy("repo", "entity_id").agg(F.max("name").alias("ent_name"))
     chart_rows = charts.select("repo", F.concat(F.lit("helm:chart:"), "chart").alias("entity_id"), F.col("chart").alias("ent_name"), F.lit("helm_chart").alias("ent_type"), F.col("chart_path").alias("file_path"))
+    of_root = files.filter(F.col("analyzer") == "helm").select("repo", "path", P.chart_root(F.col("path")).alias("root"))
+    chart_files = of_root.join(charts, ["repo", "root"]).select("repo", "path", F.concat(F.lit("helm:chart:"), "chart").alias("entity_id"))
     values = with_chart(_kind(facts, "value")).select("repo", F.concat(F.lit("helm:value:"), "chart", F.lit("."), "name").alias("entity_id"), F.col("name").alias("ent_name"), F.lit("helm_value").alias("ent_type"), F.col("path").alias("file_path"))
     docs = docs_facts(files)
     entities = (
@@ -175,26 +178,39 @@ def assemble(files: DataFrame, facts: DataFrame, cross_repo_prefix: str = "") ->
 
     return Graph(
         named(entities, "entity_id"), named(edges, "src_id", "dst_id"), named(symbols, "symbol", "entity_id"), named(chunks, "entity_id", "header"),
-        _kind(facts, "failed").select("repo", "path", F.col("note").alias("reason")).distinct(), extra={"facts": facts},
+        _kind(facts, "failed").select("repo", "path", F.col("note").alias("reason")).distinct(), extra={"facts": facts, "chart_files": chart_files},
     )
 
 
 def in_scope(graph: Graph, scope: DataFrame) -> Graph:
-    """Only rows of files in scope, after names were resolved over all files; rows without a file stay."""
+    """Only rows of files in scope, after names were resolved over all files.
+
+    An entity without a file, such as a package, stays where an edge in scope has it as an end. A chart of
+    which any file is in scope stays too; without its manifest in scope its row has an empty path.
+    """
     s = broadcast_if_small(scope.select("repo", "path").distinct())
 
     def keep(df: DataFrame, column: str) -> DataFrame:
-        free = df.filter(F.col(column).isNull() | (F.col(column) == ""))
-        return df.join(s, (df["repo"] == s["repo"]) & (df[column] == s["path"]), "left_semi").unionByName(free)
+        return df.join(s, (df["repo"] == s["repo"]) & (df[column] == s["path"]), "left_semi")
 
-    return Graph(keep(graph.entities, "file_path"), keep(graph.edges, "src_file"), keep(graph.symbols, "src_file"), keep(graph.chunks, "file_path"), keep(graph.failed, "path"), extra=graph.extra)
+    edges, entities = keep(graph.edges, "src_file"), keep(graph.entities, "file_path")
+    ends = edges.select("repo", F.explode(F.array("src_id", "dst_id")).alias("entity_id")).distinct()
+    free = graph.entities.filter(F.col("file_path").isNull() | (F.col("file_path") == "")).join(ends, ["repo", "entity_id"], "left_semi")
+    entities = entities.unionByName(free.select(*entities.columns))
+    if (files := graph.extra.get("chart_files")) is not None:
+        manifest = F.col("path").isin("Chart.yaml") | F.endswith("path", F.lit("/Chart.yaml"))
+        touched = keep(files, "path").groupBy("repo", "entity_id").agg(F.max(manifest).alias("whole")).filter(~F.col("whole"))
+        charts = graph.entities.filter(F.col("ent_type") == "helm_chart").join(touched, ["repo", "entity_id"], "left_semi")
+        entities = entities.unionByName(charts.withColumn("file_path", F.lit("")).select(*entities.columns))
+    return Graph(entities, edges, keep(graph.symbols, "src_file"), keep(graph.chunks, "file_path"), keep(graph.failed, "path"), extra=graph.extra)
 
 
-def ingest(files: DataFrame, changes: DataFrame | None = None, full_set: bool = False, failing: list[str] | None = None, cross_repo_prefix: str = "") -> Graph:
+def ingest(files: DataFrame, changes: DataFrame | None = None, full_set: bool = False, failing: list[str] | None = None, cross_repo_prefix: str = "", known_facts: FactStore | None = None) -> Graph:
     """One ingest run over files (repo, path, content) of whole repositories.
 
     ``changes`` (repo, path, old_path, status, content_sha) limits what is emitted and what a store
-    replaces; without it the run is full. Analyzers named in ``failing`` are held back whole.
+    replaces; without it the run is full. Analyzers named in ``failing`` are held back whole. With
+    ``known_facts`` only files whose content no earlier run has seen are parsed.
     """
     routed = C.route(files.filter(~P.pruned(F.col("path"))), ["repo"])
     named = files.select("repo", "path")
@@ -203,7 +219,7 @@ def ingest(files: DataFrame, changes: DataFrame | None = None, full_set: bool =
     held = quarantine(C.route(named, ["repo"]), failing or [])
     healthy = routed.join(held, ["repo", "path"], "left_anti") if failing else routed
     modules = files.filter(F.col("path") == "go.mod").withColumn("analyzer", F.lit("gomod"))
-    facts = cut_lineage(extract_facts(healthy))
+    facts = cut_lineage(extract_facts(healthy)) if known_facts is None else known_facts.of(healthy)
     graph = assemble(healthy.unionByName(modules.select(*healthy.columns)), facts, cross_repo_prefix)
     if changes is None:
         graph.graph_files = files.select("repo", "path").distinct()

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.operators.store import ParquetStore
+from loomgraph.operators.store import FactStore, ParquetStore
 from loomgraph.plans.pipeline import ingest
 
 LOG = "repo string, path string, old_path string, status string, content_sha string, commit_no int"
@@ -20,16 +20,17 @@ def follow(spark: SparkSession, log_dir: str, files: Callable[[], DataFrame], st
     """Starts the stream over a folder of Parquet change logs; ``files`` gives the trees as they are now.
 
     Within a batch the last commit of a path counts. Entities, edges and chunks are kept in stores of
-    their own under ``store_dir``.
+    their own under ``store_dir``, and so are the facts of files: a batch parses what is new alone.
     """
-    stores = {name: ParquetStore(spark, f"{store_dir}/{name}", ["repo", key]) for name, key in (("entities", "file_path"), ("edges", "src_file"), ("chunks", "file_path"))}
+    facts = FactStore(spark, f"{store_dir}/facts")
+    stores = {name: ParquetStore(spark, f"{store_dir}/{name}", ["repo", key], ["repo", "entity_id"] if name == "entities" else None) for name, key in (("entities", "file_path"), ("edges", "src_file"), ("chunks", "file_path"))}
 
     def apply(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
         rest = [c for c in batch.columns if c not in ("repo", "path")]
         last = batch.groupBy("repo", "path").agg(F.max_by(F.struct(*rest), "commit_no").alias("s")).select("repo", "path", "s.*")
-        run = ingest(files(), last)
+        run = ingest(files(), last, known_facts=facts)
         for name, column in (("entities", "file_path"), ("edges", "src_file"), ("chunks", "file_path")):
             scope = run.reconcile if name == "chunks" else run.graph_files
             stores[name].apply(getattr(run, name), scope.withColumnRenamed("path", column))

@@ -174,3 +174,53 @@ def test_mask_keeps_places():
 @pytest.mark.parametrize("text,good", [("{{ if .a }}x{{ else }}y{{ end }}", True), ("{{ end }}", False), ("{{ .a", False), ("{{/* {{ */}}", True), ("{{ if }}{{ end }}", False)])
 def test_template_balance(text, good):
     assert helm.balanced(text) is good
+
+
+def changed(spark, *paths):
+    return spark.createDataFrame([("r", p, None, "M", "aa") for p in paths], "repo string, path string, old_path string, status string, content_sha string")
+
+
+def test_packages_of_functions_in_scope_only(spark):
+    tree = {"go.mod": "module m\n", "x/a.go": "package x\nfunc A() { B() }\nfunc B() {}\n", "y/b.go": "package y\nfunc C() {}\n", "z/c.go": "package z\nvar V = 1\n"}
+    g = run(spark, tree, changes=changed(spark, "x/a.go", "z/c.go"))
+    assert {e for e in entities(g) if e.startswith("go:package")} == {"go:package:m/x"}
+    assert {"go:package:m/x", "go:package:m/y"} <= set(entities(run(spark, tree)))
+
+
+def test_chart_without_its_manifest_in_scope(spark):
+    tree = {"c/Chart.yaml": "name: c\ndependencies:\n  - name: common\n", "c/values.yaml": "a: 1\n", "c/templates/a.yaml": "x: {{ .Values.a }}\n", "d/Chart.yaml": "name: d\n", "d/values.yaml": "b: 2\n"}
+    g = run(spark, tree, changes=changed(spark, "c/templates/a.yaml"))
+    ent = entities(g)
+    assert ent["helm:chart:c"].file_path == "" and "helm:chart:d" not in ent and not any(e.relation == "subchart" for e in g.edges.collect())
+    whole = run(spark, tree, changes=changed(spark, "c/Chart.yaml", "c/values.yaml"))
+    assert [e.file_path for e in whole.entities.collect() if e.entity_id == "helm:chart:c"] == ["c/Chart.yaml"]
+    assert ("helm:chart:c", "helm:chart:common", "subchart") in edges(whole)
+
+
+def test_rows_without_a_file_are_upserted(spark, tmp_path):
+    from loomgraph.operators.store import ParquetStore
+
+    tree = {"go.mod": "module m\n", "x/a.go": "package x\nfunc A() {}\n", "c/Chart.yaml": "name: c\n", "c/values.yaml": "a: 1\n"}
+    s = ParquetStore(spark, f"{tmp_path}/s", ["repo", "file_path"], ["repo", "entity_id"])
+    s.apply(run(spark, tree).entities, None)
+    for _ in range(2):
+        g = run(spark, tree, changes=changed(spark, "x/a.go", "c/values.yaml"))
+        s.apply(g.entities, g.graph_files.withColumnRenamed("path", "file_path"))
+    rows = sorted((r.entity_id, r.file_path or "") for r in s.read().collect())
+    assert rows == [("go:func:m/x.A", "x/a.go"), ("go:package:m/x", ""), ("helm:chart:c", "c/Chart.yaml"), ("helm:value:c.a", "c/values.yaml")]
+    import os
+
+    assert sorted(n for n in os.listdir(f"{tmp_path}/s") if n.startswith("v")) == ["v2", "v3"]
+
+
+def test_facts_are_kept_by_content(spark, tmp_path):
+    from loomgraph.operators.store import FactStore
+
+    store = FactStore(spark, f"{tmp_path}/facts")
+    tree = {"a.py": "def f():\n    g()\n", "b.py": "def g(): pass\n", "c.py": None}
+    plain = lambda g: (sorted(map(str, g.entities.collect())), sorted(map(str, g.edges.collect())), sorted(map(str, g.failed.collect())))
+    n_facts = lambda k: spark.read.parquet(f"{tmp_path}/facts/keys/run-{k:06}").count()
+    assert plain(run(spark, tree, known_facts=store)) == plain(run(spark, tree)) and n_facts(1) == 3
+    tree |= {"b.py": "def g(): pass\ndef h(): pass\n", "d.py": ""}
+    assert plain(run(spark, tree, known_facts=store)) == plain(run(spark, tree)) and n_facts(2) == 2
+    assert plain(run(spark, tree, known_facts=store)) == plain(run(spark, tree)) and store._runs() == ["run-000001", "run-000002"]

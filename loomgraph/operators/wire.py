@@ -47,8 +47,16 @@ def symbol_json() -> Column:
     return _object({c: F.coalesce(c, F.lit("")) for c in ("symbol", "lang", "kind", "role", "entity_id", "src_file")})
 
 
-def payloads(packed: DataFrame, entities: DataFrame, edges: DataFrame, symbols: DataFrame, commit: str, extractor: str) -> DataFrame:
-    """(repo, batch_no, payload) of packed files (repo, path, batch_no); rows of no listed file join batch 0."""
+def hyperedge_json() -> Column:
+    return _object({"id": F.col("he_key"), "label": F.coalesce("label", F.lit("")), "relation": F.coalesce("relation", F.lit("")), "confidence_score": _number("confidence_score"), "src_file": F.coalesce("src_file", F.lit("")), "members": F.filter("members", lambda m: m.isNotNull())})
+
+
+def payloads(packed: DataFrame, entities: DataFrame, edges: DataFrame, symbols: DataFrame, commit: str, extractor: str, hyperedges: DataFrame | None = None, shas: DataFrame | None = None) -> DataFrame:
+    """(repo, batch_no, payload) of packed files (repo, path, batch_no); rows of no listed file join batch 0.
+
+    ``hyperedges`` and the content hashes ``shas`` (repo, path, content_sha) of the files are there after a
+    model stage.
+    """
     files = packed.select("repo", "path", "batch_no")
 
     def placed(df: DataFrame, column: str, value: Column, what: str) -> DataFrame:
@@ -61,9 +69,14 @@ def payloads(packed: DataFrame, entities: DataFrame, edges: DataFrame, symbols:
         .unionByName(placed(symbols, "src_file", symbol_json(), "symbols"))
         .unionByName(files.select("repo", "batch_no", F.lit("files").alias("what"), _quoted("path").alias("j")))
     )
-    lists = rows.groupBy("repo", "batch_no").pivot("what", ["entities", "edges", "symbols", "files"]).agg(F.array_join(F.array_sort(F.collect_list("j")), ","))
+    if hyperedges is not None:
+        rows = rows.unionByName(placed(hyperedges, "src_file", hyperedge_json(), "hyperedges"))
+    if shas is not None:
+        known = files.join(shas.filter(F.col("content_sha") != "").select("repo", "path", "content_sha").distinct(), ["repo", "path"])
+        rows = rows.unionByName(known.select("repo", "batch_no", F.lit("file_shas").alias("what"), F.concat(_quoted("path"), F.lit(":"), _quoted("content_sha")).alias("j")))
+    lists = rows.groupBy("repo", "batch_no").pivot("what", ["entities", "edges", "symbols", "files", "hyperedges", "file_shas"]).agg(F.array_join(F.array_sort(F.collect_list("j")), ","))
     part = lambda c, always: F.when(F.lit(always) | (F.col(c) != ""), F.concat(F.lit(f',"{c}":['), F.coalesce(c, F.lit("")), F.lit("]"))).otherwise("")
-    text = F.concat(F.lit('{"repo":'), _quoted("repo"), F.lit(f',"commit":{json.dumps(commit)},"extractor":{json.dumps(extractor)},"files":['), F.coalesce("files", F.lit("")), F.lit("]"), part("entities", True), part("edges", True), part("symbols", False), F.lit("}"))
+    text = F.concat(F.lit('{"repo":'), _quoted("repo"), F.lit(f',"commit":{json.dumps(commit)},"extractor":{json.dumps(extractor)},"files":['), F.coalesce("files", F.lit("")), F.lit("]"), part("entities", True), part("edges", True), part("symbols", False), part("hyperedges", False), F.when(F.col("file_shas") != "", F.concat(F.lit(',"file_shas":{'), F.col("file_shas"), F.lit("}"))).otherwise(""), F.lit("}"))
     return lists.select("repo", "batch_no", text.alias("payload"))
 
 

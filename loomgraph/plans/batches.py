@@ -107,10 +107,16 @@ def fragment_hyperedges(spark, sf):
     return h.select("chunk_no", "he_key", "label", F.size("members").alias("n_members"))
 
 
+# Imports and re-exports at the start of a line, in either quotes, and calls of require.
+_FROM = r"""(?m)^(?:import|export)\b(?:[^'"\n;]*\bfrom)?[ \t]*(['"])([^'"\n]+)['"]"""
+_REQUIRE = r"""\brequire\([ \t]*(['"])([^'"\n]+)['"][ \t]*\)"""
+
+
 def _imports(spark, sf):
+    """Module names that scripts import, re-export or require."""
     f = table(spark, sf, "source_files").filter(F.col("path").rlike(r"\.(js|mjs|cjs)$") & F.col("content").isNotNull()).dropDuplicates(["file_id"])
-    spec = F.explode(F.regexp_extract_all("content", F.lit(r"(?m)^import [^'\"\n]*from '([^'\n]+)'"), F.lit(1)))
-    return f.select("repo", "path", spec.alias("spec")).distinct()
+    found = F.array_union(F.regexp_extract_all("content", F.lit(_FROM), F.lit(2)), F.regexp_extract_all("content", F.lit(_REQUIRE), F.lit(2)))
+    return f.select("repo", "path", F.explode(found).alias("spec")).filter(F.col("spec") != "").distinct()
 
 
 def resolve_module_path(spark, sf):
@@ -186,7 +192,7 @@ p AS (
 _HE = "(SELECT DISTINCT hyper_id, repo, he_key, label, relation, confidence_score, src_file, members FROM hyperedges)"
 _HEID = "'he:' || repo || ':' || "
 _IMPORTS = r"""
-WITH i AS (SELECT DISTINCT repo, path, unnest(regexp_extract_all(content, '(?m)^import [^''"\n]*from ''([^''\n]+)''', 1)) AS spec FROM source_files WHERE regexp_matches(path, '\.(js|mjs|cjs)$')),
+WITH i AS (SELECT DISTINCT repo, path, unnest(regexp_extract_all(content, '(?m)^(?:import|export)\b(?:[^''"\n;]*\bfrom)?[ \t]*([''"])([^''"\n]+)[''"]', 2) || regexp_extract_all(content, '\brequire\([ \t]*([''"])([^''"\n]+)[''"][ \t]*\)', 2)) AS spec FROM source_files WHERE regexp_matches(path, '\.(js|mjs|cjs)$')),
 d AS (SELECT *, CASE WHEN instr(path, '/') = 0 THEN '' ELSE regexp_replace(path, '/[^/]*$', '') || '/' END AS dir FROM i),
 j AS (SELECT repo, path, spec, CASE WHEN NOT starts_with(spec, '.') THEN spec WHEN starts_with(spec, './') THEN dir || substr(spec, 3)
   WHEN starts_with(spec, '../') AND length(dir) - length(replace(dir, '/', '')) >= 1 THEN regexp_replace(dir, '[^/]*/$', '') || substr(spec, 4) ELSE spec END AS t FROM d),

@@ -56,9 +56,11 @@ def reconcile_set(spark, sf):
 
 
 def sha_cache_miss(spark, sf):
-    """Files whose content the change log never recorded under their path."""
+    """Files whose content no succeeded run has seen: the log's shas up to the head of the repo's last one are the cache."""
     files = _files(spark, sf).select("repo", "path", F.lower("content_sha").alias("content_sha"))
-    cache = C.normalise(_changes(spark, sf)).filter(F.col("content_sha").isNotNull())
+    heads = table(spark, sf, "ingest_runs").filter("status = 'succeeded'").groupBy("repo").agg(F.max("head_no").alias("head_no"))
+    log = table(spark, sf, "change_log").join(heads, "repo").filter(F.col("commit_no") <= F.col("head_no")).select("repo", "path", "old_path", "status", "content_sha")
+    cache = C.normalise(log.distinct()).filter(F.col("content_sha").isNotNull())
     return C.cache_misses(files, cache, ["repo"])
 
 
@@ -69,8 +71,8 @@ def route_files(spark, sf):
 
 
 def chart_roots(spark, sf):
-    """Roots of charts with their files and templates."""
-    f = _files(spark, sf).filter(F.col("path").startswith("charts/")).select("repo", "path", P.chart_root(F.col("path")).alias("chart_root"), P.is_template(F.col("path")).cast("bigint").alias("t"))
+    """Roots of charts with their files and templates: of every file that is part of one, by path alone."""
+    f = _files(spark, sf).filter(C.route_alone(F.col("path")) == "helm").select("repo", "path", P.chart_root(F.col("path")).alias("chart_root"), P.is_template(F.col("path")).cast("bigint").alias("t"))
     return f.groupBy("repo", "chart_root").agg(F.count(F.lit(1)).alias("n_files"), F.sum("t").alias("n_templates"))
 
 
@@ -155,14 +157,15 @@ SQL = {
     "scope_set": _NORMAL + "SELECT DISTINCT repo, path FROM changes WHERE status IN ('A', 'M', 'R')",
     "graph_files": _NORMAL + "SELECT repo, path FROM touched EXCEPT SELECT repo, path FROM failed",
     "reconcile_set": _NORMAL + "SELECT t.repo, t.path FROM touched t WHERE t.repo IN (SELECT repo FROM ingest_runs WHERE since_no IS NOT NULL) AND NOT EXISTS (SELECT 1 FROM failed f WHERE f.repo = t.repo AND f.path = t.path)",
-    "sha_cache_miss": _NORMAL + "SELECT repo, path, lower(content_sha) AS content_sha FROM files f WHERE content_sha <> '' AND NOT EXISTS (SELECT 1 FROM changes c WHERE c.repo = f.repo AND c.path = f.path AND c.content_sha = lower(f.content_sha))",
+    "sha_cache_miss": _NORMAL + "SELECT repo, path, lower(content_sha) AS content_sha FROM files f WHERE content_sha <> '' AND NOT EXISTS (SELECT 1 FROM changes c WHERE c.repo = f.repo AND c.path = f.path AND c.content_sha = lower(f.content_sha) AND c.commit_no <= (SELECT max(head_no) FROM ingest_runs r WHERE r.repo = c.repo AND r.status = 'succeeded'))",
     "route_files": f"""WITH f AS (SELECT DISTINCT file_id, path, {_SUFFIX} AS e, string_split(path, '/') AS p FROM source_files), r AS (
       SELECT path, CASE WHEN e = '.go' THEN 'go' WHEN e = '.py' THEN 'python' WHEN e IN ('.js', '.mjs', '.cjs') THEN 'javascript' WHEN e = '.tf' THEN 'terraform'
         WHEN p[-1] IN ('Chart.yaml', 'values.yaml') OR list_contains(p, 'templates') THEN 'helm' WHEN lower(e) IN ('.md', '.markdown', '.txt', '.rst') THEN 'docs' END AS analyzer FROM f)
       SELECT analyzer, count(*) AS n_files, min(path) AS first_path FROM r WHERE analyzer IS NOT NULL GROUP BY analyzer""",
-    "chart_roots": """WITH f AS (SELECT DISTINCT file_id, repo, path, string_split(path, '/') AS p FROM source_files WHERE starts_with(path, 'charts/')), r AS (
-      SELECT repo, CASE WHEN list_contains(p, 'templates') THEN coalesce(nullif(array_to_string(p[1:list_position(p, 'templates') - 1], '/'), ''), '.') ELSE array_to_string(p[1:len(p) - 1], '/') END AS chart_root,
-        CASE WHEN list_contains(p, 'templates') THEN 1 ELSE 0 END AS t FROM f)
+    "chart_roots": """WITH f AS (SELECT DISTINCT file_id, repo, path, string_split(path, '/') AS p FROM source_files), r AS (
+      SELECT repo, CASE WHEN list_contains(p, 'templates') THEN coalesce(nullif(array_to_string(p[1:list_position(p, 'templates') - 1], '/'), ''), '.') ELSE coalesce(nullif(array_to_string(p[1:len(p) - 1], '/'), ''), '.') END AS chart_root,
+        CASE WHEN list_contains(p, 'templates') THEN 1 ELSE 0 END AS t FROM f
+        WHERE regexp_extract(path, '(\\.[^./]*)$', 1) NOT IN ('.go', '.py', '.js', '.mjs', '.cjs', '.tf') AND (p[-1] IN ('Chart.yaml', 'values.yaml') OR list_contains(p, 'templates')))
       SELECT repo, chart_root, count(*) AS n_files, CAST(sum(t) AS BIGINT) AS n_templates FROM r GROUP BY repo, chart_root""",
     "scan_prune": """WITH f AS (SELECT DISTINCT repo, file_path, string_split(file_path, '/') AS p FROM entities WHERE file_path IS NOT NULL)
       SELECT list_has_any(p[1:len(p) - 1], ['.git', 'node_modules', 'vendor', '.venv', 'venv', '__pycache__', '.tox', '.mypy_cache', '.pytest_cache']) AS pruned, count(*) AS n_files, min(file_path) AS first_path FROM f GROUP BY 1""",

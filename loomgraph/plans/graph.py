@@ -104,13 +104,6 @@ def _requires(spark, sf):
 
 
 def provides_requires(spark, sf):
-    """The part of provides_requires_all whose names have one provider; the cap is its SQL's."""
-    provides, requires = _provides(spark, sf), _requires(spark, sf)
-    single = provides.groupBy("symbol").agg(F.countDistinct("repo").alias("n")).filter(F.col("n") == 1).select("symbol")
-    return R.link_symbols(provides.join(single, "symbol", "left_semi"), requires)
-
-
-def provides_requires_all(spark, sf):
     """Names that repos export and another calls without defining them, with every provider of the name."""
     return R.link_symbols(_provides(spark, sf), _requires(spark, sf))
 
@@ -131,7 +124,7 @@ def reconciled_edges(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (confidence_tiers, degrade_cap, name_table, repo_index, call_ladder, call_ladder_levels, dangling_calls, edge_dedup_first, enclosing_innermost, external_placeholders, provides_requires, provides_requires_all, live_entities, reconciled_edges)
+    for f in (confidence_tiers, degrade_cap, name_table, repo_index, call_ladder, call_ladder_levels, dangling_calls, edge_dedup_first, enclosing_innermost, external_placeholders, provides_requires, live_entities, reconciled_edges)
 }
 
 _SCORE = "CASE {r} WHEN 'type_resolved' THEN 0.98 WHEN 'scoped_name_match' THEN 0.85 WHEN 'imported_name_match' THEN 0.7 WHEN 'global_name_match' THEN 0.45 WHEN 'ambiguous_multi_def' THEN 0.2 ELSE 0.0 END::DOUBLE"
@@ -182,8 +175,7 @@ SQL = {
       one AS (SELECT repo, path, entity_id, a, CASE WHEN m THEN max(z) OVER (PARTITION BY repo, path) ELSE z END AS z FROM own)
       SELECT r.repo, r.path, r.entity_id AS ref_id, min({'s': d.z + 1 - d.a, 'o': d.entity_id}).o AS def_id FROM one r JOIN one d ON d.repo = r.repo AND d.path = r.path AND d.a <= r.a AND r.a < d.z + 1 AND d.entity_id <> r.entity_id GROUP BY ALL""",
     "external_placeholders": "SELECT DISTINCT repo, dst_id AS entity_id FROM edges e WHERE dst_id <> '' AND NOT EXISTS (SELECT 1 FROM entities x WHERE x.repo = e.repo AND x.entity_id = e.dst_id)",
-    "provides_requires": _FACTS + """, one AS (SELECT name FROM tbl GROUP BY name HAVING count(DISTINCT repo) = 1)
-      SELECT DISTINCT r.callee AS symbol, r.repo AS from_repo, r.src AS from_id, t.repo AS to_repo, t.entity_id AS to_id FROM resolved r JOIN tbl t ON t.name = r.callee AND t.repo <> r.repo WHERE r.dst IS NULL AND r.callee IN (SELECT name FROM one)""",
+    "provides_requires": _FACTS + "SELECT DISTINCT r.callee AS symbol, r.repo AS from_repo, r.src AS from_id, t.repo AS to_repo, t.entity_id AS to_id FROM resolved r JOIN tbl t ON t.name = r.callee AND t.repo <> r.repo WHERE r.dst IS NULL",
     "live_entities": """WITH l AS (SELECT *, row_number() OVER (PARTITION BY repo, entity_id ORDER BY pushed_at DESC, ent_name DESC, line_start DESC NULLS LAST) AS n FROM entities)
       SELECT repo, entity_id, ent_type, file_path FROM l WHERE n = 1 AND deleted_at IS NULL""",
     "reconciled_edges": """WITH e AS (SELECT DISTINCT edge_id, repo, src_file, extractor, CAST(pushed_at AT TIME ZONE 'UTC' AS DATE) AS day FROM edges), m AS (SELECT repo, src_file, extractor, max(day) AS d FROM e GROUP BY ALL)

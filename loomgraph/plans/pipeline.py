@@ -209,9 +209,11 @@ def ingest(files: DataFrame, changes: DataFrame | None = None, full_set: bool =
     """One ingest run over files (repo, path, content) of whole repositories.
 
     ``changes`` (repo, path, old_path, status, content_sha) limits what is emitted and what a store
-    replaces; without it the run is full. Analyzers named in ``failing`` are held back whole. With
+    replaces; without it the run is full. Without a change nothing is emitted. Analyzers named in ``failing`` are held back whole. With
     ``known_facts`` only files whose content no earlier run has seen are parsed.
     """
+    if changes is not None and changes.isEmpty():
+        files = files.limit(0)  # nothing changed: nothing is parsed, emitted or replaced
     routed = C.route(files.filter(~P.pruned(F.col("path"))), ["repo"])
     named = files.select("repo", "path")
     if changes is not None:

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def cancellable(spark: SparkSession, tag: str):
+    """Jobs begun in this thread within the block end when any thread calls ``cancel`` with the tag."""
+    spark.sparkContext.addJobTag(tag)
+    try:
+        yield
+    finally:
+        spark.sparkContext.removeJobTag(tag)
+
+
+def cancel(spark: SparkSession, tag: str) -> None:
+    """Ends the running jobs of a tag; what they had not committed is not there."""
+    spark.sparkContext.cancelJobsWithTag(tag)
+
+
 class Scratch:
     """Tables written in the shared checkpoint folder to cut lineage, and removed together.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import random
 import time
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sized
 from dataclasses import dataclass, field
 from email.utils import parsedate_to_datetime
 
@@ -74,6 +74,28 @@ def urllib_transport(base: str, token: Callable[[], str] | None = None, timeout:
     return send
 
 
+def client_credentials(token_url: str, client_id: str, secret: str, audience: str = "", timeout: float = 60.0, post: Callable[[str, bytes], bytes] | None = None, clock: Callable[[], float] = time.time) -> Callable[[], str]:
+    """A function that gives a bearer token of the client-credentials grant, kept until shortly before it expires."""
+    import urllib.parse
+    import urllib.request
+
+    def send(url: str, body: bytes) -> bytes:
+        request = urllib.request.Request(url, data=body, headers={"Content-Type": "application/x-www-form-urlencoded"})
+        with urllib.request.urlopen(request, timeout=timeout) as r:
+            return r.read()
+
+    form = {"grant_type": "client_credentials", "client_id": client_id, "client_secret": secret} | ({"audience": audience} if audience else {})
+    held: dict = {"token": "", "until": 0.0}
+
+    def token() -> str:
+        if not held["token"] or clock() >= held["until"]:
+            answer = json.loads((post or send)(token_url, urllib.parse.urlencode(form).encode()))
+            held.update(token=answer["access_token"], until=clock() + max(0.0, float(answer.get("expires_in", 0)) - 10))
+        return held["token"]
+
+    return token
+
+
 def compact(value):
     """A JSON value without nulls, empty texts, zeros, empty lists and maps in objects."""
     if isinstance(value, dict):
@@ -106,14 +128,14 @@ class Sink:
         raise AssertionError
 
     def push_graph(self, batches: Iterable[dict], path: str = "/graph") -> dict:
-        """Sends batches in order and sums the answers; the first failure ends it and names its batch."""
-        batches = list(batches)
+        """Sends batches in order, one at a time as they come, and sums the answers; the first failure ends it and names its batch."""
+        of = f"/{len(batches)}" if isinstance(batches, Sized) else ""
         total: dict[str, int] = {}
         for k, b in enumerate(batches):
             try:
                 answer = json.loads(self.call("POST", path, b).body or b"{}")
             except (RuntimeError, ConnectionError) as e:
-                raise RuntimeError(f"batch {k + 1}/{len(batches)}: {e}") from e
+                raise RuntimeError(f"batch {k + 1}{of}: {e}") from e
             for name, n in answer.items():
                 if isinstance(n, int) and not isinstance(n, bool):
                     total[name] = total.get(name, 0) + n

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions.scalars import edge_props, scip_lines
 from loomgraph.operators.resolve import first_wins
+from loomgraph.session import cut_lineage
 
 # Numbers and names of the symbol kinds that matter here.
 KINDS = {
@@ -17,8 +18,8 @@ KINDS = {
 }
 _FUNCTIONS, _TYPES, _VARIABLES = ("Function", "Constructor"), ("Class", "Struct", "Interface"), ("Variable", "Field")
 _METHODS = ("Method", "MethodAlias", "MethodReceiver", "MethodSpecification", "AbstractMethod")
-OCCURRENCES = "path string, lang string, doc int, symbol string, roles int, span array<int>, enclosing array<int>, ord int"
-SYMBOLS = "doc int, path string, symbol string, kind int, display_name string"
+OCCURRENCES = "path string, lang string, doc string, symbol string, roles int, span array<int>, enclosing array<int>, ord int"
+SYMBOLS = "doc string, path string, symbol string, kind int, display_name string"
 
 
 def _varint(raw: bytes, at: int) -> tuple[int, int]:
@@ -167,26 +168,28 @@ def _short_names(symbols: pd.Series) -> pd.Series:
 
 
 def read_indexes(spark: SparkSession, path: str, repo: str) -> tuple[DataFrame, DataFrame]:
-    """(occurrences, symbols) of the index files at a path, each decoded in its task."""
-    raw = spark.read.format("binaryFile").load(path).select("content")
+    """(occurrences, symbols) of the index files at a path, each decoded once, in its task.
 
-    def run(which: int, columns: str):
-        names = [c.split()[0] for c in columns.split(", ")]
-
-        def decode_all(batches):
-            for batch in batches:
-                for content in batch["content"]:
-                    out = pd.DataFrame(decode(bytes(content))[which], columns=names)
-                    for c in ("doc", "roles", "kind", "ord"):
-                        if c in out:
-                            out[c] = out[c].astype("Int32")
-                    yield out
-
-        return decode_all
-
-    occurrences = raw.mapInPandas(run(0, OCCURRENCES), OCCURRENCES).withColumn("repo", F.lit(repo))
-    symbols = raw.mapInPandas(run(1, SYMBOLS), SYMBOLS).withColumn("repo", F.lit(repo))
-    return occurrences, symbols
+    ``doc`` names the index file and the document in it, as every index numbers its own documents.
+    """
+    raw = spark.read.format("binaryFile").load(path).select(F.col("path").alias("index"), "content")
+    both = ("path", "lang", "doc", "symbol", "roles", "span", "enclosing", "ord", "kind", "display_name")
+
+    def decode_all(batches):
+        for batch in batches:
+            for index, content in zip(batch["index"], batch["content"]):
+                for which, (rows, schema) in enumerate(zip(decode(bytes(content)), (OCCURRENCES, SYMBOLS))):
+                    out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")]).reindex(columns=both).astype(object)
+                    out = out.where(out.notna(), None)
+                    out["doc"] = [None if d is None else f"{index}#{int(d)}" for d in out["doc"]]
+                    for c in ("roles", "kind", "ord"):
+                        out[c] = out[c].astype("Int32")
+                    yield out.assign(which=which)
+
+    columns = dict(c.split(" ", 1) for c in (OCCURRENCES + ", " + SYMBOLS).split(", "))
+    decoded = cut_lineage(raw.mapInPandas(decode_all, ", ".join(f"{c} {columns[c]}" for c in both) + ", which int"))
+    of = lambda which, schema: decoded.filter(F.col("which") == which).select(*[c.split()[0] for c in schema.split(", ")], F.lit(repo).alias("repo"))
+    return of(0, OCCURRENCES), of(1, SYMBOLS)
 
 
 def kind_name(kind):

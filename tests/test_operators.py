@@ -391,3 +391,59 @@ def test_disjoint_windows_against_brute_force():
         for c in range(1, 32):
             want = [at for lo, hi, at in w if lo < c <= hi]
             assert [at for lo, hi, at in got if lo < c <= hi] == ([max(want)] if want else [])
+
+
+def test_payloads_of_the_model_stage(spark):
+    from loomgraph.operators import wire
+    from loomgraph.schema import EDGE, ENTITY, SYMBOL
+    from pyspark.sql import types as T
+
+    none = lambda s: spark.createDataFrame([], T.StructType([T.StructField("repo", T.StringType()), *s.fields]))
+    packed = spark.createDataFrame([("r", "a.md", 0), ("r", "b.md", 1)], "repo string, path string, batch_no int")
+    he = spark.createDataFrame([("r", "he:1", "L", "form", 0.0, "b.md", ["x", None, "y"])], "repo string, he_key string, label string, relation string, confidence_score double, src_file string, members array<string>")
+    shas = spark.createDataFrame([("r", "a.md", "aa"), ("r", "a.md", "aa"), ("r", "b.md", ""), ("r", "zz", "bb")], "repo string, path string, content_sha string")
+    a, b = wire.in_order(wire.payloads(packed, none(ENTITY), none(EDGE), none(SYMBOL), "c", "model", he, shas))
+    assert a["file_shas"] == {"a.md": "aa"} and "hyperedges" not in a
+    assert b["hyperedges"] == [{"id": "he:1", "label": "L", "relation": "form", "src_file": "b.md", "members": ["x", "y"]}] and "file_shas" not in b
+
+
+def test_registry_of_metrics(spark):
+    m = metrics.Registry()
+    m.inc("ingest_runs_total")
+    m.inc("push_retries_total", 2, path="/graph", reason="shed_429")
+    for n in (10, 11, 99999):
+        m.observe("code_graph_batch_rows", n)
+    m.absorb("analyzer_edges_total", spark.createDataFrame([("go", 3), ("go", 4)], "language string, n int"))
+    lines = m.text().split("\n")
+    assert "ingest_runs_total 1" in lines and 'push_retries_total{path="/graph",reason="shed_429"} 2' in lines and 'analyzer_edges_total{language="go"} 7' in lines
+    assert 'code_graph_batch_rows_bucket{le="10"} 1' in lines and 'code_graph_batch_rows_bucket{le="50"} 2' in lines and 'code_graph_batch_rows_bucket{le="+Inf"} 3' in lines and "code_graph_batch_rows_count 3" in lines
+    assert len(metrics.METRICS) == 18
+    with pytest.raises(ValueError):
+        m.inc("llm_calls_total", path="x")
+
+
+def test_cancelled_jobs_end(spark):
+    import threading
+    import time
+
+    from loomgraph.session import cancel, cancellable
+
+    ended: list = []
+
+    def slow():
+        with cancellable(spark, "run-1"):
+            try:
+                spark.range(8, numPartitions=8).mapInPandas(lambda b: (time.sleep(60), next(b))[1:], "id bigint").count()
+                ended.append("whole")
+            except Exception:  # noqa: BLE001
+                ended.append("cancelled")
+
+    t = threading.Thread(target=slow)
+    t.start()
+    for _ in range(40):
+        time.sleep(0.5)
+        cancel(spark, "run-1")
+        if ended:
+            break
+    t.join(5)
+    assert ended == ["cancelled"]

@@ -40,7 +40,7 @@ def test_every_provider_of_a_name(spark, tmp_path):
     spark.createDataFrame(defs, "repo string, entity_id string, ent_type string, file_path string, line_start int").write.parquet(f"{tmp_path}/entities.parquet")
     calls = [(1, "c", "py:func:x.run", "py:func:load", "calls", "x.py"), (2, "c", "py:func:x.run", "py:func:only", "calls", "x.py")]
     spark.createDataFrame(calls, "edge_id bigint, repo string, src_id string, dst_id string, relation string, src_file string").write.parquet(f"{tmp_path}/edges.parquet")
-    got = {(r.symbol, r.from_repo, r.to_repo, r.to_id) for r in graph.QUERIES["provides_requires_all"](spark, str(tmp_path)).collect()}
+    got = {(r.symbol, r.from_repo, r.to_repo, r.to_id) for r in graph.QUERIES["provides_requires"](spark, str(tmp_path)).collect()}
     assert got == {("load", "c", "a", "py:func:m.load"), ("load", "c", "b", "py:func:n.load"), ("only", "c", "a", "py:func:m.only")}
 
 

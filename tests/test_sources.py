@@ -120,6 +120,34 @@ def test_scip(spark, tmp_path):
     assert all(e.confidence_score == 1.0 and e.props["confidence"] == "0.98" for e in g["edges"].collect())
 
 
+def test_indexes_of_one_folder_stay_apart(spark, tmp_path):
+    """Every index numbers its documents from one: a definition of one must not hold a reference of another."""
+    (tmp_path / "1.scip").write_bytes(document("a.go", occ(A, 1, (0, 5, 6), (0, 0, 20, 1)), _f(3, sym(A, 17))))
+    (tmp_path / "2.scip").write_bytes(document("b.go", occ(B, 0, (3, 1, 2)), _f(3, sym(B, 17))))
+    g = scip.graph(*scip.read_indexes(spark, str(tmp_path), "r"))
+    assert g["edges"].count() == 0 and {r.path for r in g["files"].collect()} == {"a.go", "b.go"}
+
+
+def test_tokens_are_kept_until_they_expire():
+    now, asked = [0.0], []
+
+    def post(url, body):
+        asked.append(body)
+        return json.dumps({"access_token": f"t{len(asked)}", "expires_in": 60}).encode()
+
+    token = http_sink.client_credentials("http://issuer/token", "me", "s&1", "store", post=post, clock=lambda: now[0])
+    assert token() == token() == "t1" and asked == [b"grant_type=client_credentials&client_id=me&client_secret=s%261&audience=store"]
+    now[0] = 51.0
+    assert token() == "t2"
+
+
+def test_batches_are_sent_as_they_come():
+    server, made = Server(R(200, {"files": 1}), R(400)), []
+    with pytest.raises(RuntimeError, match="batch 2: "):
+        http_sink.Sink(server, sleep=lambda _: None).push_graph(made.append(k) or {"n": k} for k in range(9))
+    assert made == [0, 1]
+
+
 def test_last_name():
     assert [scip.last_name(s) for s in ("s m p v a/b/T#m().", "s m p v a/b/T#", "s m p v a/`x y`.", "s m p v a/f(+1).", "local 12", "odd/thing().")] == ["m", "T", "x y", "f", "local 12", "thing"]
     with pytest.raises(ValueError):

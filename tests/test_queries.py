@@ -51,3 +51,31 @@ def test_incremental_run_covers_the_whole_log(spark):
     paths = {(r.repo, r.path) for r in log.collect()} | {(r.repo, r.old_path) for r in log.collect() if r.status.strip().upper().startswith("R") and r.old_path}
     assert sum(got.values()) == len(paths)
     assert got == {repo: sum(r == repo for r, _ in paths) for repo, _ in paths}
+
+
+def test_python_definitions_against_the_parser(spark):
+    """Top-level functions and classes of every file that parses are those of Python's own parser."""
+    import ast
+
+    from loomgraph.schema import PRUNED_DIRS
+
+    files = {(r.repo, r.path): r.content for r in spark.read.parquet(f"{FOLDER}/source_files.parquet").filter("content is not null and path like '%.py'").collect()}
+    g = extracts._graph(spark, FOLDER, "python")
+    got: dict = {}
+    for e in g.entities.filter("ent_type in ('py_func', 'py_class')").collect():
+        module = e.file_path.removesuffix(".py").replace("/", ".")
+        name = e.entity_id.split(":", 2)[2].removeprefix(module + ".")
+        if "." not in name:
+            got.setdefault((e.repo, e.file_path), set()).add(name)
+    n = 0
+    for key, content in files.items():
+        if set(key[1].split("/")[:-1]) & set(PRUNED_DIRS):
+            continue
+        try:
+            tree = ast.parse(content)
+        except (SyntaxError, ValueError):
+            continue
+        want = {x.name for x in tree.body if isinstance(x, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef))}
+        assert got.get(key, set()) == want, key
+        n += 1
+    assert n > 10

@@ -45,16 +45,20 @@ _END = r"(?<=[.!?;{}])\s+|[\r\n]+"
 
 
 def terms(sentence: Column) -> Column:
-    """Hashes of the distinct words of a sentence in lower case."""
+    """Hashes of the distinct words of a sentence."""
     return F.array_distinct(F.transform(F.regexp_extract_all(sentence, F.lit(r"(\p{L}{3,})"), F.lit(1)), lambda w: F.xxhash64(w)))
 
 
 def sentences(documents: DataFrame) -> DataFrame:
     """(doc_id, sents): per document the terms of every sentence that has any, one row a document; joined names are taken apart."""
     one = one_row_each(documents.select("doc_id", "text").filter(F.col("text").isNotNull()), "doc_id")
-    split = F.split(F.regexp_replace("text", _WRAP, " "), _END)
-    words = F.transform(split, lambda x: terms(F.lower(F.regexp_replace(x, r"(\p{Ll})(\p{Lu})", "$1 $2"))))
-    return one.select("doc_id", F.filter(words, lambda x: F.size(x) > 0).alias("sents"))
+    apart = F.lower(F.regexp_replace(F.regexp_replace("text", _WRAP, " "), r"(\p{Ll})(\p{Lu})", "$1 $2"))
+    return one.select("doc_id", F.filter(F.transform(F.split(apart, _END), terms), lambda x: F.size(x) > 0).alias("sents"))
+
+
+def said(sents: DataFrame) -> DataFrame:
+    """(doc_id, sent_no, term): the terms of every sentence, a row each."""
+    return sents.select("doc_id", F.posexplode("sents").alias("sent_no", "words")).select("doc_id", "sent_no", F.explode("words").alias("term"))
 
 
 def edges_of(sents: DataFrame) -> DataFrame:
@@ -66,8 +70,9 @@ def count_terms(edges: DataFrame, labels: DataFrame, least_docs: int = LEAST_DOC
     """(term, subject, n, docs): labelled documents (doc_id, subject, n_subjects) of a subject that hold a term, and of any."""
     seen = edges.join(broadcast_if_small(labels), "doc_id").select("subject", "n_subjects", "term")
     by_subject = seen.groupBy("term", "subject").agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(1.0) / F.col("n_subjects")).alias("share"))
-    docs = by_subject.groupBy("term").agg(F.sum("share").alias("docs")).filter(F.col("docs") >= least_docs)
-    return by_subject.join(docs, "term").select("term", "subject", "n", "docs")
+    # A window over the small counts, so that the edges are read once.
+    docs = by_subject.withColumn("docs", F.sum("share").over(Window.partitionBy("term"))).filter(F.round("docs", 9) >= least_docs)
+    return docs.select("term", "subject", "n", "docs")
 
 
 def shares(labels: DataFrame, left_out: Column) -> Column:
@@ -89,9 +94,9 @@ def learn_terms(counts: DataFrame, keys: list[str], own: Column) -> DataFrame:
     """
     purity = F.least((F.col("n") + 0.5 * own) / (F.col("docs") + 0.5), F.lit(1.0))
     lifted = counts.withColumn("weight", purity).withColumn("sure", F.col("n") / (F.col("docs") + 2)).filter((purity >= LEAST_SHARE) & (purity >= LEAST_LIFT * own))
-    pure = lifted.groupBy(*keys).agg(F.sum("weight").alias("sum"), F.max("weight").alias("top"))
-    sure = pure.filter((F.col("sum") >= LEAST_SUM) & (F.col("top") >= LEAST_PURITY)).select(*keys)
-    return lifted.join(sure, keys, "left_semi").select(*keys, "subject", F.round("weight", 2).alias("weight"), F.round("sure", 2).alias("sure"))
+    term = Window.partitionBy(*keys)
+    pure = lifted.withColumn("sum", F.sum("weight").over(term)).withColumn("top", F.max("weight").over(term))
+    return pure.filter((F.col("sum") >= LEAST_SUM) & (F.col("top") >= LEAST_PURITY)).select(*keys, "subject", F.round("weight", 2).alias("weight"), F.round("sure", 2).alias("sure"))
 
 
 def without_own(counts: DataFrame, words: DataFrame, labels: DataFrame, least_docs: int) -> DataFrame:
@@ -105,14 +110,13 @@ def without_own(counts: DataFrame, words: DataFrame, labels: DataFrame, least_do
     return learn_terms(left.filter((F.col("n") > 0) & (F.col("docs") >= least_docs)), ["doc_id", "term"], shares(labels, F.col("mine")))
 
 
-def sentence_subjects(sents: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+def sentence_subjects(words: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """(doc_id, subject, n_sentences): sentences by the subject their verified terms speak for.
 
     Where terms of a sentence belong to several subjects, what the whole document speaks for decides.
     """
-    said = sents.select("doc_id", F.posexplode("sents").alias("sent_no", "words")).select("doc_id", "sent_no", F.explode("words").alias("term"))
     # One shuffle, of the verified terms alone: all that follows is within a document.
-    spoken = said.join(broadcast_if_small(known), keys).repartition("doc_id")
+    spoken = words.join(broadcast_if_small(known), keys).repartition("doc_id")
     votes = spoken.groupBy("doc_id", "sent_no", "subject").agg(F.sum("weight").alias("w"), F.max("sure").alias("sure"), F.min("term").alias("lo"), F.max("term").alias("hi"))
     whole = votes.withColumn("v", F.col("w") * F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id", "subject")))
     first = Window.partitionBy("doc_id", "sent_no").orderBy(F.desc("v"), F.desc("subject"))
@@ -132,14 +136,14 @@ def tried_seeds(sents: DataFrame, given: DataFrame, scratch: Scratch) -> DataFra
     words, current = edges_of(seed_sents), _counted(given)
     counts = scratch.write(count_terms(words, current, SEED_DOCS), "seed-counts")
     own = scratch.write(without_own(counts, words, current, SEED_DOCS), "seed-terms")
-    found = sentence_subjects(seed_sents, own, ["doc_id", "term"]).join(given.withColumn("given", F.lit(True)), ["doc_id", "subject"], "left")
+    found = sentence_subjects(said(seed_sents), own, ["doc_id", "term"]).join(given.withColumn("given", F.lit(True)), ["doc_id", "subject"], "left")
     # A given label needs as many sentences as any other, but they may share one term.
     kept = scratch.write(found.filter(enough(found) | (F.col("given") & (F.col("n_sentences") >= LEAST_SENTENCES))).select("doc_id", "subject", F.coalesce("given", F.lit(False)).alias("given")), "supported")
     full = seed_sents.filter(F.size("sents") >= LEAST_SENTENCES).select("doc_id")
     of = kept.groupBy("doc_id").agg(F.max(~F.col("given")).alias("other"))
-    said = given.join(kept.filter("given").select("doc_id", "subject", F.lit(True).alias("trusted")), ["doc_id", "subject"], "left").join(of, "doc_id", "left").join(full, "doc_id", "left_semi")
+    told = given.join(kept.filter("given").select("doc_id", "subject", F.lit(True).alias("trusted")), ["doc_id", "subject"], "left").join(of, "doc_id", "left").join(full, "doc_id", "left_semi")
     silent = F.col("other").isNull()
-    return scratch.write(said.filter(F.col("trusted") | silent | ~F.col("other")).select("doc_id", "subject", F.coalesce("trusted", silent).alias("trusted")), "tried")
+    return scratch.write(told.filter(F.col("trusted") | silent | ~F.col("other")).select("doc_id", "subject", F.coalesce("trusted", silent).alias("trusted")), "tried")
 
 
 def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, rounds: int | None = None, log: list | None = None) -> DataFrame:
@@ -157,7 +161,7 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, r
     trusted = tried.filter("trusted").select("doc_id", "subject")
     result = scratch.write(trusted.withColumn("n_sentences", F.lit(0).cast("bigint")), "labels")
     current, seen, k = scratch.write(_counted(tried.select("doc_id", "subject")), "current"), set(), 0
-    edges, parts, fixed, known, kept = edges_of(sents), sents, None, None, None
+    edges, parts, fixed, known, kept = edges_of(sents), said(sents), None, None, None
     while rounds is None or k < rounds:
         counts = scratch.write(count_terms(edges, current, SEED_DOCS if k == 0 else LEAST_DOCS), "counts")
         before, known = known, learn_terms(counts, ["term"], shares(current, F.lit(0)))
@@ -169,13 +173,13 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, r
             decided, verified = counts.filter(F.col("docs") >= ENOUGH_DOCS).select("term").distinct(), known.select("term").distinct()
             fixed = scratch.write(known.join(decided, "term", "left_semi"), "fixed")
             useless = scratch.write(decided.join(verified, "term", "left_anti"), "useless")
-            sents = parts = scratch.write(without_terms(sents, useless), "sentences-left")
-            edges = scratch.write(edges_of(sents).join(broadcast_if_small(fixed.select("term").distinct()), "term", "left_anti"), "open-edges")
+            left = parts = scratch.write(parts.join(broadcast_if_small(useless), "term", "left_anti"), "edges-left")
+            edges = scratch.write(left.join(broadcast_if_small(fixed.select("term").distinct()), "term", "left_anti").select("doc_id", "term").distinct(), "open-edges")
         elif k > 1:
             # Only documents with edges that begin, end or change have to be looked at again.
             moved = known.exceptAll(before).unionByName(before.exceptAll(known)).select("term").distinct()
             touched = scratch.write(edges.join(broadcast_if_small(scratch.write(moved, "moved")), "term", "left_semi").select("doc_id").distinct(), "touched")
-            parts = sents.join(broadcast_if_small(touched), "doc_id", "left_semi")
+            parts = left.join(broadcast_if_small(touched), "doc_id", "left_semi")
         found = sentence_subjects(parts, known, ["term"])
         found = found.filter(enough(found)).select("doc_id", "subject", "n_sentences")
         if k > 1:
@@ -196,14 +200,6 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame, r
     return result
 
 
-def without_terms(sents: DataFrame, useless: DataFrame) -> DataFrame:
-    """The sentences without some terms; sentences and documents that lose all go."""
-    said = sents.select("doc_id", F.posexplode("sents").alias("sent_no", "words")).select("doc_id", "sent_no", F.explode("words").alias("term"))
-    left = said.join(broadcast_if_small(useless), "term", "left_anti").repartition("doc_id")
-    one = left.groupBy("doc_id", "sent_no").agg(F.collect_list("term").alias("words"))
-    return one.groupBy("doc_id").agg(F.collect_list("words").alias("sents"))
-
-
 def _counted(pairs: DataFrame) -> DataFrame:
     n = pairs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_subjects"))
     return pairs.join(n, "doc_id")

@@ -1,4 +1,8 @@
-"""Facts of Go files, by syntax alone: there is no type checker, so calls never exceed the capped score."""
+"""Facts of Go files, by syntax alone: there is no type checker, so calls never exceed the capped score.
+
+Calls name a function of the own package, or one of an imported package by that package's name; calls of
+methods on values need types and are not resolved.
+"""
 
 from __future__ import annotations
 
@@ -96,6 +100,9 @@ def extract(path: str, source: str) -> Iterator[dict]:
                 if tokens[j].text == "(" and tokens[j - 1].kind == "name" and tokens[j - 1].text not in _NO_CALLEE and tokens[j - 2].text not in (".", "func"):
                     order += 1
                     yield fact("call", entity_id=fid, name=tokens[j - 1].text, target=package, form="package", ord=order)
+                elif tokens[j].text == "(" and tokens[j - 1].kind == "name" and tokens[j - 2].text == "." and tokens[j - 3].text in packages and tokens[j - 4].text != "." and tokens[j - 1].text[:1].isupper():
+                    order += 1
+                    yield fact("call", entity_id=fid, name=tokens[j - 1].text, target=packages[tokens[j - 3].text], form="imported", ord=order)
         i = end + 1
 
 

@@ -6,6 +6,7 @@ import posixpath
 import re
 from collections.abc import Iterator
 
+from loomgraph.extract import template
 from loomgraph.extract.facts import fact, register
 
 _ACTION = re.compile(r"\{\{-?(?!-?\s*/\*)([\s\S]*?)-?\}\}")
@@ -87,27 +88,12 @@ def plain_mapping(text: str) -> dict:
 
 
 def balanced(content: str) -> bool:
-    """Whether actions are closed and every block has its end."""
-    text = _COMMENT.sub("", content)
-    if text.count("{{") != len(_ACTION.findall(text)):
+    """Whether a template parses."""
+    try:
+        template.check(content)
+    except template.TemplateError:
         return False
-    depth = 0
-    for a in _ACTION.findall(text):
-        bare = _STRINGS.sub('""', a).strip()
-        word = bare.split()[0] if bare.split() else ""
-        if not word or '"' in bare.replace('""', ""):
-            return False
-        if word in ("if", "with", "range") and len(bare.split()) < 2:
-            return False
-        if word in ("if", "with", "range", "define", "block"):
-            depth += 1
-        elif word == "end":
-            depth -= 1
-            if depth < 0:
-                return False
-        elif word == "else" and depth == 0:
-            return False
-    return depth == 0
+    return True
 
 
 def extract(path: str, source: str) -> Iterator[dict]:

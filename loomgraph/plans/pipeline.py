@@ -114,10 +114,14 @@ def assemble(files: DataFrame, facts: DataFrame, cross_repo_prefix: str = "") ->
     # Go: functions of a package by name; the module's path is joined in.
     modules = broadcast_if_small(go_modules(files))
     go_defs = facts.filter((F.col("analyzer") == "go") & (F.col("kind") == "def")).groupBy("repo", "target", "name").agg(F.max_by("entity_id", F.struct("path", "ord")).alias("dst"))
-    go_calls = facts.filter((F.col("analyzer") == "go") & (F.col("kind") == "call")).select("repo", "path", "entity_id", "target", "name", "ord").join(go_defs, ["repo", "target", "name"])
-    go_calls = go_calls.groupBy("repo", "path", "entity_id", "dst").agg(F.min("ord").alias("ord"))
-    no_check = S.degrade(S.edge_props(F.lit("scoped_name_match")), "no_typecheck")
-    edges = edges.unionByName(go_calls.select(*_edge(F.col("entity_id"), F.col("dst"), F.lit("calls"), F.col("path"), no_check, _no_score())))
+    go_calls = facts.filter((F.col("analyzer") == "go") & (F.col("kind") == "call")).select("repo", "path", "entity_id", "target", "name", "form", "ord").join(modules, "repo", "left")
+    # An import of a package of the own module names it by the module's path.
+    inside = F.startswith("target", F.concat(F.col("module"), F.lit("/"))) | (F.col("target") == F.col("module"))
+    target = F.when((F.col("form") == "imported") & inside, F.concat(F.lit("<module>"), F.expr("substring(target, length(module) + 1)"))).otherwise(F.col("target"))
+    go_calls = go_calls.withColumn("target", target).join(go_defs, ["repo", "target", "name"])
+    go_calls = go_calls.groupBy("repo", "path", "entity_id", "dst").agg(F.min("ord").alias("ord"), F.max(F.col("form") == "imported").alias("imported"))
+    props = F.when(F.col("imported"), S.degrade(S.edge_props(F.lit("imported_name_match")), "no_typecheck")).otherwise(S.degrade(S.edge_props(F.lit("scoped_name_match")), "no_typecheck"))
+    edges = edges.unionByName(go_calls.select(*_edge(F.col("entity_id"), F.col("dst"), F.lit("calls"), F.col("path"), props, _no_score())))
 
     ent = _kind(facts, "entity")
     defines = ent.filter(F.col("parent_id").isNotNull()).select(*_edge(F.col("parent_id"), F.col("entity_id"), F.lit("defines"), F.col("path"), _no_props(), _no_score()))

@@ -171,7 +171,9 @@ def test_mask_keeps_places():
     assert len(m) == len(s) and "var.y" in m and "var.d" in m and "var.c" not in m and "var.e" not in m
 
 
-@pytest.mark.parametrize("text,good", [("{{ if .a }}x{{ else }}y{{ end }}", True), ("{{ end }}", False), ("{{ .a", False), ("{{/* {{ */}}", True), ("{{ if }}{{ end }}", False)])
+@pytest.mark.parametrize("text,good", [("{{ if .a }}x{{ else }}y{{ end }}", True), ("{{ end }}", False), ("{{ .a", False), ("{{/* {{ */}}", True), ("{{ if }}{{ end }}", False),
+    ('{{- $x := .a | default "}}" -}}{{ range $i, $v := .b }}{{ $x }}{{ $i }}{{ break }}{{ else }}-{{ end }}', True), ("{{ $y }}", False), ("{{ with $y := .a }}{{ $y.b.c }}{{ else with .d }}{{ end }}", True), ("{{ with $y := .a }}{{ end }}{{ $y }}", False),
+    ("{{ if a }}{{ else }}{{ else }}{{ end }}", False), ("{{ else }}", False), ("{{ (index .a 0).b }}", True), ("{{ (index .a 0 }}", False), ("{{ .a | }}", False), ("{{ }}", False), ('{{ define "t" }}{{ $.x }}{{ end }}', True), ("{{ define t }}{{ end }}", False), ("{{ break }}", False), ('{{ "a }}', False), ("{{ template `t` (dict \"a\" .b) }}", True), ("{{ .a := 1 }}", False), ("a } } b { {", True), ("{{ if a }}{{ else with .b }}{{ end }}", False), ("{{ $a, $b := .x }}", False)])
 def test_template_balance(text, good):
     assert helm.balanced(text) is good
 
@@ -224,3 +226,16 @@ def test_facts_are_kept_by_content(spark, tmp_path):
     tree |= {"b.py": "def g(): pass\ndef h(): pass\n", "d.py": ""}
     assert plain(run(spark, tree, known_facts=store)) == plain(run(spark, tree)) and n_facts(2) == 2
     assert plain(run(spark, tree, known_facts=store)) == plain(run(spark, tree)) and store._runs() == ["run-000001", "run-000002"]
+
+
+def test_go_calls_of_imported_packages(spark):
+    tree = {
+        "go.mod": "module example.org/m\n",
+        "a/a.go": 'package a\nimport (\n\t"fmt"\n\tu "example.org/m/lib/util"\n\t"example.org/m"\n)\nfunc A() { u.Run(fmt.Sprint(1)); u.Run(2); m.Root(); x.u.Run(); u.Missing() }\n',
+        "lib/util/u.go": "package util\nfunc Run(int) {}\n",
+        "root.go": "package m\nfunc Root() {}\n",
+    }
+    e = edges(run(spark, tree))
+    calls = {k[:2]: v for k, v in e.items() if k[2] == "calls"}
+    assert set(calls) == {("go:func:example.org/m/a.A", "go:func:example.org/m/lib/util.Run"), ("go:func:example.org/m/a.A", "go:func:example.org/m.Root")}
+    assert all(v.props == {"resolution": "imported_name_match", "confidence": "0.45", "degraded_by": "no_typecheck"} and v.confidence_score is None for v in calls.values())

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.extract.facts import extract_facts
+from loomgraph.functions.sizing import broadcast_if_small
 
 
 def reconcile(target: DataFrame, rows: DataFrame, files: DataFrame, keys: list[str], ids: list[str] | None = None) -> DataFrame:
@@ -38,13 +39,16 @@ def upsert(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 class ParquetStore:
-    """A table kept as numbered versions; a version counts once it is written whole.
+    """A table kept in numbered versions, of which each holds the groups (values of the first key) that changed.
 
-    ``apply`` reads the newest whole version, reconciles and writes the next one, so that a run that
-    dies leaves the last good version, and running it again gives the same result. The version before the
-    newest stays for readers; older ones are deleted.
+    ``apply`` reconciles and rewrites only the groups it touches; a manifest, written last, says in which
+    version each group is. A run that dies before that leaves the last good manifest, and running it again
+    gives the same result. Versions that the newest two manifests do not name are deleted, so that a reader
+    of the one before the newest can end. With more than ``MOST_VERSIONS`` in use all groups are written anew.
     """
 
+    MOST_VERSIONS = 64
+
     def __init__(self, spark: SparkSession, path: str, keys: list[str], ids: list[str] | None = None):
         self.spark, self.path, self.keys, self.ids = spark, path.rstrip("/"), keys, ids
 
@@ -52,35 +56,68 @@ class ParquetStore:
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
+    def _versions(self, what: str) -> list[int]:
+        fs, p = self._fs(f"{self.path}/{what}")
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and fs.exists(self._fs(f"{self.path}/{what}/{n}/_SUCCESS")[1]))
+
     def version(self) -> int:
-        fs, p = self._fs(self.path)
-        if not fs.exists(p):
-            return 0
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        whole = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and fs.exists(self._fs(f"{self.path}/{n}/_SUCCESS")[1])]
-        return max(whole, default=0)
+        return max(self._versions("manifest"), default=0)
+
+    def _manifest(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/manifest/v{version}")
+
+    def _used(self, version: int) -> list[int]:
+        return sorted(r[0] for r in self._manifest(version).select("version").distinct().collect())  # few: they are compacted
+
+    def _of(self, version: int, groups: DataFrame | None = None) -> DataFrame:
+        """Rows of a version of the table, or of some of its groups."""
+        g, manifest = self.keys[0], self._manifest(version)
+        if groups is not None:
+            few = groups.select(F.col(g).alias("_want"))
+            manifest = manifest.join(few, F.col("group").eqNullSafe(F.col("_want")), "left_semi")
+        out = None
+        for k in self._used(version) or [version]:
+            rows, mine = self.spark.read.parquet(f"{self.path}/data/v{k}"), broadcast_if_small(manifest.filter(F.col("version") == k))
+            part = rows.join(mine, F.col(g).eqNullSafe(F.col("group")), "left_semi")
+            out = part if out is None else out.unionByName(part)
+        return out
 
     def read(self) -> DataFrame | None:
         v = self.version()
-        return self.spark.read.parquet(f"{self.path}/v{v}") if v else None
+        return self._of(v) if v else None
 
     def apply(self, rows: DataFrame, files: DataFrame | None) -> DataFrame:
-        """Writes the next version; ``files`` None inserts only, as a first full run does."""
-        old = self.read()
-        if old is None:
+        """Writes the groups of the next version; ``files`` None inserts only, as a first full run does."""
+        v, g = self.version(), self.keys[0]
+        now, staged = v + 1, f"{self.path}/staging/v{v + 1}"
+        rows.write.mode("overwrite").parquet(staged)  # what made the rows is not computed again
+        rows = self.spark.read.schema(rows.schema).parquet(staged)
+        groups = rows.select(g).unionByName(files.select(g)).distinct() if files is not None else rows.select(g).distinct()
+        if v and len(self._used(v)) >= self.MOST_VERSIONS:
+            groups = groups.unionByName(self._manifest(v).select(F.col("group").alias(g))).distinct()
+        if not v:
             new = rows
-        elif files is None:
-            new = old.unionByName(rows.select(*old.columns))
         else:
-            new = reconcile(old, rows, files, self.keys, self.ids)
-        now = self.version() + 1
-        target = f"{self.path}/v{now}"
-        new.write.mode("overwrite").parquet(target)
-        for k in range(now - 2, 0, -1):
-            fs, p = self._fs(f"{self.path}/v{k}")
-            if not fs.delete(p, True):
-                break
-        return self.spark.read.parquet(target)
+            old = self._of(v, groups)
+            new = old.unionByName(rows.select(*old.columns)) if files is None else reconcile(old, rows, files, self.keys, self.ids)
+        new.write.mode("overwrite").parquet(f"{self.path}/data/v{now}")
+        written = self.spark.read.parquet(f"{self.path}/data/v{now}").select(F.col(g).alias("group")).distinct()
+        manifest = written.withColumn("version", F.lit(now))
+        if v:
+            rest = self._manifest(v)
+            manifest = rest.join(groups.select(F.col(g).alias("_now")), F.col("group").eqNullSafe(F.col("_now")), "left_anti").unionByName(manifest)
+        manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/v{now}")
+        self._clean(now)
+        return self._of(now)
+
+    def _clean(self, now: int) -> None:
+        kept = [k for k in (now, now - 1) if k > 0]
+        used = {x for k in kept for x in [*self._used(k), k]}
+        old = [f"data/v{k}" for k in self._versions("data") if k not in used] + [f"manifest/v{k}" for k in self._versions("manifest") if k not in kept] + ["staging"]
+        for name in old:
+            fs, p = self._fs(f"{self.path}/{name}")
+            fs.delete(p, True)
 
 
 class FactStore:

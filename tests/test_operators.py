@@ -267,8 +267,14 @@ def test_store_versions(spark, tmp_path):
     s.apply(rows(("a", 9)), spark.createDataFrame([("a",), ("gone",)], "f string"))
     s.apply(rows(("a", 9)), spark.createDataFrame([("a",)], "f string"))
     assert {tuple(r) for r in s.read().collect()} == {("a", 9), ("b", 2)} and s.version() == 3
-    (tmp_path / "s" / "v4").mkdir()
+    assert spark.read.parquet(str(tmp_path / "s" / "data" / "v3")).count() == 1  # b was not written again
+    (tmp_path / "s" / "manifest" / "v4").mkdir()
     assert s.version() == 3
+    s.apply(rows(("c", 3)), None)
+    assert {tuple(r) for r in s.read().collect()} == {("a", 9), ("b", 2), ("c", 3)} and s._versions("data") == [1, 3, 4]
+    s.MOST_VERSIONS = 2
+    s.apply(rows(), spark.createDataFrame([("c",), (None,)], "f string"))
+    assert {tuple(r) for r in s.read().collect()} == {("a", 9), ("b", 2)} and s._used(s.version()) == [5]
 
 
 def test_bounded_collect(spark):

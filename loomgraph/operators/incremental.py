@@ -145,15 +145,20 @@ class ChangeBacklog:
     def __init__(self, spark: SparkSession, folder: str, block: int = BLOCK_COMMITS):
         self.block, self.table = block, IncrementalTable(spark, folder, "part", block_digest)
 
-    def replay(self, events: DataFrame) -> dict:
-        """Where no run has stored anything yet: what the succeeded runs of the log have left behind."""
-        return self.table.refresh(events.filter("processed"))
+    def replay(self, events: DataFrame, kept: bool = True) -> dict:
+        """Where no run has stored anything yet: what the succeeded runs of the log have left behind.
 
-    def update(self, changes: DataFrame, runs: DataFrame) -> dict:
+        In a folder that is not ``kept``, blocks with open changes get their fingerprints only: the refresh
+        that follows replaces them anyway.
+        """
+        whole = None if kept else events.groupBy("part").agg(F.min("processed").alias("p")).filter("p").select("part")
+        return self.table.refresh(events.filter("processed"), whole)
+
+    def update(self, changes: DataFrame, runs: DataFrame, kept: bool = True) -> dict:
         """Compares fingerprints and recomputes the blocks that changed. Returns blocks and rows in all and recomputed."""
         events = change_events(changes, runs, self.block)
         if self.table.fingerprints() is None:
-            self.replay(events)
+            self.replay(events, kept)
         return self.table.refresh(events)
 
     def pending(self) -> DataFrame:
@@ -171,7 +176,7 @@ def pending_paths(changes: DataFrame, runs: DataFrame, folder: str | None = None
     """
     spark = changes.sparkSession
     backlog = ChangeBacklog(spark, folder or f"{ensure_checkpoint_dir(spark)}/backlog-{uuid.uuid4().hex}")
-    backlog.update(changes, runs)
+    backlog.update(changes, runs, kept=folder is not None)
     if folder:
         return backlog.pending()
     found = Scratch(spark, "pending").write(backlog.pending(), "paths")
@@ -225,8 +230,11 @@ class IncrementalTable:
         v = self._versions()
         return self.spark.read.parquet(f"{self.path}/fingerprints/v{v[-1]}") if v else None
 
-    def refresh(self, source: DataFrame) -> dict:
-        """Recompute changed partitions only. Returns partitions and source rows, in all and of those recomputed."""
+    def refresh(self, source: DataFrame, only: DataFrame | None = None) -> dict:
+        """Recompute changed partitions only. Returns partitions and source rows, in all and of those recomputed.
+
+        ``only`` names the partitions to write where the next refresh is known to replace the others.
+        """
         row = [F.coalesce(F.to_json(F.struct(F.col(c))), F.lit("")) if isinstance_map(source, c) else F.col(c) for c in source.columns]
         nulls = [F.col(c).isNull() for c in source.columns]
         now = fingerprint(source, [self.partition], [*row, *nulls], "now")
@@ -247,6 +255,8 @@ class IncrementalTable:
             self.build(source.limit(0)).withColumn("_live", F.lit(True)).limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")
         if some.recomputed:
             changed = compared.filter(differs).select(self.partition)
+            if only is not None:
+                changed = changed.join(only, self.partition, "left_semi")
             part = source.join(broadcast_if_small(changed.withColumnRenamed(self.partition, "_changed")), F.col(self.partition).eqNullSafe(F.col("_changed")), "left_semi")
             built = self.build(part).withColumn("_live", F.lit(True))
             kind = built.schema[self.partition].dataType

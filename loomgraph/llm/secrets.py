@@ -199,7 +199,7 @@ class Finder:
 
     def reason(self, value: str, rank: int, quoted: bool, hashed: bool = False) -> str | None:
         """Why a literal is a credential (residual, words or hash), or None. rank: 3 login or header, 2 credential name, 1 weak, -1 another name."""
-        if len(value) < 4 or _PLACEHOLDER.match(value) or _REFERENCE.search(value) or " " in value.strip():
+        if len(value) < 4 or _PLACEHOLDER.match(value) or _PLACEHOLDER.match(value.strip("[](){}<>")) or _REFERENCE.search(value) or " " in value.strip():
             return None
         if _HASH.match(value):
             return "hash" if rank >= 1 and not hashed and len(value) >= 16 else None
